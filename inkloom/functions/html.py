@@ -40,42 +40,42 @@ def _is_one_of(value: Column, names) -> Column:
 
 def _code_point(digits: Column, radix: int) -> Column:
     """Character of a numeric entity; null above the last code point."""
-    short = F.regexp_replace(digits, "^0+(?=.)", "")
-    number = F.when(F.length(short) <= 7, F.conv(short, radix, 10).cast("bigint"))
-    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    return F.when(number.between(0xD800, 0xDFFF), F.lit("\uFFFD")).when(number <= 0x10FFFF, char)
+    short = F.regexp_extract(digits, "^0*(.{1,7})\\z", 1)
+    number = F.conv(F.when(short != "", short), radix, 10).cast("bigint")
+
+    def char(n: Column) -> Column:
+        text = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return F.when(n.between(0xD800, 0xDFFF), F.lit("\uFFFD")).when(n <= 0x10FFFF, text)
+
+    return let(number, char)
 
 
 def _decode_token(token: Column) -> Column:
-    name = F.lower(F.substring(token, 2, 2_000_000_000))
-    out = F.when(~token.rlike(r"^&.+;\z"), token)
-    out = out.when(name.startswith("#x"), _code_point(F.regexp_extract(name, "^#x([0-9a-f]+);", 1), 16))
-    out = out.when(name.startswith("#"), _code_point(F.regexp_extract(name, "^#([0-9]+);", 1), 10))
-    for entity, char in NAMED_ENTITIES.items():
-        out = out.when(name == f"{entity};", F.lit(char))
-    return F.coalesce(out, token)
+    names = F.create_map(*[F.lit(x) for pair in NAMED_ENTITIES.items() for x in pair])
+
+    def decode(name: Column) -> Column:
+        numeric = F.when(
+            name.startswith("#x"), _code_point(F.regexp_extract(name, "^#x([0-9a-f]+);", 1), 16)
+        ).otherwise(_code_point(F.regexp_extract(name, "^#([0-9]+);", 1), 10))
+        char = F.when(name.startswith("#"), numeric).otherwise(F.try_element_at(names, F.rtrim(name, F.lit(";"))))
+        return F.coalesce(char, token)
+
+    return F.when(~token.rlike(r"^&.+;\z"), token).otherwise(
+        let(F.lower(F.substring(token, 2, 2_000_000_000)), decode)
+    )
 
 
 def decode_entities(value: Column) -> Column:
-    """Replace each known entity once; unknown ones stay as they are.
+    """Replace each known entity once; unknown ones stay as they are."""
+    pattern = F.lit(r"(?i)&(?:#x[0-9a-f]+|#[0-9]+|[a-z][a-z0-9]+);|[^&]+|&")
 
-    Without numeric entities the named ones can be replaced one after another,
-    '&amp;' last, because none of the others yields a part of an entity.
-    """
-    named = value
-    for entity, char in NAMED_ENTITIES.items():
-        if entity != "amp":
-            named = F.regexp_replace(named, f"(?i)&{entity};", char)
-    named = F.regexp_replace(named, "(?i)&amp;", "&")
-    tokens = F.regexp_extract_all(
-        value, F.lit(r"(?i)&(?:#x[0-9a-f]+|#[0-9]+|[a-z][a-z0-9]+);|[^&]+|&"), F.lit(0)
-    )
-    exact = F.array_join(F.transform(tokens, _decode_token), "")
-    return (
-        F.when(~F.contains(value, F.lit("&")), value)
-        .when(F.contains(value, F.lit("&#")), exact)
-        .otherwise(named)
-    )
+    def decode(text: Column) -> Column:
+        tokens = F.regexp_extract_all(text, pattern, F.lit(0))
+        return F.when(~F.contains(text, F.lit("&")), text).otherwise(
+            F.array_join(F.transform(tokens, _decode_token), "")
+        )
+
+    return let(value, decode)
 
 
 # -------------------------------------------------------------------- text
@@ -84,12 +84,13 @@ def decode_entities(value: Column) -> Column:
 def html_text(html: Column) -> Column:
     """Plain text: block tags break lines, other tags vanish, entities decoded."""
     any_block = rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)}){WORD_END}[^>]*>"
-    at_once = F.regexp_replace(html, any_block, "\n")
     # a '<' inside a tag makes the result depend on the order of tag names
-    in_turn = reduce(
-        lambda text, tag: F.regexp_replace(text, rf"(?i)</?{tag}{WORD_END}[^>]*>", "\n"), BLOCK_TAGS, html
+    broken = let(
+        html,
+        lambda h: F.when(~h.rlike("<[^<>]*<"), F.regexp_replace(h, any_block, "\n")).otherwise(
+            reduce(lambda text, tag: F.regexp_replace(text, rf"(?i)</?{tag}{WORD_END}[^>]*>", "\n"), BLOCK_TAGS, h)
+        ),
     )
-    broken = F.when(html.rlike("<[^<>]*<"), in_turn).otherwise(at_once)
     text = decode_entities(F.regexp_replace(broken, "<[^>]+>", ""))
     text = F.replace(text, F.lit("\r"), F.lit(""))
     text = F.regexp_replace(text, r"(?<![\t ])[\t ]++\n", "\n")
@@ -111,28 +112,25 @@ def drop_unsafe_html(html: Column) -> Column:
 
 
 def _attributes(raw: Column) -> Column:
-    """Attributes in order as array<struct(name, value)>, values decoded."""
+    """Attribute names and decoded values, last one first."""
     group = lambda n: F.regexp_extract_all(raw, F.lit(_ATTRIBUTE), F.lit(n))
-    zipped = F.arrays_zip(
-        group(1).alias("name"), group(2).alias("double"), group(3).alias("single"), group(4).alias("bare")
-    )
-    return F.transform(
-        zipped,
-        lambda a: F.struct(
-            F.lower(a["name"]).alias("name"),
-            decode_entities(F.concat(a["double"], a["single"], a["bare"])).alias("value"),
-        ),
+    both = lambda x, y: F.concat(x, y)
+    values = F.zip_with(F.zip_with(group(2), group(3), both), group(4), both)
+    return F.struct(
+        F.reverse(F.transform(group(1), lambda n: F.lower(n))).alias("names"),
+        F.reverse(F.transform(values, decode_entities)).alias("values"),
     )
 
 
 def _attribute(attributes: Column, name: str) -> Column:
     """Value of the last attribute of that name; null without one."""
-    same = F.filter(attributes, lambda a: a["name"] == name)
-    return F.try_element_at(same, F.lit(-1))["value"]
+    place = F.array_position(attributes["names"], F.lit(name)).cast("int") - 1
+    return F.get(attributes["values"], place)
 
 
 def _image_source(attributes: Column) -> Column:
-    return F.coalesce(*[non_blank(_attribute(attributes, n)) for n in IMAGE_SOURCES])
+    found = F.transform(F.array(*[_attribute(attributes, n) for n in IMAGE_SOURCES]), non_blank)
+    return F.get(F.filter(found, lambda x: x.isNotNull()), F.lit(0))
 
 
 def _quoted(name: str, value: Column) -> Column:
@@ -143,7 +141,7 @@ def _quoted(name: str, value: Column) -> Column:
 
 
 def _filled(value: Column) -> Column:
-    return F.when(value != "", value)
+    return let(value, lambda v: F.when(v != "", v))
 
 
 def _style(raw: Column, align: Column) -> Column:
@@ -160,37 +158,37 @@ def _style(raw: Column, align: Column) -> Column:
         lambda d: _is_one_of(d["property"], STYLE_PROPERTIES) & d["value"].rlike(rf"^[A-Za-z0-9_{WS}.,%#()\-]+\z"),
     )
     own = F.array_join(F.transform(kept, lambda d: F.concat_ws(":", d["property"], d["value"])), ";")
-    old = F.when(_is_one_of(F.lower(align), ALIGNMENTS), F.concat(F.lit("text-align:"), F.lower(align)))
+    old = let(F.lower(align), lambda a: F.when(_is_one_of(a, ALIGNMENTS), F.concat(F.lit("text-align:"), a)))
     return _filled(F.concat_ws(";", _filled(own), old))
 
 
-def _link(href: Column, base: str) -> Column:
-    return F.when(href.rlike("(?i)^(mailto:|tel:)"), href).otherwise(absolute_url(href, base))
-
-
 def _opening(name: Column, raw: Column, base: str) -> Column:
     """Opening tag with its safe attributes; empty for an image without source."""
 
     def attributes_text(attrs: Column) -> Column:
         value = lambda n: _attribute(attrs, n)
-        matching = lambda n, pattern: F.when(value(n).rlike(pattern), F.concat(F.lit(f'{n}="'), value(n), F.lit('"')))
-        title = _quoted("title", _filled(value("title")))
-        link = let(
-            _link(_filled(value("href")), base),
-            lambda href: F.concat_ws(
-                " ",
-                _quoted("href", href),
-                title,
-                F.when(href.startswith("http"), F.lit('rel="noopener noreferrer nofollow"')),
-            ),
+        matching = lambda n, pattern: let(
+            value(n), lambda v: F.when(v.rlike(pattern), F.concat(F.lit(f'{n}="'), v, F.lit('"')))
         )
-        image = let(
-            absolute_url(_image_source(attrs), base),
-            lambda src: F.when(
-                src.isNotNull(),
+        title = _quoted("title", _filled(value("title")))
+        # one address per tag: the link of an anchor, the source of an image
+        target = F.when(name == "a", _filled(value("href"))).when(name == "img", _image_source(attrs))
+        address = F.when((name == "a") & target.rlike("(?i)^(mailto:|tel:)"), target).otherwise(absolute_url(target, base))
+        with_address = let(
+            address,
+            lambda url: F.when(
+                name == "a",
                 F.concat_ws(
                     " ",
-                    _quoted("src", src),
+                    _quoted("href", url),
+                    title,
+                    F.when(url.startswith("http"), F.lit('rel="noopener noreferrer nofollow"')),
+                ),
+            ).when(
+                url.isNotNull(),
+                F.concat_ws(
+                    " ",
+                    _quoted("src", url),
                     _quoted("alt", F.coalesce(value("alt"), F.lit(""))),
                     title,
                     matching("width", r"^[0-9]{1,5}\z"),
@@ -201,16 +199,21 @@ def _opening(name: Column, raw: Column, base: str) -> Column:
         )
         cell = F.concat_ws(" ", matching("colspan", r"^[0-9]{1,3}\z"), matching("rowspan", r"^[0-9]{1,3}\z"))
         special = (
-            F.when(name == "a", link)
-            .when(name == "img", image)
+            F.when(_is_one_of(name, ["a", "img"]), with_address)
             .when(name == "ol", matching("start", r"^-?[0-9]{1,8}\z"))
             .when(_is_one_of(name, ["th", "td"]), cell)
         )
         style = _style(F.coalesce(value("style"), F.lit("")), value("align"))
-        dropped = (name == "img") & special.isNull()
-        joined = F.concat_ws(" ", _filled(special), _quoted("style", style))
-        return F.when(dropped, F.lit("")).otherwise(
-            F.concat(F.lit("<"), _renamed(name), F.when(joined != "", F.concat(F.lit(" "), joined)).otherwise(""), F.lit(">"))
+        return let(
+            special,
+            lambda own: F.when((name == "img") & own.isNull(), F.lit("")).otherwise(
+                F.concat(
+                    F.lit("<"),
+                    _renamed(name),
+                    F.regexp_replace(F.concat_ws(" ", F.lit(""), _filled(own), _quoted("style", style)), "^ \\z", ""),
+                    F.lit(">"),
+                )
+            ),
         )
 
     plain = F.concat(F.lit("<"), _renamed(name), F.lit(">"))
@@ -221,10 +224,8 @@ def _opening(name: Column, raw: Column, base: str) -> Column:
 
 
 def _renamed(name: Column) -> Column:
-    out = name
-    for old, new in RENAMED_TAGS.items():
-        out = F.when(name == old, F.lit(new)).otherwise(out)
-    return out
+    names = F.create_map(*[F.lit(x) for pair in RENAMED_TAGS.items() for x in pair])
+    return F.coalesce(F.try_element_at(names, name), name)
 
 
 def _clean_tag(token: Column, base: str) -> Column:

@@ -6,12 +6,12 @@ the number 5 into the string '5' and ``true`` into 1.0.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.functions.text import finite, non_blank, parse_number
-
-ID = "struct<value: string, is_num: boolean>"
+from inkloom.functions.text import finite, non_blank, parse_number, trim
 
 
 def with_document(df: DataFrame, body: str = "body", out: str = "doc", when: Column | None = None) -> DataFrame:
@@ -38,11 +38,6 @@ def at(doc: Column, path: str) -> Column:
     return F.try_variant_get(doc, f"$.{path}", "variant")
 
 
-def present(*values: Column) -> Column:
-    """First value that is neither missing nor JSON null, whatever its type."""
-    return F.coalesce(*[F.when(~F.is_variant_null(v), v) for v in values])
-
-
 def is_object(value: Column) -> Column:
     return F.coalesce(F.try_variant_get(value, "$", "map<string,variant>").isNotNull(), F.lit(False))
 
@@ -52,6 +47,12 @@ def filled_object(value: Column) -> Column:
     return F.when(F.size(F.try_variant_get(value, "$", "map<string,variant>")) > 0, value)
 
 
+def first_object(doc: Column, paths: Sequence[str]) -> Column:
+    """First non-empty object among the paths."""
+    found = F.filter(F.array(*[at(doc, p) for p in paths]), lambda v: filled_object(v).isNotNull())
+    return F.get(found, F.lit(0))
+
+
 def as_list(value: Column) -> Column:
     """Array elements, or null if the value is not an array."""
     return F.try_variant_get(value, "$", "array<variant>")
@@ -95,10 +96,6 @@ def flag_or_missing(value: Column) -> Column:
     return F.when(value.isNotNull(), as_flag(value))
 
 
-def first_text_at(doc: Column, *paths: str) -> Column:
-    return F.coalesce(*[non_blank(as_text(at(doc, p))) for p in paths])
-
-
 def _number_text(value: Column) -> Column:
     number = F.try_variant_get(value, "$", "double")
     whole = (F.abs(number) < F.lit(9.2e18)) & (number == F.floor(number))
@@ -107,7 +104,8 @@ def _number_text(value: Column) -> Column:
     )
 
 
-def _id_of(value: Column) -> Column:
+def as_id(value: Column) -> Column:
+    """struct(value, is_num) of a finite number or a non-blank string."""
     kind = F.schema_of_variant(value)
     number = finite(F.try_variant_get(value, "$", "double"))
     text = non_blank(F.try_variant_get(value, "$", "string"))
@@ -117,6 +115,65 @@ def _id_of(value: Column) -> Column:
     )
 
 
-def first_id_at(doc: Column, *paths: str) -> Column:
-    """First finite number or non-blank string, with its kind kept."""
-    return F.coalesce(*[_id_of(at(doc, p)) for p in paths])
+def _filled_text(value: Column) -> Column:
+    text = F.try_variant_get(value, "$", "string")
+    return F.when((F.schema_of_variant(value) == "STRING") & (F.length(trim(text)) > 0), text)
+
+
+def _first_usable(read: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """First of several values that reads as wanted."""
+    return lambda values: F.get(F.filter(F.transform(values, read), lambda x: x.isNotNull()), F.lit(0))
+
+
+def _first_present(read: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """First of several values that is there and not JSON null, then read.
+
+    A value that does not read as wanted is not replaced by a later one.
+    """
+    return lambda values: read(F.get(F.filter(values, lambda v: v.isNotNull() & ~F.is_variant_null(v)), F.lit(0)))
+
+
+# How the fields of an object are read, by kind of field.
+READERS: dict[str, Callable[[Column], Column]] = {
+    "texts": _first_usable(_filled_text),
+    "raw_texts": _first_usable(as_text),
+    "ids": _first_usable(as_id),
+    "numbers": _first_present(as_number),
+    "integers": _first_present(as_integer),
+    "flags": lambda values: as_flag(F.get(values, F.lit(0))),
+    "maybe_flags": lambda values: flag_or_missing(F.get(values, F.lit(0))),
+    "variants": _first_present(lambda v: v),
+}
+
+
+def _places(doc: Column, paths: str) -> Column:
+    return F.array(*[at(doc, p) for p in paths.split()])
+
+
+def read_fields(df: DataFrame, doc: Column, tag: str, **kinds: Mapping[str, str]) -> tuple[DataFrame, dict[str, Column]]:
+    """Read many fields of an object, each from the first usable path.
+
+    Every kind maps names to blank-separated paths.  All fields of a kind are
+    read by one expression over an array of their places, so the plan stays
+    small however many fields there are.  Returns the frame with one array
+    column per kind (``tag`` starts their names) and the column of each field.
+    """
+    arrays, fields = {}, {}
+    for kind, names in kinds.items():
+        column = f"{tag}{kind}"
+        arrays[column] = F.transform(F.array(*[_places(doc, paths) for paths in names.values()]), READERS[kind])
+        for i, name in enumerate(names):
+            fields[name] = F.get(F.col(column), F.lit(i))
+    return df.withColumns(arrays), fields
+
+
+def first_text_at(doc: Column, paths: str) -> Column:
+    return READERS["texts"](_places(doc, paths))
+
+
+def first_id_at(doc: Column, paths: str) -> Column:
+    return READERS["ids"](_places(doc, paths))
+
+
+def present_at(doc: Column, paths: str) -> Column:
+    return READERS["variants"](_places(doc, paths))

@@ -69,9 +69,13 @@ def parse_number(value: Column) -> Column:
 
 def decode_component(value: Column) -> Column:
     """Percent-decoding in which '+' is a plain plus; null if malformed."""
+
+    def checked(decoded: Column) -> Column:
+        broken = F.contains(decoded, F.lit("\uFFFD")) & ~value.rlike(r"(?i)%EF%BF%BD|\uFFFD")
+        return F.when(~broken, decoded)
+
     decoded = F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
-    broken = F.contains(decoded, F.lit("\uFFFD")) & ~value.rlike(r"(?i)%EF%BF%BD|\uFFFD")
-    return F.when(~F.contains(value, F.lit("%")), value).when(~broken, decoded)
+    return F.when(~F.contains(value, F.lit("%")), value).otherwise(let(decoded, checked))
 
 
 def encode_component(value: Column) -> Column:

@@ -22,6 +22,7 @@ BAD_HOST = r"[\x00-\x20#%/:<>?@\[\\\]^|\x7F]"
 _PLAIN_TAIL = (
     r"/[A-Za-z0-9\-._~!$&'()*+,;=:@%|/]*(\?[A-Za-z0-9\-._~!$&()*+,;=:@%|/?]*)?(#[A-Za-z0-9\-._~!$&'()*+,;=:@%|/?]*)?\z"
 )
+_PATH = r"^[a-z]+://[^/?#]*([^?#]*)"
 _NO_DOTS = r"(?![^?#]*/(?:\.|%2[eE]){1,2}(?:[/?#]|\z))"
 _PLAIN_ABSOLUTE = r"^https?://(?:[a-z0-9][a-z0-9\-]*\.)*[a-z][a-z0-9\-]*(?=/)" + _NO_DOTS + _PLAIN_TAIL
 _PLAIN_ROOTED = r"^(?![/\\]{2})" + _NO_DOTS + _PLAIN_TAIL
@@ -82,7 +83,7 @@ def _parts(value: Column, base: str) -> Column:
         remote = F.regexp_replace(after, r"^[/\\]+", "")
         authority = F.regexp_extract(remote, r"^[^/\\?#]*", 0)
         rooted = F.when(after.rlike(r"^[/\\]"), after).otherwise(
-            F.concat(F.lit(base_dir), F.when(after.rlike(r"^[^?#]"), after).otherwise(after))
+            F.concat(F.lit(base_dir), after)
         )
         return F.when(
             scheme.isin("", "http", "https"),
@@ -132,19 +133,21 @@ def absolute_url(value: Column, base: str) -> Column:
     """Absolute http(s) address of a link, or null."""
     b = urlsplit(base.rstrip("/") + "/")
     root = f"{b.scheme.lower()}://{b.netloc.lower()}"
-    general = let(_parts(value, base), lambda p: F.concat(p["origin"], p["path"], p["rest"]))
-    return (
-        F.when(value.rlike(_PLAIN_ROOTED), F.concat(F.lit(root), value))
-        .when(value.rlike(_PLAIN_ABSOLUTE), value)
-        .otherwise(general)
-    )
+
+    def resolve(link: Column) -> Column:
+        general = let(_parts(link, base), lambda p: F.concat(p["origin"], p["path"], p["rest"]))
+        return (
+            F.when(link.rlike(_PLAIN_ROOTED), F.concat(F.lit(root), link))
+            .when(link.rlike(_PLAIN_ABSOLUTE), link)
+            .otherwise(general)
+        )
+
+    return let(value, resolve)
 
 
 def url_path(value: Column, base: str) -> Column:
     """Path of the absolute address, or null."""
-    general = let(_parts(value, base), lambda p: F.when(p["origin"].isNotNull(), p["path"]))
-    plain = value.rlike(_PLAIN_ROOTED) & ~value.rlike("[?#]")
-    return F.when(plain, value).otherwise(general)
+    return let(absolute_url(value, base), lambda url: F.when(url.isNotNull(), F.regexp_extract(url, _PATH, 1)))
 
 
 def segments(path: Column) -> Column:
@@ -164,15 +167,12 @@ def decoded_segments(path: Column) -> Column:
 _PATH_BASE = "https://path.invalid"
 
 
-def first_segment(url: Column) -> Column:
-    return F.get(decoded_segments(url_path(url, _PATH_BASE)), F.lit(0))
-
-
-def last_segment(url: Column) -> Column:
-    return F.try_element_at(decoded_segments(url_path(url, _PATH_BASE)), F.lit(-1))
+def path_segments(url: Column) -> Column:
+    """Decoded path segments of any link."""
+    return decoded_segments(url_path(url, _PATH_BASE))
 
 
 def file_name(url: Column) -> Column:
     """Decoded last path segment of an absolute address; null without one."""
-    path = F.regexp_extract(url, r"^[a-z]+://[^/?#]*([^?#]*)", 1)
-    return decode_component(F.try_element_at(segments(path), F.lit(-1)))
+    last = F.try_element_at(segments(F.regexp_extract(url, _PATH, 1)), F.lit(-1))
+    return let(last, decode_component)

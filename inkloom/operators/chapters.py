@@ -6,12 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.functions.html import clean_html, html_images, html_text
-from inkloom.functions.payload import (
-    as_flag, as_integer, as_number, as_text, at, filled_object, first_id_at, first_text_at,
-    flag_or_missing, is_object, present,
-)
-from inkloom.functions.text import first_text, non_blank, parse_chapter_number
-from inkloom.functions.urls import absolute_url, first_segment, last_segment
+from inkloom.functions.payload import at, filled_object, first_id_at, first_object, is_object, read_fields
+from inkloom.functions.text import let, non_blank, parse_chapter_number
+from inkloom.functions.urls import absolute_url, path_segments
 from inkloom.operators.people import people_of, unique_people, with_id_only
 
 CHAPTER_FIELDS = (
@@ -27,54 +24,53 @@ def chapter_columns(
 
     ``parent_slug`` names the column with the book slug to fall back on.
     """
-    doc = F.col(source)
-    id_ = first_id_at(doc, "id", "chapterId")
-    book_id = first_id_at(doc, "bookId", "book.id")
-    direct = F.struct(
-        id_["value"].alias("id"),
-        id_["is_num"].alias("id_is_num"),
-        book_id["value"].alias("book_id"),
-        book_id["is_num"].alias("book_id_is_num"),
-        first_text_at(doc, "title", "name").alias("title"),
-        first_text_at(doc, "title").alias("own_title"),
-        first_text_at(doc, "numberChapter", "numberLabel").alias("number_label"),
-        first_text_at(doc, "numberChapter").alias("own_label"),
-        as_number(present(at(doc, "chapterShortNumber"), at(doc, "number"))).alias("number"),
-        as_number(present(at(doc, "tom"), at(doc, "volume"))).alias("volume"),
-        first_text_at(doc, "publishedAt", "published_at").alias("published_at"),
-        first_text_at(doc, "createdAt", "created_at").alias("created_at"),
-        first_text_at(doc, "updatedAt", "updated_at").alias("updated_at"),
-        as_integer(at(doc, "views")).alias("views"),
-        as_number(at(doc, "price")).alias("price"),
-        as_flag(at(doc, "isDonate")).alias("is_donate"),
-        as_flag(at(doc, "isSubscription")).alias("is_subscription"),
-        as_flag(at(doc, "isSponsored")).alias("is_sponsored"),
-        flag_or_missing(at(doc, "isEdited")).alias("is_edited"),
-        flag_or_missing(at(doc, "isUserPaid")).alias("is_user_paid"),
-        first_text_at(doc, "slug").alias("slug"),
-        first_text_at(doc, "book.slug").alias("book_slug"),
-        as_text(at(doc, "url")).alias("url"),
+    staged, f = read_fields(
+        df,
+        F.col(source),
+        "_c_",
+        ids={"id": "id chapterId", "book_id": "bookId book.id"},
+        texts={
+            "slug": "slug",
+            "named_book": "book.slug",
+            "title": "title name",
+            "number_label": "numberChapter numberLabel",
+            "number_text": "numberChapter title",
+            "published_at": "publishedAt published_at",
+            "created_at": "createdAt created_at",
+            "updated_at": "updatedAt updated_at",
+        },
+        raw_texts={"url": "url"},
+        numbers={"number": "chapterShortNumber number", "volume": "tom volume", "price": "price"},
+        integers={"views": "views"},
+        flags={"is_donate": "isDonate", "is_subscription": "isSubscription", "is_sponsored": "isSponsored"},
+        maybe_flags={"is_edited": "isEdited", "is_user_paid": "isUserPaid"},
     )
-    d = lambda name: F.col(f"_d.{name}")
     empty = F.lit("")
-    slug = F.coalesce(d("slug"), non_blank(last_segment(d("url"))), empty)
-    book = F.coalesce(d("book_slug"), non_blank(first_segment(d("url"))), non_blank(F.col(parent_slug)), empty)
-    own_path = F.concat(F.lit("/"), F.col("_s.book"), F.lit("/"), F.col("_s.slug"))
-    root = F.lit(base.rstrip("/"))
+    path = staged.withColumn("_c_path", path_segments(f["url"]))
+    first, last = F.get("_c_path", F.lit(0)), F.try_element_at("_c_path", F.lit(-1))
+    keyed = path.withColumns(
+        {
+            "_c_slug": F.coalesce(f["slug"], non_blank(last), empty),
+            "_c_book": F.coalesce(f["named_book"], non_blank(first), non_blank(F.col(parent_slug)), empty),
+        }
+    )
+    own_path = F.concat(F.lit("/"), F.col("_c_book"), F.lit("/"), F.col("_c_slug"))
     derived = {
-        "slug": F.col("_s.slug"),
-        "book_slug": F.col("_s.book"),
-        "url": F.coalesce(absolute_url(F.coalesce(d("url"), own_path), base), F.concat(root, own_path)),
-        "title": F.coalesce(d("title"), F.col("_s.slug")),
-        "number": F.coalesce(d("number"), parse_chapter_number(first_text(d("own_label"), d("own_title")))),
+        "id": f["id"]["value"],
+        "id_is_num": f["id"]["is_num"],
+        "book_id": f["book_id"]["value"],
+        "book_id_is_num": f["book_id"]["is_num"],
+        "slug": F.col("_c_slug"),
+        "book_slug": F.col("_c_book"),
+        "url": F.coalesce(
+            absolute_url(F.coalesce(f["url"], own_path), base), F.concat(F.lit(base.rstrip("/")), own_path)
+        ),
+        "title": F.coalesce(f["title"], "_c_slug"),
+        "number": F.coalesce(f["number"], let(f["number_text"], parse_chapter_number)),
     }
-    fields = [derived.get(n, d(n)).alias(n) for n in CHAPTER_FIELDS]
-    return (
-        df.withColumn("_d", direct)
-        .withColumn("_s", F.struct(slug.alias("slug"), book.alias("book")))
-        .withColumn(out, F.struct(*fields))
-        .drop("_d", "_s")
-    )
+    fields = [(derived[n] if n in derived else f[n]).alias(n) for n in CHAPTER_FIELDS]
+    kinds = ("ids", "texts", "raw_texts", "numbers", "integers", "flags", "maybe_flags", "path", "slug", "book")
+    return keyed.withColumn(out, F.struct(*fields)).drop(*[f"_c_{k}" for k in kinds])
 
 
 def chapter_objects(loaded: DataFrame) -> DataFrame:
@@ -84,8 +80,7 @@ def chapter_objects(loaded: DataFrame) -> DataFrame:
     """
     doc = F.col("doc")
     places = ("pageProps.chapter", "pageProps.data", "pageProps.totalData.chapter")
-    found = F.coalesce(*[filled_object(at(doc, p)) for p in places])
-    return loaded.withColumn("raw", found).withColumn(
+    return loaded.withColumn("raw", first_object(doc, places)).withColumn(
         "error_code", F.when(F.col("raw").isNull(), F.lit("INVALID_PAYLOAD"))
     )
 
@@ -98,54 +93,46 @@ def chapter_details(loaded: DataFrame, base: str, keep: tuple[str, ...] = ("book
     null if the chapter names none), ``raw_html``, ``symbols_count`` and the
     object itself as ``raw``.
     """
-    raw = F.col("raw")
     request_slug = F.col("book_slug")
     objects = chapter_objects(loaded).select(*dict.fromkeys([*keep, "book_slug"]), "raw", "error_code")
-    summary = chapter_columns(objects, base)
-    translator = first_id_at(raw, "translatorId", "translator.id")
-    editor = first_id_at(raw, "editorId", "editor.id")
-    parts = F.struct(
-        filled_object(at(raw, "book")).isNotNull().alias("has_book"),
-        first_id_at(raw, "book.id", "bookId").alias("id"),
-        first_text_at(raw, "book.slug").alias("slug"),
-        as_text(at(raw, "book.url")).alias("url"),
-        first_text_at(raw, "book.title", "book.name").alias("title"),
-        first_text_at(raw, "book.titleEn", "book.title_en").alias("title_en"),
+    staged, f = read_fields(
+        chapter_columns(objects, base),
+        F.col("raw"),
+        "_d_",
+        ids={"translator": "translatorId translator.id", "editor": "editorId editor.id", "book_id": "book.id bookId"},
+        texts={"book_slug": "book.slug", "book_title": "book.title book.name", "book_title_en": "book.titleEn book.title_en"},
+        raw_texts={"status": "status", "html": "content.text", "book_url": "book.url"},
+        integers={"symbols": "content.symbolsCount"},
+        variants={"book": "book"},
     )
-    b = lambda name: F.col(f"_b.{name}")
-    slug = F.coalesce(b("slug"), non_blank(first_segment(b("url"))), request_slug)
+    slug = F.coalesce(f["book_slug"], non_blank(F.get(path_segments(f["book_url"]), F.lit(0))), request_slug)
     own_path = F.concat(F.lit("/"), F.col("_slug"))
     book = F.when(
-        b("has_book"),
+        filled_object(f["book"]).isNotNull(),
         F.struct(
-            b("id.value").alias("id"),
-            b("id.is_num").alias("id_is_num"),
+            f["book_id"]["value"].alias("id"),
+            f["book_id"]["is_num"].alias("id_is_num"),
             F.col("_slug").alias("slug"),
             F.coalesce(
-                absolute_url(F.coalesce(b("url"), own_path), base), F.concat(F.lit(base.rstrip("/")), own_path)
+                absolute_url(F.coalesce(f["book_url"], own_path), base), F.concat(F.lit(base.rstrip("/")), own_path)
             ).alias("url"),
-            F.coalesce(b("title"), request_slug).alias("title"),
-            b("title_en").alias("title_en"),
+            F.coalesce(f["book_title"], request_slug).alias("title"),
+            f["book_title_en"].alias("title_en"),
         ),
     )
-    none_if_missing = lambda c: F.when(raw.isNotNull(), c)
-    return (
-        summary.withColumn("_b", parts)
-        .withColumn("_slug", slug)
-        .select(
-            *keep,
-            "error_code",
-            none_if_missing(F.col("chapter")).alias("chapter"),
-            as_text(at(raw, "status")).alias("status"),
-            translator["value"].alias("translator_id"),
-            translator["is_num"].alias("translator_id_is_num"),
-            editor["value"].alias("editor_id"),
-            editor["is_num"].alias("editor_id_is_num"),
-            book.alias("book"),
-            as_text(at(raw, "content.text")).alias("raw_html"),
-            as_integer(at(raw, "content.symbolsCount")).alias("symbols_count"),
-            "raw",
-        )
+    return staged.withColumn("_slug", slug).select(
+        *keep,
+        "error_code",
+        F.when(F.col("raw").isNotNull(), F.col("chapter")).alias("chapter"),
+        f["status"].alias("status"),
+        f["translator"]["value"].alias("translator_id"),
+        f["translator"]["is_num"].alias("translator_id_is_num"),
+        f["editor"]["value"].alias("editor_id"),
+        f["editor"]["is_num"].alias("editor_id_is_num"),
+        book.alias("book"),
+        f["html"].alias("raw_html"),
+        f["symbols"].alias("symbols_count"),
+        "raw",
     )
 
 
@@ -157,8 +144,8 @@ def chapter_people(chapters: DataFrame, keep: tuple[str, ...] = ("book_slug", "c
         return unique_people(with_id_only(people_of(raw, role), role, id_))
 
     people = F.concat(
-        of("translator", first_id_at(raw, "translatorId", "translator.id")),
-        of("editor", first_id_at(raw, "editorId", "editor.id")),
+        of("translator", first_id_at(raw, "translatorId translator.id")),
+        of("editor", first_id_at(raw, "editorId editor.id")),
     )
     return chapters.select(*keep, F.posexplode(people).alias("pos", "person")).select(*keep, "pos", "person.*")
 

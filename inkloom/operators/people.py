@@ -10,7 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from inkloom.functions.html import first_per_key
-from inkloom.functions.payload import as_list, at, first_id_at, first_text_at, is_object, present
+from inkloom.functions.payload import as_list, at, first_id_at, first_text_at, is_object
+from inkloom.functions.text import let
 
 # Keys that may hold the people of a role, in order.
 ROLE_KEYS = {
@@ -23,26 +24,25 @@ PERSON = "struct<role: string, id: string, id_is_num: boolean, name: string, use
 
 
 def _person(raw: Column, role: str) -> Column:
-    id_ = first_id_at(raw, "id", "userId", "teamId")
-    return F.struct(
+    person = lambda id_: F.struct(
         F.lit(role).alias("role"),
         id_["value"].alias("id"),
         id_["is_num"].alias("id_is_num"),
-        first_text_at(raw, "displayName", "name", "title", "fullName").alias("name"),
-        first_text_at(raw, "username", "login", "nickname", "slug").alias("username"),
-        first_text_at(raw, "url", "profileUrl").alias("url"),
+        first_text_at(raw, "displayName name title fullName").alias("name"),
+        first_text_at(raw, "username login nickname slug").alias("username"),
+        first_text_at(raw, "url profileUrl").alias("url"),
     )
+    return let(first_id_at(raw, "id userId teamId"), person)
 
 
 def people_of(doc: Column, role: str) -> Column:
     """People of a role in key order, nameless and id-less ones left out."""
 
-    def under(key: str) -> Column:
-        value = present(at(doc, key))
-        listed = F.coalesce(as_list(value), F.array(value))
-        return F.filter(listed, is_object)
-
-    found = F.transform(F.concat(*[under(k) for k in ROLE_KEYS[role]]), lambda p: _person(p, role))
+    values = F.filter(
+        F.array(*[at(doc, key) for key in ROLE_KEYS[role]]), lambda v: v.isNotNull() & ~F.is_variant_null(v)
+    )
+    listed = F.flatten(F.transform(values, lambda v: F.coalesce(as_list(v), F.array(v))))
+    found = F.transform(F.filter(listed, is_object), lambda p: _person(p, role))
     return F.filter(found, lambda p: p["id"].isNotNull() | p["name"].isNotNull() | p["username"].isNotNull())
 
 
@@ -51,17 +51,22 @@ def with_id_only(people: Column, role: str, id_: Column) -> Column:
 
     The number 5 and the text '5' are different ids here.
     """
-    known = F.exists(people, lambda p: (p["id"] == id_["value"]) & (p["id_is_num"] == id_["is_num"]))
     none = F.lit(None).cast("string")
-    extra = F.struct(
-        F.lit(role).alias("role"),
-        id_["value"].alias("id"),
-        id_["is_num"].alias("id_is_num"),
-        none.alias("name"),
-        none.alias("username"),
-        none.alias("url"),
-    )
-    return F.when(id_.isNull() | F.coalesce(known, F.lit(False)), people).otherwise(F.concat(people, F.array(extra)))
+
+    def extended(i: Column) -> Column:
+        known = F.exists(people, lambda p: (p["id"] == i["value"]) & (p["id_is_num"] == i["is_num"]))
+        extra = F.struct(
+            F.lit(role).alias("role"),
+            i["value"].alias("id"),
+            i["is_num"].alias("id_is_num"),
+            none.alias("name"),
+            none.alias("username"),
+            none.alias("url"),
+        )
+        missing = i.isNotNull() & ~F.coalesce(known, F.lit(False))
+        return F.when(missing, F.array(extra)).otherwise(F.array().cast(f"array<{PERSON}>"))
+
+    return F.concat(people, let(id_, extended))
 
 
 def unique_people(people: Column) -> Column:

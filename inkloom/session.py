@@ -37,6 +37,8 @@ def local_session(cores: str = "*", app: str = "inkloom", partitions: int = 8) -
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # recording a call site for every column expression slows plan building
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()

@@ -60,7 +60,7 @@ def load_captures(spark, d):
         "capture_id",
         "kind",
         doc.isNotNull().alias("is_json"),
-        first_id_at(doc, *places)["value"].alias("object_id"),
+        first_id_at(doc, " ".join(places))["value"].alias("object_id"),
         F.when(F.col("kind") == "page_html", F.octet_length("body")).alias("html_bytes"),
     )
 
@@ -135,7 +135,7 @@ def _catalog(spark, d):
 @query
 def catalog_items(spark, d):
     rows = C.catalog_items(_catalog(spark, d))
-    id_ = first_id_at(F.col("item"), "id", "bookId")
+    id_ = first_id_at(F.col("item"), "id bookId")
     return rows.select("page", "pos", id_["value"].alias("id"), id_["is_num"].alias("id_is_num"))
 
 
@@ -198,7 +198,7 @@ def _books(spark, d):
 
 def _parts_as_books(spark, d):
     return C.catalog_items(_catalog(spark, d)).select(
-        first_id_at(F.col("item"), "id", "bookId")["value"].alias("book_id"), F.col("item").alias("book")
+        first_id_at(F.col("item"), "id bookId")["value"].alias("book_id"), F.col("item").alias("book")
     )
 
 

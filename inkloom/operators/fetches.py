@@ -26,7 +26,8 @@ def retry_after_ms(header: Column, now: Column) -> Column:
     seconds = F.when(blank, F.lit(0.0)).otherwise(parse_number(header))
     date = F.try_to_timestamp(F.concat(F.substring(header, 6, 20), F.lit(" +0000")), F.lit("dd MMM yyyy HH:mm:ss Z"))
     wait = (F.unix_millis(date) - F.unix_millis(now)).cast("double")
-    return F.greatest(F.coalesce(seconds * 1000, wait), F.lit(0.0))
+    asked = F.coalesce(seconds * 1000, wait)
+    return F.when(asked < 0, F.lit(0.0)).otherwise(asked)
 
 
 def classify_fetches(
@@ -45,7 +46,8 @@ def classify_fetches(
     retryable = (status.isin(*RETRYABLE_STATUSES) | (status >= 500)) & (attempt < max_retries)
     asked = F.when(F.col("code") == "HTTP_ERROR", retry_after_ms(F.col("retry_after"), F.col("fetched_at")))
     backoff = F.least(F.lit(float(max_ms)), F.lit(float(base_ms)) * F.pow(F.lit(2.0), attempt))
-    capped = F.least(F.lit(float(max_ms)), F.col("retry_after_ms"))
+    asked_ms = F.col("retry_after_ms")
+    capped = F.when(asked_ms > max_ms, F.lit(float(max_ms))).otherwise(asked_ms)
     bound = lambda share: F.when(
         F.col("retryable"), F.coalesce(capped, F.floor(backoff * share + 0.5).cast("double"))
     )

@@ -62,7 +62,7 @@ def pct_sql(x: str) -> str:
 MARKUP = """
     '<p style="text-align:center;color:red; Font-Weight : bold;position:x" onclick="bad()">No&#46; ' || page_id || ' &#x41;&#160;&lt;b&gt;</p>'
     || '<img data-lazy-src="/images/' || page_id || '.jpg" onerror="bad()" alt="pic &amp; ' || page_id || '" width="120" height="x">'
-    || '<img src='''' data-src=''/images/' || (page_id % 7) || '.png''><img src=/images/' || page_id || '.jpg>'
+    || '<IMG src='''' data-src=''/images/' || (page_id % 7) || '.png''><img src=/images/' || page_id || '.jpg>'
     || '<img data-src="javascript:bad"><td colspan="2" rowspan=1000 align=RIGHT>c</td><ol start="-3"><del>d</del></ol>'
     || '<a href="mailto:a@b.example" title="A &quot;q&quot;">m</a><a href="javascript:x()">j</a><hr/></br><blink>k</blink>'
 """
@@ -138,7 +138,7 @@ CLEAN_TOKEN = f"""
       WHEN t NOT LIKE '<%' THEN t
       WHEN t LIKE '<p style=%' THEN '<p style="text-align:center;font-weight:bold">'
       WHEN t LIKE '<img data-lazy-src=%' THEN '<img src="{BASE}/images/' || page_id || '.jpg" alt="pic &amp; ' || page_id || '" width="120" loading="lazy" decoding="async">'
-      WHEN t LIKE '<img src='''' %' THEN '<img src="{BASE}/images/' || (page_id % 7) || '.png" alt="" loading="lazy" decoding="async">'
+      WHEN t LIKE '<IMG src='''' %' THEN '<img src="{BASE}/images/' || (page_id % 7) || '.png" alt="" loading="lazy" decoding="async">'
       WHEN t LIKE '<img src=/%' THEN '<img src="{BASE}/images/' || page_id || '.jpg" alt="" loading="lazy" decoding="async">'
       WHEN t LIKE '<img%' THEN ''
       WHEN t LIKE '<td %' THEN '<td colspan="2" style="text-align:right">'
@@ -184,8 +184,8 @@ SELECT 'e' || event_id, NULL, NULL, regexp_extract(props, '"k": ([0-9]+)', 1), t
 
 ORACLES["classify_fetches"] = f"""
 SELECT event_id, code, retryable, retry_after_ms,
-       CASE WHEN retryable THEN coalesce(least(8000.0, retry_after_ms), floor(backoff * 0.8 + 0.5)) END AS delay_low_ms,
-       CASE WHEN retryable THEN coalesce(least(8000.0, retry_after_ms), floor(backoff * 1.2 + 0.5)) END AS delay_high_ms
+       CASE WHEN retryable THEN CASE WHEN retry_after_ms IS NULL THEN floor(backoff * 0.8 + 0.5) ELSE least(8000.0, retry_after_ms) END END AS delay_low_ms,
+       CASE WHEN retryable THEN CASE WHEN retry_after_ms IS NULL THEN floor(backoff * 1.2 + 0.5) ELSE least(8000.0, retry_after_ms) END END AS delay_high_ms
 FROM (
   SELECT event_id,
          CASE status WHEN 200 THEN 'OK' WHEN 404 THEN 'NOT_FOUND' ELSE 'HTTP_ERROR' END AS code,
@@ -404,13 +404,13 @@ SELECT book_slug, chapter_slug, 'previous', 'p' || (n - 1), false, 'line-' || (n
 """
 
 ORACLES["chapter_availability"] = f"""
-WITH both AS (
+WITH every AS (
   SELECT {LINE_BOOK} AS book_slug, {LINE_SLUG} AS chapter_slug, l_returnflag = 'R' AS paid, l_linestatus = 'O' AS sub, l_extendedprice AS price FROM lineitem
   UNION ALL SELECT book_slug, slug, paid, false, 4.0 FROM ({TALK}) WHERE role <> 'system' AND NOT gone
 ), modes(allowed) AS (VALUES (false), (true))
 SELECT allowed, book_slug, chapter_slug, NOT paid AS available, CASE WHEN paid AND NOT allowed THEN 'CHAPTER_UNAVAILABLE' END AS error_code,
        paid AS is_donate, sub AS is_subscription, price
-FROM both, modes
+FROM every, modes
 """
 
 _ASC = "coalesce(volume, 0), coalesce(number, 9007199254740991), title, pos"

@@ -265,7 +265,7 @@ def chapter_numbers(spark, d):
         F.col("l_orderkey").alias("book"), F.concat(word, F.col("l_linenumber").cast("string"), F.lit(","), F.col("l_suppkey").cast("string")).alias("label")
     )
     talks = table(spark, d, "conversations").select(
-        F.col("conv_id").alias("book"), F.concat(F.lit("глава "), F.col("turn").cast("string"), F.lit(". "), "role").alias("label")
+        F.col("conv_id").alias("book"), F.concat(F.lit("глава "), F.col("turn").cast("string"), F.lit(". "), "role").alias("label")
     )
     rows = lines.unionByName(talks)
     return rows.select("book", "label", parse_chapter_number(F.col("label")).alias("number"))

@@ -19,20 +19,24 @@ def with_document(df: DataFrame, body: str = "body", out: str = "doc", when: Col
 
     ``try_parse_json`` stops after the first value and ignores what follows, so
     the body is parsed as the first element of an array closed by its own hash:
-    with trailing text the array is malformed or the hash is elsewhere.
-    ``when`` limits parsing to rows worth it.
+    with trailing text the array is malformed or the hash is elsewhere.  The
+    result stays in that array, which saves copying it out; read it with
+    :func:`within`.  ``when`` limits parsing to rows worth it.
     """
-    text = F.regexp_replace(F.col(body), r"^\uFEFF", "")
+    bom = "\ufeff"
+    text = F.when(F.col(body).startswith(bom), F.ltrim(F.col(body), F.lit(bom))).otherwise(F.col(body))
     text = text if when is None else F.when(when, text)
     seal = F.xxhash64(F.col(body))
     sealed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), seal.cast("string"), F.lit("]")))
-    checked = F.when(
-        F.try_variant_get(F.col("_sealed"), "$[1]", "bigint") == seal,
-        F.try_variant_get(F.col("_sealed"), "$[0]", "variant"),
-    )
+    checked = F.when(F.try_variant_get(F.col("_sealed"), "$[1]", "bigint") == seal, F.col("_sealed"))
     return df.withColumn("_sealed", sealed).withColumn(out, checked).drop("_sealed")
 
 
+def within(doc: Column, path: str = "", kind: str = "variant") -> Column:
+    """Value at a dotted path of a parsed body; null if any step is missing."""
+    return F.try_variant_get(doc, f"$[0].{path}" if path else "$[0]", kind)
+
+
 def at(doc: Column, path: str) -> Column:
     """Value at a dotted path; null if any step is missing."""
     return F.try_variant_get(doc, f"$.{path}", "variant")
@@ -48,8 +52,8 @@ def filled_object(value: Column) -> Column:
 
 
 def first_object(doc: Column, paths: Sequence[str]) -> Column:
-    """First non-empty object among the paths."""
-    found = F.filter(F.array(*[at(doc, p) for p in paths]), lambda v: filled_object(v).isNotNull())
+    """First non-empty object among the paths of a parsed body."""
+    found = F.filter(F.array(*[within(doc, p) for p in paths]), lambda v: filled_object(v).isNotNull())
     return F.get(found, F.lit(0))
 
 

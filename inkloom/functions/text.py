@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters a browser's trim() and \s treat as white space.
@@ -27,6 +27,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def numbered(df: DataFrame, keep: Sequence[str | Column], items: Column, item: str, pos: str = "pos") -> DataFrame:
+    """One row per array element with its position.
+
+    The outer form with a filter on its result: for the inner form the planner
+    adds a filter on the array itself below everything the array comes from,
+    and so would parse or clean each body twice.
+    """
+    rows = df.select(*keep, F.posexplode_outer(items).alias(pos, item))
+    return rows.filter(F.col(pos).isNotNull())
+
+
 def trim(value: Column) -> Column:
     return F.btrim(value, F.lit(WHITE_SPACE))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkloom.functions.html import clean_html, html_images, html_text
 from inkloom.functions.payload import at, filled_object, first_id_at, first_object, is_object, read_fields
-from inkloom.functions.text import let, non_blank, parse_chapter_number
+from inkloom.functions.text import let, non_blank, numbered, parse_chapter_number
 from inkloom.functions.urls import absolute_url, path_segments
 from inkloom.operators.people import people_of, unique_people, with_id_only
 
@@ -147,7 +147,7 @@ def chapter_people(chapters: DataFrame, keep: tuple[str, ...] = ("book_slug", "c
         of("translator", first_id_at(raw, "translatorId translator.id")),
         of("editor", first_id_at(raw, "editorId editor.id")),
     )
-    return chapters.select(*keep, F.posexplode(people).alias("pos", "person")).select(*keep, "pos", "person.*")
+    return numbered(chapters, keep, people, "person").select(*keep, "pos", "person.*")
 
 
 def chapter_neighbors(chapters: DataFrame, base: str, keep: tuple[str, ...] = ("book_slug", "chapter_slug")) -> DataFrame:

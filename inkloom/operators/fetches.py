@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkloom.functions.payload import as_text, at, is_object, with_document
+from inkloom.functions.payload import as_text, at, is_object, with_document, within
 from inkloom.functions.text import decode_component, encode_component, let, non_blank, parse_number, trim
 from inkloom.functions.urls import segments
 
@@ -119,12 +119,12 @@ def page_embedded_data(pages: DataFrame, html: str = "html") -> DataFrame:
     manifest = F.regexp_extract(html, r"""(?i)/_next/static/([^/"']+)/_buildManifest\.js""", 1)
     taken = pages.withColumn("_script", _script_text(script)).withColumn("_manifest", manifest)
     parsed = with_document(taken, "_script", "_doc", when=F.col("_script") != "")
-    data = F.when(is_object(F.col("_doc")), F.col("_doc"))
+    whole = within(F.col("_doc"))
     build = F.coalesce(
         non_blank(as_text(at(F.col("data"), "buildId"))),
         F.when(F.col("_manifest") != "", decode_component(F.col("_manifest"))),
     )
-    return parsed.withColumn("data", data).withColumn("build_id", build).drop("_script", "_manifest", "_doc")
+    return parsed.withColumn("data", F.when(is_object(whole), whole)).withColumn("build_id", build).drop("_script", "_manifest", "_doc")
 
 
 # ----------------------------------------------------------------- requests

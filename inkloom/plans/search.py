@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.functions.html import drop_unsafe_html
+from inkloom.functions.text import numbered
 from inkloom.operators.catalog import (
     book_summaries, catalog_pages, catalog_source_select, catalog_traverse, search_books,
 )
@@ -32,9 +33,7 @@ def search_catalog(
     reached = catalog_traverse(
         picked.select("capture_id", "page", "n_items", "page_count", "source"), start_page, max_pages
     ).select("capture_id")
-    items = picked.join(reached, "capture_id", "left_semi").select(
-        "page", F.posexplode("items").alias("pos", "item")
-    )
+    items = numbered(picked.join(reached, "capture_id", "left_semi"), ["page"], F.col("items"), "item")
     return search_books(book_summaries(items, base), needle, include_description)
 
 

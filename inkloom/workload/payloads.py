@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkloom.sources.captures import spread_small
+
 BASE = "https://novels.example"
 PAGE_SIZE = 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_small(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _text(*parts) -> Column:

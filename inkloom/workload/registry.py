@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkloom.functions.html import clean_html, drop_unsafe_html, html_images, html_text
-from inkloom.functions.payload import as_text, at, first_id_at
-from inkloom.functions.text import parse_chapter_number
+from inkloom.functions.payload import as_id, as_text, at, first_id_at, within
+from inkloom.functions.text import numbered, parse_chapter_number
 from inkloom.operators import books as B
 from inkloom.operators import catalog as C
 from inkloom.operators import chapters as CH
@@ -60,7 +60,7 @@ def load_captures(spark, d):
         "capture_id",
         "kind",
         doc.isNotNull().alias("is_json"),
-        first_id_at(doc, " ".join(places))["value"].alias("object_id"),
+        as_id(F.coalesce(*[within(doc, p) for p in places]))["value"].alias("object_id"),
         F.when(F.col("kind") == "page_html", F.octet_length("body")).alias("html_bytes"),
     )
 
@@ -70,7 +70,7 @@ def quarantine_payloads(spark, d):
     docs = table(spark, d, "documents").select(F.concat(F.lit("d"), "doc_id").alias("capture_id"), F.col("text").alias("body"))
     props = table(spark, d, "events").select(F.concat(F.lit("e"), "event_id").alias("capture_id"), F.col("props").alias("body"))
     rows = quarantine(docs.unionByName(props), SIZE_LIMIT)
-    k = first_id_at(F.col("doc"), "k")
+    k = as_id(within(F.col("doc"), "k"))
     return rows.select("capture_id", "error_code", "preview", k["value"].alias("k"), k["is_num"].alias("k_is_num"))
 
 
@@ -362,7 +362,7 @@ def clean_page_html(spark, d):
 def page_images(spark, d):
     pages = P.pages_with_markup(table(spark, d, "pages"))
     images = html_images(F.col("html"), BASE)
-    rows = pages.select("page_id", F.posexplode(images).alias("rank", "i"))
+    rows = numbered(pages, ["page_id"], images, "i", "rank")
     return rows.select("page_id", "rank", "i.pos", "i.url", "i.name", "i.alt")
 
 

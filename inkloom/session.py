@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +47,11 @@ def local_session(cores: str = "*", app: str = "inkloom", partitions: int = 8) -
     return configure(spark)
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="inkloom-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder for checkpoints and written intermediate tables.
 
@@ -58,9 +64,7 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="inkloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

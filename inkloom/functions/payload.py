@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.functions.text import finite, non_blank, parse_number, trim
+from inkloom.functions.text import finite, let, parse_number, trim
 
 
 def with_document(df: DataFrame, body: str = "body", out: str = "doc", when: Column | None = None) -> DataFrame:
@@ -71,9 +71,11 @@ def _is_number(kind: Column) -> Column:
 
 
 def as_number(value: Column) -> Column:
-    kind = F.schema_of_variant(value)
-    return F.when(_is_number(kind), finite(F.try_variant_get(value, "$", "double"))).when(
-        kind == "STRING", parse_number(F.try_variant_get(value, "$", "string"))
+    return let(
+        F.schema_of_variant(value),
+        lambda kind: F.when(_is_number(kind), finite(F.try_variant_get(value, "$", "double"))).when(
+            kind == "STRING", parse_number(F.try_variant_get(value, "$", "string"))
+        ),
     )
 
 
@@ -82,16 +84,15 @@ def as_integer(value: Column) -> Column:
     return as_number(value).try_cast("bigint")
 
 
-def as_flag(value: Column, fallback: bool | None = False) -> Column:
-    kind = F.schema_of_variant(value)
+def as_flag(value: Column) -> Column:
+    """True or false where the value says so, else false."""
     text = F.try_variant_get(value, "$", "string")
-    number = F.try_variant_get(value, "$", "double")
-    return (
-        F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when(_is_number(kind) & number.isin(0.0, 1.0), number == 1.0)
-        .when((kind == "STRING") & text.isin("1", "true"), F.lit(True))
-        .when((kind == "STRING") & text.isin("0", "false"), F.lit(False))
-        .otherwise(F.lit(fallback).cast("boolean"))
+    return let(
+        F.schema_of_variant(value),
+        lambda kind: F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+        .when(_is_number(kind), F.try_variant_get(value, "$", "double") == 1.0)
+        .when(kind == "STRING", text.isin("1", "true"))
+        .otherwise(F.lit(False)),
     )
 
 
@@ -103,20 +104,23 @@ def flag_or_missing(value: Column) -> Column:
 def _number_text(value: Column) -> Column:
     number = F.try_variant_get(value, "$", "double")
     whole = (F.abs(number) < F.lit(9.2e18)) & (number == F.floor(number))
-    return F.when(F.schema_of_variant(value) == "BIGINT", F.try_variant_get(value, "$", "string")).otherwise(
-        F.when(whole, number.try_cast("bigint").cast("string")).otherwise(number.cast("string"))
-    )
+    return F.when(whole, number.try_cast("bigint").cast("string")).otherwise(number.cast("string"))
 
 
 def as_id(value: Column) -> Column:
     """struct(value, is_num) of a finite number or a non-blank string."""
-    kind = F.schema_of_variant(value)
-    number = finite(F.try_variant_get(value, "$", "double"))
-    text = non_blank(F.try_variant_get(value, "$", "string"))
-    pair = lambda v, n: F.struct(v.alias("value"), F.lit(n).alias("is_num"))
-    return F.when(_is_number(kind) & number.isNotNull(), pair(_number_text(value), True)).when(
-        (kind == "STRING") & text.isNotNull(), pair(text, False)
-    )
+    pair = lambda v, n: F.when(v.isNotNull(), F.struct(v.alias("value"), F.lit(n).alias("is_num")))
+    text = lambda: F.try_variant_get(value, "$", "string")
+
+    def read(kind: Column) -> Column:
+        finite_number = F.abs(F.try_variant_get(value, "$", "double")) < float("inf")
+        return (
+            F.when(kind == "BIGINT", pair(text(), True))
+            .when(_is_number(kind) & finite_number, pair(_number_text(value), True))
+            .when((kind == "STRING") & (F.length(trim(text())) > 0), pair(text(), False))
+        )
+
+    return let(F.schema_of_variant(value), read)
 
 
 def _filled_text(value: Column) -> Column:
@@ -134,7 +138,8 @@ def _first_present(read: Callable[[Column], Column]) -> Callable[[Column], Colum
 
     A value that does not read as wanted is not replaced by a later one.
     """
-    return lambda values: read(F.get(F.filter(values, lambda v: v.isNotNull() & ~F.is_variant_null(v)), F.lit(0)))
+    there = lambda v: v.isNotNull() & ~F.is_variant_null(v)
+    return lambda values: let(F.get(F.filter(values, there), F.lit(0)), read)
 
 
 # How the fields of an object are read, by kind of field.
@@ -144,8 +149,8 @@ READERS: dict[str, Callable[[Column], Column]] = {
     "ids": _first_usable(as_id),
     "numbers": _first_present(as_number),
     "integers": _first_present(as_integer),
-    "flags": lambda values: as_flag(F.get(values, F.lit(0))),
-    "maybe_flags": lambda values: flag_or_missing(F.get(values, F.lit(0))),
+    "flags": lambda values: let(F.get(values, F.lit(0)), as_flag),
+    "maybe_flags": lambda values: let(F.get(values, F.lit(0)), flag_or_missing),
     "variants": _first_present(lambda v: v),
 }
 

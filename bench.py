@@ -18,7 +18,7 @@ HEADLINES = """
     quarantine_payloads classify_fetches latest_per_url current_build_captures fetch_plan
     catalog_items book_summaries search_books book_people book_chapters chapter_details chapter_people
     select_chapters last_free_chapter assemble_book download_summary
-    clean_page_html page_images page_text resolve_urls
+    clean_html html_images html_text resolve_urls
 """.split()
 
 

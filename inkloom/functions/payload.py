@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.functions.text import finite, let, parse_number, trim
+from inkloom.functions.text import finite, let, parse_number, staged, trim
 
 
 def with_document(df: DataFrame, body: str = "body", out: str = "doc", when: Column | None = None) -> DataFrame:
@@ -167,13 +167,18 @@ def read_fields(df: DataFrame, doc: Column, tag: str, **kinds: Mapping[str, str]
     small however many fields there are.  Returns the frame with one array
     column per kind (``tag`` starts their names) and the column of each field.
     """
-    arrays, fields = {}, {}
+    fields = {}
     for kind, names in kinds.items():
         column = f"{tag}{kind}"
-        arrays[column] = F.transform(F.array(*[_places(doc, paths) for paths in names.values()]), READERS[kind])
+        places = F.array(*[_places(doc, paths) for paths in names.values()])
+        df = staged(df, column, places, _read_all, kind)
         for i, name in enumerate(names):
             fields[name] = F.get(F.col(column), F.lit(i))
-    return df.withColumns(arrays), fields
+    return df, fields
+
+
+def _read_all(places: Column, kind: str) -> Column:
+    return F.transform(places, READERS[kind])
 
 
 def first_text_at(doc: Column, paths: str) -> Column:

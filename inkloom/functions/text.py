@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def staged(df: DataFrame, out: str, value: Column, body: Callable, *options) -> DataFrame:
+    """Add ``out``: ``body`` of a value, which is staged in a column first.
+
+    The expression over the staging column is built once per application and
+    used again: building a large one costs thousands of calls to the JVM.
+    """
+    app = df.sparkSession.sparkContext.applicationId
+    built = _over_staging_column(app, body, options)
+    return df.withColumn("_staged", value).withColumn(out, built).drop("_staged")
+
+
+@lru_cache(maxsize=256)
+def _over_staging_column(app: str, body: Callable, options: tuple) -> Column:
+    return body(F.col("_staged"), *options)
+
+
 def numbered(df: DataFrame, keep: Sequence[str | Column], items: Column, item: str, pos: str = "pos") -> DataFrame:
     """One row per array element with its position.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkloom.functions.html import clean_html, html_images, html_text
 from inkloom.functions.payload import at, filled_object, first_id_at, first_object, is_object, read_fields
-from inkloom.functions.text import let, non_blank, numbered, parse_chapter_number
+from inkloom.functions.text import let, non_blank, numbered, parse_chapter_number, staged
 from inkloom.functions.urls import absolute_url, path_segments
 from inkloom.operators.people import people_of, unique_people, with_id_only
 
@@ -24,7 +24,7 @@ def chapter_columns(
 
     ``parent_slug`` names the column with the book slug to fall back on.
     """
-    staged, f = read_fields(
+    read, f = read_fields(
         df,
         F.col(source),
         "_c_",
@@ -46,7 +46,7 @@ def chapter_columns(
         maybe_flags={"is_edited": "isEdited", "is_user_paid": "isUserPaid"},
     )
     empty = F.lit("")
-    path = staged.withColumn("_c_path", path_segments(f["url"]))
+    path = staged(read, "_c_path", f["url"], path_segments)
     first, last = F.get("_c_path", F.lit(0)), F.try_element_at("_c_path", F.lit(-1))
     keyed = path.withColumns(
         {
@@ -55,6 +55,7 @@ def chapter_columns(
         }
     )
     own_path = F.concat(F.lit("/"), F.col("_c_book"), F.lit("/"), F.col("_c_slug"))
+    linked = staged(keyed, "_c_url", F.coalesce(f["url"], own_path), absolute_url, base)
     derived = {
         "id": f["id"]["value"],
         "id_is_num": f["id"]["is_num"],
@@ -62,15 +63,13 @@ def chapter_columns(
         "book_id_is_num": f["book_id"]["is_num"],
         "slug": F.col("_c_slug"),
         "book_slug": F.col("_c_book"),
-        "url": F.coalesce(
-            absolute_url(F.coalesce(f["url"], own_path), base), F.concat(F.lit(base.rstrip("/")), own_path)
-        ),
+        "url": F.coalesce("_c_url", F.concat(F.lit(base.rstrip("/")), own_path)),
         "title": F.coalesce(f["title"], "_c_slug"),
         "number": F.coalesce(f["number"], let(f["number_text"], parse_chapter_number)),
     }
     fields = [(derived[n] if n in derived else f[n]).alias(n) for n in CHAPTER_FIELDS]
-    kinds = ("ids", "texts", "raw_texts", "numbers", "integers", "flags", "maybe_flags", "path", "slug", "book")
-    return keyed.withColumn(out, F.struct(*fields)).drop(*[f"_c_{k}" for k in kinds])
+    kinds = ("ids", "texts", "raw_texts", "numbers", "integers", "flags", "maybe_flags", "path", "slug", "book", "url")
+    return linked.withColumn(out, F.struct(*fields)).drop(*[f"_c_{k}" for k in kinds])
 
 
 def chapter_objects(loaded: DataFrame) -> DataFrame:
@@ -95,7 +94,7 @@ def chapter_details(loaded: DataFrame, base: str, keep: tuple[str, ...] = ("book
     """
     request_slug = F.col("book_slug")
     objects = chapter_objects(loaded).select(*dict.fromkeys([*keep, "book_slug"]), "raw", "error_code")
-    staged, f = read_fields(
+    read, f = read_fields(
         chapter_columns(objects, base),
         F.col("raw"),
         "_d_",
@@ -105,7 +104,10 @@ def chapter_details(loaded: DataFrame, base: str, keep: tuple[str, ...] = ("book
         integers={"symbols": "content.symbolsCount"},
         variants={"book": "book"},
     )
-    slug = F.coalesce(f["book_slug"], non_blank(F.get(path_segments(f["book_url"]), F.lit(0))), request_slug)
+    path = staged(read, "_d_path", f["book_url"], path_segments)
+    slugged = path.withColumn(
+        "_slug", F.coalesce(f["book_slug"], non_blank(F.get("_d_path", F.lit(0))), request_slug)
+    )
     own_path = F.concat(F.lit("/"), F.col("_slug"))
     book = F.when(
         filled_object(f["book"]).isNotNull(),
@@ -113,14 +115,13 @@ def chapter_details(loaded: DataFrame, base: str, keep: tuple[str, ...] = ("book
             f["book_id"]["value"].alias("id"),
             f["book_id"]["is_num"].alias("id_is_num"),
             F.col("_slug").alias("slug"),
-            F.coalesce(
-                absolute_url(F.coalesce(f["book_url"], own_path), base), F.concat(F.lit(base.rstrip("/")), own_path)
-            ).alias("url"),
+            F.coalesce("_d_url", F.concat(F.lit(base.rstrip("/")), own_path)).alias("url"),
             F.coalesce(f["book_title"], request_slug).alias("title"),
             f["book_title_en"].alias("title_en"),
         ),
     )
-    return staged.withColumn("_slug", slug).select(
+    linked = staged(slugged, "_d_url", F.coalesce(f["book_url"], own_path), absolute_url, base)
+    return linked.select(
         *keep,
         "error_code",
         F.when(F.col("raw").isNotNull(), F.col("chapter")).alias("chapter"),
@@ -192,9 +193,7 @@ def chapter_content(
     ``page_html`` (the ``on`` columns and ``page_html``) is joined only if
     asked for.
     """
-    out = (
-        chapters.withColumn("formatted_html", clean_html(F.col(html), base))
-        .withColumn("text", html_text(F.col("formatted_html")))
-        .withColumn("images", html_images(F.col(html), base))
-    )
+    out = staged(chapters, "formatted_html", F.col(html), clean_html, base)
+    out = staged(out, "text", F.col("formatted_html"), html_text)
+    out = staged(out, "images", F.col(html), html_images, base)
     return out if page_html is None else out.join(page_html, list(on), "left")

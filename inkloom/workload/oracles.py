@@ -438,16 +438,16 @@ SELECT book_slug, count(*) FILTER (error_code IS NULL) AS succeeded, count(*) FI
 FROM ({TALK_CODED}) WHERE down BETWEEN 1 AND 5 GROUP BY book_slug
 """
 
-ORACLES["drop_unsafe"] = f"SELECT page_id, {safe_sql('html')} AS html FROM pages"
-ORACLES["clean_page_html"] = f"SELECT page_id, formatted_html AS html FROM ({PAGES_CLEAN})"
+ORACLES["drop_unsafe_html"] = f"SELECT page_id, {safe_sql('html')} AS html FROM pages"
+ORACLES["clean_html"] = f"SELECT page_id, formatted_html AS html FROM ({PAGES_CLEAN})"
 
-ORACLES["page_images"] = f"""
+ORACLES["html_images"] = f"""
 SELECT page_id, 0 AS rank, 0 AS pos, '{BASE}/images/' || page_id || '.jpg' AS url, page_id || '.jpg' AS name, 'pic & ' || page_id AS alt FROM pages
 UNION ALL
 SELECT page_id, 1, 1, '{BASE}/images/' || (page_id % 7) || '.png', (page_id % 7) || '.png', NULL FROM pages
 """
 
-ORACLES["page_text"] = f"SELECT page_id, {text_sql(safe_sql('html'))} AS text FROM ({PAGES_MARKED})"
+ORACLES["html_text"] = f"SELECT page_id, {text_sql(safe_sql('html'))} AS text FROM ({PAGES_MARKED})"
 
 ORACLES["chapter_content"] = f"""
 SELECT 'page' AS book_slug, CAST(p.page_id AS VARCHAR) AS chapter_slug, p.html AS raw_html, p.formatted_html, {text_sql("p.formatted_html")} AS text,

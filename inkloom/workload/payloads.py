@@ -188,24 +188,24 @@ def catalog_source_captures(part: DataFrame) -> DataFrame:
     v3 answers well on pages 3k, emptily on 3k+1 and with an error on 3k+2; an
     older v3 error precedes each.  '/books' is gone on pages 5k.
     """
-    page = F.col("page")
-    good = catalog_captures(part)
-    variant = lambda tag, route, status, delay, body: good.withColumns(
+    page, tag, body = F.col("page"), F.col("tag"), F.col("body")
+    tags = F.array(*[F.lit(t) for t in ("old", "v3", "books", "home")])
+    tagged = catalog_captures(part).withColumn("tag", F.explode(tags))
+    delay = F.when(tag == "old", 0).when(tag == "v3", 10).otherwise(20)
+    failed = (
+        F.when(tag == "old", 503)
+        .when((tag == "v3") & (page % 3 == 2), 500)
+        .when((tag == "books") & (page % 5 == 0), 404)
+    )
+    return tagged.withColumns(
         {
-            "capture_id": _text(f"{tag}-", page),
-            "route": F.lit(route),
-            "status": status.cast("int"),
+            "capture_id": _text(tag, "-", page),
+            "route": F.when(tag.isin("old", "v3"), "/v3/books").when(tag == "books", "/books").otherwise("/"),
+            "status": F.coalesce(failed, F.lit(200)),
             "fetched_at": _seconds(page + delay),
-            "body": body,
+            "body": F.when(tag == "old", F.lit("")).when((tag == "v3") & (page % 3 == 1), F.lit('{"items":[]}')).otherwise(body),
         }
-    )
-    body = F.col("body")
-    empty = F.when(page % 3 == 1, F.lit('{"items":[]}')).otherwise(body)
-    old = variant("old", "/v3/books", F.lit(503), 0, F.lit(""))
-    v3 = variant("v3", "/v3/books", F.when(page % 3 == 2, 500).otherwise(200), 10, empty)
-    books = variant("books", "/books", F.when(page % 5 == 0, 404).otherwise(200), 20, body)
-    home = variant("home", "/", F.lit(200), 20, body)
-    return old.unionByName(v3).unionByName(books).unionByName(home)
+    ).drop("tag")
 
 
 # ------------------------------------------------------------------- books

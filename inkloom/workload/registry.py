@@ -36,14 +36,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(run: Query) -> Query:
+def query(run: Query, name: str | None = None) -> Query:
     def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
         return run(configure(spark), sf_dir)
 
-    QUERIES[run.__name__] = configured
+    QUERIES[name or run.__name__] = configured
     return run
 
 
+def named(name: str) -> Callable[[Query], Query]:
+    """Register under a name that would hide an imported function here."""
+    return lambda run: query(run, name)
+
+
 # -------------------------------------------------- captures and fetch log
 
 
@@ -347,18 +352,18 @@ def write_library(spark, d):
 # --------------------------------------------------------------------- HTML
 
 
-@query
+@named("drop_unsafe_html")
 def drop_unsafe(spark, d):
     return table(spark, d, "pages").select("page_id", drop_unsafe_html(F.col("html")).alias("html"))
 
 
-@query
+@named("clean_html")
 def clean_page_html(spark, d):
     pages = P.pages_with_markup(table(spark, d, "pages"))
     return pages.select("page_id", clean_html(F.col("html"), BASE).alias("html"))
 
 
-@query
+@named("html_images")
 def page_images(spark, d):
     pages = P.pages_with_markup(table(spark, d, "pages"))
     images = html_images(F.col("html"), BASE)
@@ -366,7 +371,7 @@ def page_images(spark, d):
     return rows.select("page_id", "rank", "i.pos", "i.url", "i.name", "i.alt")
 
 
-@query
+@named("html_text")
 def page_text(spark, d):
     pages = P.pages_with_markup(table(spark, d, "pages"))
     return pages.select("page_id", html_text(drop_unsafe_html(F.col("html"))).alias("text"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkloom.llm.bpe import bpe_decode, bpe_encode, read_ranks
+from inkloom.llm.packing import best_fit_pack, token_pieces
 from inkloom.llm.simhash import simhash_groups
 
 
@@ -12,6 +15,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        pieces = token_pieces(_table(spark, sf_dir, "documents"), file.read())
+    return best_fit_pack(pieces)
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = bpe_encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal, 256).alias("ids_sha256"),
+        F.sha2(bpe_decode(F.col("ids"), spark, ranks), 256).alias("decoded_sha256"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     digits = F.lpad(F.lower(F.hex("print")), 16, "0")
@@ -19,6 +40,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash": op8_simhash,
 }
 

@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkloom.llm.bpe import bpe_decode, bpe_encode, read_ranks
 from inkloom.llm.packing import best_fit_pack, token_pieces
+from inkloom.llm.quality import fit_quality, quality_score
 from inkloom.llm.simhash import simhash_groups
+from inkloom.llm.tables import fold_of
+from inkloom.llm.toxicity import fit_toxicity, toxicity_score
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _predictions(docs: DataFrame, score: Column, held_out: Column, threshold: float) -> DataFrame:
+    scored = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 5) == 0
+    model = fit_toxicity(docs, _table(spark, sf_dir, "labels").where(~held_out))
+    return _predictions(docs, toxicity_score(F.col("text"), spark, model), held_out, 0.5)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         pieces = token_pieces(_table(spark, sf_dir, "documents"), file.read())
@@ -39,7 +53,15 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 4) == 2
+    model = fit_quality(docs, _table(spark, sf_dir, "labels").where(~held_out))
+    return _predictions(docs, quality_score(F.col("text"), model, at_threshold=0.7), held_out, 0.7)
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op10_quality": op10_quality,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash": op8_simhash,

@@ -22,3 +22,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def fold_of(key: Column, folds: int) -> Column:
     """Fold number: CRC-32 of the key as text, modulo the number of folds."""
     return F.crc32(key.cast("string").cast("binary")) % folds
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label_column: str, id_column: str, text_column: str, max_rows: int
+) -> DataFrame:
+    """(text, label) of at most ``max_rows`` labelled documents, those with the least hashes of their ids.
+
+    A smaller table is taken whole.  Equal texts count once; where labels of one
+    id or text differ the greater stays.  Null ids and labels are left out.
+    The chosen ids are broadcast: ``max_rows`` bounds them.
+    """
+    known = labels.select(F.col(id_column).alias("__id"), F.col(label_column).cast("int").alias("label"))
+    known = known.where("__id is not null and label is not null").groupBy("__id").agg(F.max("label").alias("label"))
+    chosen = known.orderBy(F.xxhash64("__id"), "__id").limit(max_rows)
+    rows = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("text"))
+    return rows.join(F.broadcast(chosen), "__id").groupBy("text").agg(F.max("label").alias("label"))

@@ -17,6 +17,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -198,7 +199,7 @@ class _Encoder:
 def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``size`` bytes of text, one row at least."""
     for batch in batches:
-        sizes = np.cumsum(batch.column(column).fill_null("").cast(pa.large_string()).value_lengths().to_numpy())
+        sizes = np.cumsum(pc.binary_length(batch.column(column).fill_null("")).to_numpy().astype(np.int64))
         at = 0
         while at < batch.num_rows:
             gone = sizes[at - 1] if at else 0

@@ -17,7 +17,8 @@ CAPACITY = 4096
 END_ID = 1
 OPEN_BINS = 1024  # bins a packer keeps open
 PIECES_PER_PACKER = 250_000  # rows of one packer; more rows get more packers
-KNOWN_CHUNKS = 300_000  # tokenized chunks a task remembers
+KNOWN_CHUNKS = 1_000_000  # tokenized chunks a task remembers
+_TAIL = ".,!?;:*%&$#"  # signs that always are tokens apart from a word before them
 _KNOWN: dict[str, dict[str, bytes]] = {}  # per tokenizer, for the tasks of one Python worker
 
 
@@ -34,7 +35,22 @@ class _Tokens:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.known = _KNOWN.setdefault(str(hash(tokenizer_json)), {})
 
+    @staticmethod
+    def _parts(chunk: str) -> tuple[str, str]:
+        """A word and the signs after it, which are tokenized apart; the tokenizer ignores case."""
+        if "<|" in chunk:  # may hold a special token
+            return chunk, ""
+        word = chunk.rstrip(_TAIL)
+        if not word or not word[-1].lower()[-1].isalnum():
+            word = chunk
+        return (word.lower() if word.isascii() else word), chunk[len(word) :]
+
     def _learn(self, chunks: list[str]) -> None:
+        parts = {c: self._parts(c) for c in chunks}
+        self._encode(list({p for pair in parts.values() for p in pair if p not in self.known}))
+        self.known.update((c, self.known[word] + self.known[tail]) for c, (word, tail) in parts.items())
+
+    def _encode(self, chunks: list[str]) -> None:
         for at in range(0, len(chunks), 20_000):
             block = chunks[at : at + 20_000]
             found = self.tokenizer.encode(" ".join(block), add_special_tokens=False)

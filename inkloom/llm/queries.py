@@ -7,11 +7,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkloom.llm.bpe import bpe_decode, bpe_encode, read_ranks
+from inkloom.llm.fingerprints import fingerprint_neighbors
 from inkloom.llm.packing import best_fit_pack, token_pieces
 from inkloom.llm.quality import fit_quality, quality_score
 from inkloom.llm.simhash import simhash_groups
 from inkloom.llm.tables import fold_of
 from inkloom.llm.toxicity import fit_toxicity, toxicity_score
+from inkloom.llm.warc import read_records, write_archives
+from inkloom.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +32,21 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predictions(docs, toxicity_score(F.col("text"), spark, model), held_out, 0.5)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "archives")
+    write_archives(_table(spark, sf_dir, "pages"), folder, min_bytes=0)
+    archives = spark.read.schema("archive_id string, records long, content binary").parquet(folder)
+    return read_records(archives).select(
+        F.col("page_id").cast("long"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long")
+    )
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = fingerprint_neighbors(_table(spark, sf_dir, "documents"))
+    edited = F.sha2(F.col("edited_text"), 256).alias("edited_sha256")
+    return prints.select("doc_id", "n_chars", edited, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         pieces = token_pieces(_table(spark, sf_dir, "documents"), file.read())
@@ -62,6 +80,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op10_quality": op10_quality,
+    "op2_warc": op2_warc,
+    "op3_fingerprints": op3_fingerprints,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash": op8_simhash,

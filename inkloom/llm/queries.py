@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from inkloom.llm.bpe import bpe_decode, bpe_encode, read_ranks
 from inkloom.llm.fingerprints import fingerprint_neighbors
+from inkloom.llm.licenses import scan_licenses
 from inkloom.llm.packing import best_fit_pack, token_pieces
 from inkloom.llm.quality import fit_quality, quality_score
 from inkloom.llm.simhash import simhash_groups
@@ -53,6 +54,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(pieces)
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = bpe_encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -83,6 +88,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_fingerprints": op3_fingerprints,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_licenses": op6_licenses,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash": op8_simhash,
 }

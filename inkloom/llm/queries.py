@@ -11,6 +11,7 @@ from inkloom.llm.fingerprints import fingerprint_neighbors
 from inkloom.llm.licenses import scan_licenses
 from inkloom.llm.packing import best_fit_pack, token_pieces
 from inkloom.llm.quality import fit_quality, quality_score
+from inkloom.llm.quality_rules import apply_rules, language_references
 from inkloom.llm.simhash import simhash_groups
 from inkloom.llm.tables import fold_of
 from inkloom.llm.toxicity import fit_toxicity, toxicity_score
@@ -54,6 +55,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(pieces)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    judged = docs.select("doc_id", apply_rules(F.col("text"), language_references(docs)).alias("r"))
+    return judged.select("doc_id", "r.*")
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
@@ -88,6 +95,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_fingerprints": op3_fingerprints,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_quality_rules": op5_quality_rules,
     "op6_licenses": op6_licenses,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash": op8_simhash,

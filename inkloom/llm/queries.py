@@ -10,6 +10,7 @@ from inkloom.llm.bpe import bpe_decode, bpe_encode, read_ranks
 from inkloom.llm.fingerprints import fingerprint_neighbors
 from inkloom.llm.licenses import scan_licenses
 from inkloom.llm.packing import best_fit_pack, token_pieces
+from inkloom.llm.pii import replace_pii
 from inkloom.llm.quality import fit_quality, quality_score
 from inkloom.llm.quality_rules import apply_rules, language_references
 from inkloom.llm.simhash import simhash_groups
@@ -18,6 +19,8 @@ from inkloom.llm.toxicity import fit_toxicity, toxicity_score
 from inkloom.llm.warc import read_records, write_archives
 from inkloom.session import scratch_path
 
+PII_KEY = "corpus surrogates"  # a real corpus gets a secret one
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -83,6 +86,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_pii(docs, key=PII_KEY, kinds_column="kinds").withColumn("n_entities", F.size("kinds").cast("long"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = _table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 4) == 2
     model = fit_quality(docs, _table(spark, sf_dir, "labels").where(~held_out))
@@ -91,6 +99,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op9_pii": op9_pii,
     "op10_quality": op10_quality,
     "op2_warc": op2_warc,
     "op3_fingerprints": op3_fingerprints,

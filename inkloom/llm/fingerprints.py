@@ -89,7 +89,8 @@ def with_next(
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
     # a bounded number of cuts reaches the driver
-    cuts = rows.where("id is not null").approxQuantile("id", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = rows.where("id is not null").approxQuantile("id", shares, 0.25 / ranges) if shares else []
     cuts = sorted({int(c) for c in cuts}, reverse=True)
     level = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda cut: col("id") <= cut)) if cuts else F.lit(0)
     rows = rows.withColumn("range", F.when(col("id").isNull(), len(cuts) + 1).otherwise(level))

@@ -18,7 +18,7 @@ _TITLES = {
 _NAME = r"\p{Lu}[\p{Ll}'’-]*+(?:\p{Lu}[\p{Ll}'’-]*+)?"
 # In the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"(?<![\w.%+-])[A-Za-z0-9_%+-]++(?:\.[A-Za-z0-9_%+-]++)*+@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}+",
+    "email": r"(?<![\w.%+-])[A-Za-z0-9_%+-]++(?:\.[A-Za-z0-9_%+-]++)*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}+",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "secret": r"(?i:(?<![a-z0-9])(?:password|passwd|secret|token|api[_-]?key))\s?[=:]\s?[\"']?[A-Za-z0-9+/_-]{12,}+[\"']?",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|\d{1,2})\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|\d{1,2})(?![\w]|\.\d)",

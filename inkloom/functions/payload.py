@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 from inkloom.functions.text import finite, let, parse_number, staged, trim
 
 
+# A body of the largest size may hold one string, one number or brackets in brackets; NaN is no JSON.
+JSON_LIMITS = {"maxStringLen": str(1 << 28), "maxNestingDepth": "100000", "maxNumLen": str(1 << 28), "allowNonNumericNumbers": "false"}
+
+
 def with_document(df: DataFrame, body: str = "body", out: str = "doc", when: Column | None = None) -> DataFrame:
     """Add the parsed body, or null if it is not exactly one JSON value.
 
-    ``try_parse_json`` stops after the first value and ignores what follows, so
+    The JSON reader stops after the first value and ignores what follows, so
     the body is parsed as the first element of an array closed by its own hash:
     with trailing text the array is malformed or the hash is elsewhere.  The
     result stays in that array, which saves copying it out; read it with
@@ -27,7 +31,8 @@ def with_document(df: DataFrame, body: str = "body", out: str = "doc", when: Col
     text = F.when(F.col(body).startswith(bom), F.ltrim(F.col(body), F.lit(bom))).otherwise(F.col(body))
     text = text if when is None else F.when(when, text)
     seal = F.xxhash64(F.col(body))
-    sealed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), seal.cast("string"), F.lit("]")))
+    # by default the reader refuses strings of 20 million characters and 1000 nested brackets
+    sealed = F.from_json(F.concat(F.lit("["), text, F.lit(","), seal.cast("string"), F.lit("]")), "variant", JSON_LIMITS)
     checked = F.when(F.try_variant_get(F.col("_sealed"), "$[1]", "bigint") == seal, F.col("_sealed"))
     return df.withColumn("_sealed", sealed).withColumn(out, checked).drop("_sealed")
 

@@ -24,7 +24,11 @@ def retry_after_ms(header: Column, now: Column) -> Column:
     """Wait asked for by a Retry-After header: seconds or an HTTP date."""
     blank = (header != "") & (trim(header) == "")
     seconds = F.when(blank, F.lit(0.0)).otherwise(parse_number(header))
-    date = F.try_to_timestamp(F.concat(F.substring(header, 6, 20), F.lit(" +0000")), F.lit("dd MMM yyyy HH:mm:ss Z"))
+    # after the day name comes the HTTP form, with a zone in digits or none; else an ISO date may stand there
+    zone = F.regexp_extract(header, r"([+-]\d{4})$", 1)
+    http = F.concat(F.substring(header, 6, 20), F.lit(" "), F.when(zone != "", zone).otherwise("+0000"))
+    iso = F.when(header.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(header))
+    date = F.coalesce(F.try_to_timestamp(http, F.lit("dd MMM yyyy HH:mm:ss Z")), iso)
     wait = (F.unix_millis(date) - F.unix_millis(now)).cast("double")
     asked = F.coalesce(seconds * 1000, wait)
     return F.when(asked < 0, F.lit(0.0)).otherwise(asked)
@@ -38,12 +42,14 @@ def classify_fetches(
 ) -> DataFrame:
     """Outcome of each fetch and, where a retry is due, the range of its delay.
 
-    Needs ``status, retry_after, fetched_at, attempt``.  Without a Retry-After
-    the delay doubles per attempt and is spread by up to 20% either way.
+    Needs ``status, retry_after, fetched_at, attempt``.  A fetch without a status
+    failed on the way (timeout, lost connection) and is retried.  Without a
+    Retry-After the delay doubles per attempt and is spread by up to 20% either way.
     """
     status, attempt = F.col("status"), F.col("attempt")
     code = F.when(status.between(200, 299), "OK").when(status == 404, "NOT_FOUND").otherwise("HTTP_ERROR")
-    retryable = (status.isin(*RETRYABLE_STATUSES) | (status >= 500)) & (attempt < max_retries)
+    code = F.when(status.isNull(), "NETWORK_ERROR").otherwise(code)
+    retryable = (status.isNull() | status.isin(*RETRYABLE_STATUSES) | (status >= 500)) & (attempt < max_retries)
     asked = F.when(F.col("code") == "HTTP_ERROR", retry_after_ms(F.col("retry_after"), F.col("fetched_at")))
     backoff = F.least(F.lit(float(max_ms)), F.lit(float(base_ms)) * F.pow(F.lit(2.0), attempt))
     asked_ms = F.col("retry_after_ms")

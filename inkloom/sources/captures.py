@@ -22,22 +22,12 @@ def read_captures(spark: SparkSession, path: str, file_format: str = "parquet")
     return spark.read.schema(CAPTURE_SCHEMA).format(file_format).load(path)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread an input of fewer splits than cores over all cores.
-
-    Parsing and cleaning cost far more than moving a small input once.  An
-    input with enough splits is left as it is, so a large one is never moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def load_captures(captures: DataFrame) -> DataFrame:
     """Add ``doc``: the parsed body of each JSON capture, null if malformed.
 
-    Page HTML is kept as text and not parsed.
+    Page HTML is kept as text and not parsed; a capture of unknown kind is.
     """
-    return with_document(captures, when=F.col("kind") != "page_html")
+    return with_document(captures, when=~F.col("kind").eqNullSafe("page_html"))
 
 
 def quarantine_payloads(captures: DataFrame, max_bytes: int = MAX_RESPONSE_BYTES) -> DataFrame:

@@ -15,11 +15,11 @@ def book_bucket(slug: Column, buckets: int = BUCKETS) -> Column:
 def write_library(assembled: DataFrame, path: str, by: str = "book_slug", buckets: int = BUCKETS) -> None:
     """Write chapters under ``book_bucket=n``, replacing only touched buckets.
 
-    Rows are spread by (bucket, index) so that a large book is written by many
-    tasks, each into its own file.
+    Rows are rebalanced by bucket at run time: a bucket of much data is split
+    over as many tasks as its size asks for, small ones share a task.
     """
     bucketed = assembled.withColumn("book_bucket", book_bucket(F.col(by), buckets))
-    spread = bucketed.repartition(F.col("book_bucket"), F.floor(F.col("index") / 100_000))
+    spread = bucketed.hint("rebalance", "book_bucket")
     (
         spread.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -43,23 +43,33 @@ def stream_captures(captures: DataFrame, out: str, checkpoint: str, base: str, a
 # ------------------------------------------------------------------- dedupe
 
 _DEDUPE_OUT = "url string, kind string, fetched_at timestamp, capture_id string"
-_DEDUPE_STATE = "last_us bigint"
+_DEDUPE_STATE = "kept array<bigint>"
+REMEMBERED = 1000  # kept times of a key; beyond them a very late repeat may come through again
 
 
-def _first_per_period(ttl_us: Mapping[str, int], watermark: bool) -> Callable:
+def _near(times: np.ndarray, kept: np.ndarray, period: int) -> np.ndarray:
+    """Which times lie less than a period before or after a kept one."""
+    if not len(kept):
+        return np.zeros(len(times), bool)
+    place = np.searchsorted(kept, times)
+    before, after = kept[np.maximum(place - 1, 0)], kept[np.minimum(place, len(kept) - 1)]
+    return np.minimum(np.abs(times - before), np.abs(after - times)) < period
+
+
+def _first_per_period(ttl_us: Mapping[str, int], state_ms: int | None) -> Callable:
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         url, kind = key
         period = ttl_us.get(kind, 0)
         if state.hasTimedOut:
             state.remove()
             return
-        last = state.get[0] if state.exists else None
+        kept = np.array(state.get[0] if state.exists else [], np.int64)
         times, ids = [], []
         for frame in frames:
-            if last is not None:
-                frame = frame[frame["fetched_us"] >= last + period]
-            times.append(frame["fetched_us"].to_numpy(np.int64))
-            ids.append(frame["capture_id"].to_numpy(object))
+            at = frame["fetched_us"].to_numpy(np.int64)
+            new = ~_near(at, kept, period)
+            times.append(at[new])
+            ids.append(frame["capture_id"].to_numpy(object)[new])
         at, capture = np.concatenate(times), np.concatenate(ids)
         order = np.lexsort((capture.astype(str), at))
         at, capture = at[order], capture[order]
@@ -67,15 +77,12 @@ def _first_per_period(ttl_us: Mapping[str, int], watermark: bool) -> Callable:
         place = 0
         while place < len(at):
             picked.append(place)
-            last = int(at[place])
             # jump straight to the first capture after the period; without a
             # period every capture counts
-            place = int(np.searchsorted(at, last + period)) if period > 0 else place + 1
-        if last is not None:
-            state.update((last,))
-            if watermark:
-                expiry_ms = (last + period) // 1000 + 1
-                state.setTimeoutTimestamp(max(expiry_ms, state.getCurrentWatermarkMs() + 1))
+            place = int(np.searchsorted(at, at[place] + period)) if period > 0 else place + 1
+        state.update((np.sort(np.concatenate([kept, at[picked]]))[-REMEMBERED:].tolist(),))
+        if state_ms is not None:
+            state.setTimeoutDuration(state_ms)
         if picked:
             yield pd.DataFrame(
                 {
@@ -89,28 +96,29 @@ def _first_per_period(ttl_us: Mapping[str, int], watermark: bool) -> Callable:
     return step
 
 
-def dedupe_stream(captures: DataFrame, ttl_ms: Mapping[str, int] = TTL_MS, delay: str | None = "1 hour") -> DataFrame:
+def dedupe_stream(captures: DataFrame, ttl_ms: Mapping[str, int] = TTL_MS, state_ms: int | None = None) -> DataFrame:
     """First capture of each key per freshness period, over the whole stream.
 
-    A capture within the period of the last one kept is a repeat.  State is
-    one number per key and is dropped once the watermark passes its period;
-    only times and ids reach Python, never bodies.  What a task holds is
-    bounded by the files of one batch, less the repeats of the stored time,
-    which are dropped frame by frame.
+    A capture less than a period before or after a kept one is a repeat; every
+    other is kept, also one that arrives late or out of order.  There is no
+    watermark, which would discard late rows: a key's state, its kept times, is
+    dropped when the key has been silent for ``state_ms`` of running time, if
+    given, so what expires can only let a repeat through.  Only times and ids
+    reach Python, never bodies; repeats of kept times are dropped frame by
+    frame, so a task holds the new captures of a key in one batch.
     """
-    narrow = captures.select("url", "kind", "fetched_at", "capture_id")
-    if delay is not None:
-        narrow = narrow.withWatermark("fetched_at", delay)
-    keyed = narrow.withColumn("fetched_us", F.unix_micros("fetched_at"))
+    keyed = captures.select("url", "kind", "capture_id", F.unix_micros("fetched_at").alias("fetched_us"))
     ttl_us = {kind: ms * 1000 for kind, ms in ttl_ms.items()}
-    timeout = GroupStateTimeout.EventTimeTimeout if delay is not None else GroupStateTimeout.NoTimeout
+    timeout = GroupStateTimeout.NoTimeout if state_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     return keyed.groupBy("url", "kind").applyInPandasWithState(
-        _first_per_period(ttl_us, delay is not None), _DEDUPE_OUT, _DEDUPE_STATE, "append", timeout
+        _first_per_period(ttl_us, state_ms), _DEDUPE_OUT, _DEDUPE_STATE, "append", timeout
     )
 
 
-def stream_dedupe(captures: DataFrame, out: str, checkpoint: str, ttl_ms: Mapping[str, int] = TTL_MS) -> None:
-    rows = dedupe_stream(captures, ttl_ms)
+def stream_dedupe(
+    captures: DataFrame, out: str, checkpoint: str, ttl_ms: Mapping[str, int] = TTL_MS, state_ms: int | None = None
+) -> None:
+    rows = dedupe_stream(captures, ttl_ms, state_ms)
     _drain(rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint))
 
 
@@ -120,7 +128,7 @@ def stream_dedupe(captures: DataFrame, out: str, checkpoint: str, ttl_ms: Mappin
 def _merge_batch(base: str, library: str) -> Callable[[DataFrame, int], None]:
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = fetched_chapters(latest_captures(batch, ("book_slug", "chapter_slug")), base, clean=False)
+        rows = fetched_chapters(latest_captures(batch, ("book_slug", "chapter_slug")), base)
         rows = rows.withColumn("book_bucket", book_bucket(F.col("book_slug")))
         # written once: the batch is read again below, and a recomputed
         # source must not change what is merged
@@ -128,10 +136,11 @@ def _merge_batch(base: str, library: str) -> Callable[[DataFrame, int], None]:
         rows.write.mode("overwrite").partitionBy("book_bucket").parquet(fresh_path)
         fresh = spark.read.parquet(fresh_path)
         chapters = f"{library}/chapters"
-        touched = fresh.select("book_bucket").distinct()
+        # one number a bucket; as literals they prune the folders that are read
+        touched = [r["book_bucket"] for r in fresh.select("book_bucket").distinct().collect()]
         merged = fresh
         if _has_files(spark, chapters):
-            kept = spark.read.schema(fresh.schema).parquet(chapters).join(touched, "book_bucket", "left_semi")
+            kept = spark.read.schema(fresh.schema).parquet(chapters).where(F.col("book_bucket").isin(touched))
             merged = kept.unionByName(fresh)
         newest = latest_captures(merged, ("book_slug", "chapter_slug"))
         # staged first: a folder cannot be read and overwritten in one job
@@ -139,7 +148,8 @@ def _merge_batch(base: str, library: str) -> Callable[[DataFrame, int], None]:
         newest.write.mode("overwrite").partitionBy("book_bucket").parquet(staged)
         current = spark.read.parquet(staged)
         overwrite = lambda df, path: (
-            df.write.mode("overwrite")
+            df.hint("rebalance", "book_bucket")
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("book_bucket")
             .parquet(path)
@@ -147,6 +157,8 @@ def _merge_batch(base: str, library: str) -> Callable[[DataFrame, int], None]:
         overwrite(current, chapters)
         counts = download_summary(current).withColumn("book_bucket", book_bucket(F.col("book_slug")))
         overwrite(counts, f"{library}/summary")
+        for used in (fresh_path, staged):
+            _remove(spark, used)
 
     return merge
 
@@ -157,6 +169,11 @@ def _has_files(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stream_library(captures: DataFrame, library: str, checkpoint: str, base: str) -> None:
     """Keep the newest chapter of each key, and counts per book, current.
 

@@ -6,12 +6,15 @@ the SQL states the outcome from those columns directly.
 
 from __future__ import annotations
 
-from inkloom.functions.html import BLOCK_TAGS, UNSAFE_TAGS
 from inkloom.workload.payloads import BASE
 from inkloom.workload.registry import CATALOG_SEARCH, SEARCH, SIZE_LIMIT
 
 EPOCH = 1_700_000_000
 
+# Fixed values, written out again so that a slip in the code under test shows.
+BLOCK_TAGS = "p br hr li blockquote pre h1 h2 h3 h4 h5 h6 tr table ul ol div".split()
+UNSAFE_TAGS = "script style iframe object embed noscript form svg canvas video audio".split()
+
 
 def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -90,12 +93,6 @@ TALK_CODED = f"""
     SELECT *, CASE WHEN role = 'system' OR gone THEN 'NOT_FOUND' WHEN paid THEN 'CHAPTER_UNAVAILABLE' END AS error_code
     FROM ({TALK})
 """
-ASSEMBLED = f"""
-    SELECT book_slug, up AS "index", slug, error_code,
-           CASE WHEN error_code IS NULL THEN '<p>' || text || '</p>' END AS raw_html
-    FROM ({TALK_CODED})
-"""
-
 PART_ID = "CASE WHEN p_size % 2 = 0 THEN CAST(p_partkey AS VARCHAR) ELSE 'B' || p_partkey END"
 PART_SLUG = f"CASE WHEN p_partkey % 3 < 2 THEN 'part-' || p_partkey ELSE {PART_ID} END"
 PART_PAGE = f"p_partkey // 20 + 1"
@@ -424,6 +421,13 @@ SELECT book_slug, pos, title, number, volume FROM ({LINES}) WHERE NOT is_donate
 QUALIFY row_number() OVER (PARTITION BY book_slug ORDER BY pos DESC) = 1
 """
 
+_PAGE = "CASE WHEN error_code IS NULL THEN '<p>' || text || '</p>' END"
+_CLEANED = f"trim(raw_html, {TRIMMED})"
+ASSEMBLED = f"""
+    SELECT book_slug, "index", slug, error_code, raw_html, {_CLEANED} AS formatted_html, {text_sql(_CLEANED)} AS text,
+           CASE WHEN error_code IS NULL THEN '' END AS image_urls
+    FROM (SELECT book_slug, up AS "index", slug, error_code, {_PAGE} AS raw_html FROM ({TALK_CODED}))
+"""
 ORACLES["assemble_book"] = ASSEMBLED
 ORACLES["write_library"] = ASSEMBLED
 
@@ -494,16 +498,16 @@ SELECT 'talk-' || substr(book_slug, 6) || '-' || turn || '-a', 'HTTP_ERROR', NUL
 """.replace("{clean}", f"trim(h, {TRIMMED})")
 
 ORACLES["stream_dedupe"] = f"""
-WITH RECURSIVE log AS (SELECT kind, epoch_us(ts) AS us, capture_id FROM ({LOG})),
-ttl(kind, us) AS (VALUES ('build_id', 300000000), ('catalog', 30000000), ('book', 86400000000), ('chapter', 900000000), ('page_html', 300000000)),
+WITH RECURSIVE log AS (SELECT url, kind, epoch_us(ts) AS us, capture_id FROM ({LOG})),
+ttl(kind, days) AS (VALUES ('build_id', 5), ('catalog', 2), ('book', 10), ('chapter', 3), ('page_html', 1)),
 kept AS (
-  SELECT kind, min(us) AS us FROM log GROUP BY kind
+  SELECT url, kind, min(us) AS us FROM log GROUP BY ALL
   UNION ALL
-  SELECT k.kind, (SELECT min(l.us) FROM log l WHERE l.kind = k.kind AND l.us >= k.us + t.us)
-  FROM kept k JOIN ttl t ON t.kind = k.kind WHERE k.us IS NOT NULL
+  SELECT k.url, k.kind, min(l.us) FROM kept k JOIN ttl t ON t.kind = k.kind
+  JOIN log l ON l.url = k.url AND l.kind = k.kind AND l.us >= k.us + t.days * 86400000000 GROUP BY ALL
 )
-SELECT '/all' AS url, kept.kind, kept.us AS fetched_us, min(log.capture_id) AS capture_id
-FROM kept JOIN log ON log.kind = kept.kind AND log.us = kept.us GROUP BY ALL
+SELECT url, kind, kept.us AS fetched_us, min(log.capture_id) AS capture_id
+FROM kept JOIN log USING (url, kind, us) GROUP BY ALL
 """
 
 ORACLES["stream_library"] = f"""

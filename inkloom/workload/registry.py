@@ -31,6 +31,8 @@ KEYS_BASE = "http://blog.ththan.example.net"
 SEARCH = "  DE   La "
 CATALOG_SEARCH = "Small\tgizmo"
 SIZE_LIMIT = 4096
+DAY_MS = 24 * 3_600_000
+DEDUPE_TTL_MS = {"build_id": 5 * DAY_MS, "catalog": 2 * DAY_MS, "book": 10 * DAY_MS, "chapter": 3 * DAY_MS, "page_html": DAY_MS}
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -320,15 +322,20 @@ def last_free_chapter(spark, d):
     return rows.select("book_slug", "pos", "title", "number", "volume")
 
 
-def _assembled(spark, d, order="ascending", clean=False, **options):
+def _assembled(spark, d, order="ascending", **options):
     talks = table(spark, d, "conversations")
-    return assembled_books(P.talk_chapters(talks), P.talk_captures(talks), BASE, order, clean=clean, **options)
+    return assembled_books(P.talk_chapters(talks), P.talk_captures(talks), BASE, order, **options)
+
+
+def _content():
+    urls = F.array_join(F.transform(F.col("content.images"), lambda i: i["url"]), " ")
+    return [*[F.col(f"content.{n}").alias(n) for n in ("raw_html", "formatted_html", "text")], urls.alias("image_urls")]
 
 
 @query
 def assemble_book(spark, d):
     rows = _assembled(spark, d)
-    return rows.select("book_slug", "index", "slug", "error_code", F.col("content.raw_html").alias("raw_html"))
+    return rows.select("book_slug", "index", "slug", "error_code", *_content())
 
 
 @query
@@ -346,7 +353,7 @@ def write_library(spark, d):
     path = scratch_path(spark, "library")
     write(_assembled(spark, d), path)
     rows = read_library(spark, path)
-    return rows.select("book_slug", "index", "slug", "error_code", F.col("content.raw_html").alias("raw_html"))
+    return rows.select("book_slug", "index", "slug", "error_code", *_content())
 
 
 # --------------------------------------------------------------------- HTML
@@ -434,9 +441,14 @@ def stream_captures(spark, d):
 
 @query
 def stream_dedupe(spark, d):
-    out, checkpoint = S.new_run(spark, "stream-dedupe")
-    log = P.event_captures(_stream(spark, d, "events")).withColumn("url", F.lit("/all"))
-    S.stream_dedupe(log, out, checkpoint, {**FE.TTL_MS, "book": 24 * 3_600_000})
+    """The fetch log in three arrivals, by time."""
+    landing, (out, checkpoint) = scratch_path(spark, "arrivals"), S.new_run(spark, "stream-dedupe")
+    log = P.event_captures(table(spark, d, "events")).select("url", "kind", "fetched_at", "capture_id")
+    at = F.unix_micros("fetched_at")
+    low, high = log.agg(F.min(at), F.max(at)).first()
+    for part in range(3):
+        log.where(F.floor(3 * (at - low) / ((high or 0) - (low or 0) + 1)) == part).write.mode("append").parquet(landing)
+        S.stream_dedupe(S.read_stream(spark, landing, log.schema), out, checkpoint, DEDUPE_TTL_MS)
     return spark.read.parquet(out).select("url", "kind", F.unix_micros("fetched_at").alias("fetched_us"), "capture_id")
 
 

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from inkloom.operators import books as B
@@ -64,6 +65,7 @@ def test_retry_delays(spark):
     rows = [
         (1, 429, "0", 0), (2, 429, "3.5", 0), (3, 429, "Mon, 01 Jan 2024 00:00:07 GMT", 1), (4, 500, None, 2), (5, 503, None, 4), (6, 404, "5", 0),
         (7, 408, "x", 10**1), (8, 429, "-4", 0), (9, 425, "99", 3), (10, 403, None, 0), (11, 429, "Sun, 31 Dec 2023 00:00:00 GMT", 0),
+        (12, None, None, 0), (13, 429, "2024-01-01T00:00:02Z", 0), (14, 429, "Mon, 01 Jan 2024 03:00:05 +0300", 0), (15, None, None, 4),
     ]
     df = spark.createDataFrame(rows, "id int, status int, retry_after string, attempt int").withColumn(
         "fetched_at", F.lit("2024-01-01 00:00:00").cast("timestamp")
@@ -80,6 +82,10 @@ def test_retry_delays(spark):
     assert got[9] == ("HTTP_ERROR", True, 8000.0, 8000.0)
     assert got[10] == ("HTTP_ERROR", False, None, None)
     assert got[11] == ("HTTP_ERROR", True, 0.0, 0.0)
+    assert got[12] == ("NETWORK_ERROR", True, 200.0, 300.0)
+    assert got[13] == ("HTTP_ERROR", True, 2000.0, 2000.0)
+    assert got[14] == ("HTTP_ERROR", True, 5000.0, 5000.0)
+    assert got[15] == ("NETWORK_ERROR", False, None, None)
 
 
 def test_quarantine_limits(spark):
@@ -214,8 +220,8 @@ ORDER_ROWS = [
 )
 def test_chapter_order(spark, order, want):
     df = spark.createDataFrame(ORDER_ROWS, "book_slug string, pos long, volume double, number double, title string")
-    for limit in (100, 2):  # plain window, then spread over range partitions
-        rows = O.select_chapters(df, order, max_rows_per_task=limit).filter("book_slug = 'b'").orderBy("index").collect()
+    for upto in (None, 5):  # spread over range partitions, then trimmed in a window
+        rows = O.select_chapters(df, order, to=upto).filter("book_slug = 'b'").orderBy("index").collect()
         assert [r.pos for r in rows] == want
     slice_ = O.select_chapters(df, order, 1, 2).filter("book_slug = 'b'").orderBy("index").collect()
     assert [(r["index"], r.pos) for r in slice_] == [(0, want[1]), (1, want[2])]
@@ -225,8 +231,9 @@ def test_one_huge_book_is_spread(spark, sf_dir):
     lines = P.line_chapters(P.table(spark, sf_dir, "lineitem"))
     hot = lines.withColumn("book_slug", F.when(F.col("book_slug") % 3 == 0, 0).otherwise(F.col("book_slug")))
     hot = hot.withColumn("pos", F.xxhash64("pos", "title", "volume", "number"))
-    plain = O.select_chapters(hot, "ascending").select("book_slug", "pos", "rank")
-    spread = O.select_chapters(hot, "ascending", max_rows_per_task=50).select("book_slug", "pos", "rank")
+    place = F.row_number().over(Window.partitionBy("book_slug").orderBy(*O.chapter_order("ascending"))) - 1
+    plain = hot.select("book_slug", "pos", place.cast("bigint").alias("rank"))
+    spread = O.select_chapters(hot, "ascending").select("book_slug", "pos", "rank")
     assert plain.exceptAll(spread).count() == 0 and spread.exceptAll(plain).count() == 0
 
 
@@ -275,6 +282,28 @@ def test_stream_dedupe_over_batches(spark):
     assert sorted(r.capture_id for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "c", "e", "g"]
 
 
+def test_stream_dedupe_keeps_late_and_early_captures(spark):
+    root = scratch_path(spark, "dedupe-late")
+    schema = "capture_id string, url string, kind string, fetched_at timestamp"
+    # a key first seen far behind the others, captures before a kept one, and a late repeat
+    batches = [[("a", "/u", 10_000)], [("b", "/v", 20_000)], [("c", "/w", 5), ("d", "/u", 9_000), ("e", "/u", 9_990)], [("f", "/u", 9_010), ("g", "/u", 10_100)]]
+    for rows in batches:
+        df = spark.createDataFrame([(i, u, "catalog", s) for i, u, s in rows], "capture_id string, url string, kind string, s long")
+        at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("s")).alias("fetched_at")
+        df.select("capture_id", "url", "kind", at).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        S.stream_dedupe(S.read_stream(spark, f"{root}/in", schema), f"{root}/out", f"{root}/checkpoint")
+    assert sorted(r.capture_id for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b", "c", "d", "g"]
+
+
+def test_large_strings_and_deep_values_are_good(spark):
+    bodies = [("1", '{"a":"' + "x" * 30_000_000 + '"}'), ("2", "[" * 1500 + "]" * 1500), ("3", '{"a":1} x'), ("4", '{"a":')]
+    rows = captures(spark, [{"capture_id": i, "kind": None, "body": b} for i, b in bodies])
+    assert {r.capture_id: r.error_code for r in quarantine_payloads(rows).select("capture_id", "error_code").collect()} == {
+        "1": None, "2": None, "3": "INVALID_PAYLOAD", "4": "INVALID_PAYLOAD",
+    }
+    assert load_captures(rows).where("doc IS NOT NULL").count() == 2
+
+
 def test_stream_library_over_batches(spark):
     root = scratch_path(spark, "streamed")
     first = [

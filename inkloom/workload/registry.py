@@ -428,8 +428,8 @@ def url_keys(spark, d):
 
 
 def _stream(spark, d, name):
-    schema = table(spark, d, name).schema
-    return S.read_stream(spark, d, schema, name_filter=f"{name}.parquet")
+    # as a pattern the path may be one file or a folder of files
+    return S.read_stream(spark, f"{d}/{name}.parque[t]", table(spark, d, name).schema)
 
 
 @query

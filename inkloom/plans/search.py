@@ -10,6 +10,7 @@ from inkloom.functions.text import numbered
 from inkloom.operators.catalog import (
     book_summaries, catalog_pages, catalog_source_select, catalog_traverse, search_books,
 )
+from inkloom.session import through_storage
 from inkloom.sources.captures import load_captures
 
 
@@ -24,16 +25,19 @@ def search_catalog(
 ) -> DataFrame:
     """Books of the catalog pages a reader reaches that match the needle.
 
-    Choosing and traversing work on narrow columns; bodies join back on their
-    capture id, a unique key.
+    Bodies are parsed once for a narrow summary of each capture, which is
+    written; choosing and traversing read that.  Then only the bodies of the
+    pages reached are parsed for their items, found by their unique capture id.
     """
     pages = catalog_pages(load_captures(captures))
-    chosen = catalog_source_select(pages, mode).filter(F.col("error_code").isNull()).select("capture_id", "source")
-    picked = pages.join(chosen, "capture_id")
-    reached = catalog_traverse(
-        picked.select("capture_id", "page", "n_items", "page_count", "source"), start_page, max_pages
-    ).select("capture_id")
-    items = numbered(picked.join(reached, "capture_id", "left_semi"), ["page"], F.col("items"), "item")
+    narrow = ("capture_id", "page", "route", "status", "fetched_at", "n_items", "page_count", "total_count")
+    parsed = F.when(F.col("doc").isNotNull(), F.lit(True)).alias("doc")
+    summary = through_storage(pages.select(*narrow, parsed), "catalog-summary")
+    chosen = catalog_source_select(summary, mode).filter(F.col("error_code").isNull()).select("capture_id", "source")
+    picked = summary.join(chosen, "capture_id").select("capture_id", "page", "n_items", "page_count", "source")
+    reached = catalog_traverse(picked, start_page, max_pages).select("capture_id")
+    bodies = catalog_pages(load_captures(captures.join(reached, "capture_id", "left_semi")))
+    items = numbered(bodies, ["page"], F.col("items"), "item")
     return search_books(book_summaries(items, base), needle, include_description)
 
 

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on; all can be changed at run time.
 RUNTIME_CONF = {
@@ -73,6 +73,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def through_storage(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back, for a narrow result that several steps need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point reliable checkpoints at the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

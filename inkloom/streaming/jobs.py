@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
@@ -28,16 +29,21 @@ def read_stream(
     return reader.parquet(path)
 
 
-def _drain(writer) -> None:
-    """Run until everything that has arrived is done."""
+def _run(writer, every: str | None) -> StreamingQuery:
+    """Start a job: over everything that has arrived, until that is done, or on and on at an interval."""
+    if every is not None:
+        return writer.trigger(processingTime=every).start()
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
+    return query
 
 
-def stream_captures(captures: DataFrame, out: str, checkpoint: str, base: str, allow_unavailable: bool = False) -> None:
-    """Normalize arriving chapter captures; failures become rows."""
+def stream_captures(
+    captures: DataFrame, out: str, checkpoint: str, base: str, allow_unavailable: bool = False, every: str | None = None
+) -> StreamingQuery:
+    """Normalize arriving chapter captures; failures become rows.  ``every`` (as "1 minute") keeps it running."""
     rows = fetched_chapters(captures, base, allow_unavailable)
-    _drain(rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint))
+    return _run(rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint), every)
 
 
 # ------------------------------------------------------------------- dedupe
@@ -116,10 +122,15 @@ def dedupe_stream(captures: DataFrame, ttl_ms: Mapping[str, int] = TTL_MS, state
 
 
 def stream_dedupe(
-    captures: DataFrame, out: str, checkpoint: str, ttl_ms: Mapping[str, int] = TTL_MS, state_ms: int | None = None
-) -> None:
+    captures: DataFrame,
+    out: str,
+    checkpoint: str,
+    ttl_ms: Mapping[str, int] = TTL_MS,
+    state_ms: int | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
     rows = dedupe_stream(captures, ttl_ms, state_ms)
-    _drain(rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint))
+    return _run(rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint), every)
 
 
 # ------------------------------------------------------------------ library
@@ -174,13 +185,13 @@ def _remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def stream_library(captures: DataFrame, library: str, checkpoint: str, base: str) -> None:
+def stream_library(captures: DataFrame, library: str, checkpoint: str, base: str, every: str | None = None) -> StreamingQuery:
     """Keep the newest chapter of each key, and counts per book, current.
 
     Each batch replaces only the buckets it touches.  Replaying a batch gives
     the same library: its captures lose or win against the same rows.
     """
-    _drain(captures.writeStream.foreachBatch(_merge_batch(base, library)).option("checkpointLocation", checkpoint))
+    return _run(captures.writeStream.foreachBatch(_merge_batch(base, library)).option("checkpointLocation", checkpoint), every)
 
 
 def new_run(spark: SparkSession, name: str) -> tuple[str, str]:

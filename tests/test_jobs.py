@@ -209,6 +209,23 @@ def test_assembly_keeps_failures_in_order(spark):
     assert O.until_first_error(failing_first).count() == 0
 
 
+def test_assembly_finds_listed_paths_and_keeps_what_failures_said(spark):
+    slugs = ["v1/c2", "a%20b", f"{BASE}/b/c4", "c5", "%zz"]
+    listed = spark.createDataFrame(
+        [("b", i, s, None, float(i), s) for i, s in enumerate(slugs)],
+        "book_slug string, pos long, slug string, volume double, number double, title string",
+    )
+    rows = captures(
+        spark,
+        [{"capture_id": s, "kind": "chapter", "book_slug": "b", "chapter_slug": s, "body": chapter(s)} for s in ("c2", "a b", "c4")]
+        + [{"capture_id": "5", "kind": "chapter", "book_slug": "b", "chapter_slug": "c5", "status": 502, "body": "bad gateway"}],
+    )
+    got = {r.slug: r.error_code for r in assembled_books(listed, rows, BASE).collect()}
+    assert got == dict(zip(slugs, [None, None, None, "HTTP_ERROR", "INVALID_INPUT"], strict=True))
+    [failed] = fetched_chapters(rows, BASE).where("capture_id = '5'").collect()
+    assert failed.preview == "bad gateway"
+
+
 ORDER_ROWS = [
     ("b", 0, None, None, "я"), ("b", 1, None, 2.0, "ё"), ("b", 2, None, 2.0, "е"), ("b", 3, 1.0, 1.0, "a"), ("b", 4, None, 2.0, "ё"), ("b", 5, 0.0, 2.0, "ж"),
     ("c", 0, None, None, "x"),

@@ -29,9 +29,6 @@ PATTERNS = {
     "person": rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(_TITLES.values())})\.?\s(?:{_NAME})(?:\s{_NAME}){{0,2}}(?![\p{{L}}])",
 }
 PII = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# Without one of these no pattern can match; far cheaper to look for.
-HINT = rf"[0-9@]|[=:]\s?[\"']?[A-Za-z0-9+/_-]{{12}}|\p{{L}}(?:{'|'.join(t[1:] for v in _TITLES.values() for t in v.split('|'))})\.?\s\p{{Lu}}"
-
 # Names that surrogates are made of, by gender and script.
 GIVEN = {
     "m_latin": "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leon Martin Noah Oscar Paul Robin Simon Thomas Victor",
@@ -48,6 +45,15 @@ SYLLABLES = {
 WIDEN = 8  # attempts in the format of the original; later ones may be longer
 
 
+def _may_hold(text: Column) -> Column:
+    """Whether a text has what each match needs: a digit, a sign of an address or label, or a title.
+
+    Far cheaper than the patterns; plain substrings are looked for without a regular expression.
+    """
+    titles = [t for forms in _TITLES.values() for t in forms.split("|")]
+    return reduce(lambda found, part: found | text.contains(part), ["@", "=", ":", *titles], text.rlike("[0-9]"))
+
+
 def _draw(key: str, n: Column | int, *seed: Column) -> Column:
     """A keyed number from 0 to n - 1."""
     digest = F.sha2(F.concat_ws("\u001f", lit(key), *[s.cast("string") for s in seed]), 256)
@@ -226,7 +232,7 @@ def replace_pii(docs: DataFrame, key: str, text_column: str = "text", kinds_colu
     sorted, each as often as it occurs.
     """
     text = col(f"`{text_column}`")
-    has = F.coalesce(text.rlike(HINT) & text.rlike(PII), lit(False))
+    has = F.coalesce(_may_hold(text) & text.rlike(PII), lit(False))
     no_kinds = F.array().cast("array<string>")
     clean = docs.where(~has)
     touched = docs.where(has).withColumn("__pii_key", F.sha2(text, 256))

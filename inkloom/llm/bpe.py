@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-SLICE_BYTES = 8_000_000  # text encoded at once in a task
-KNOWN_CHUNKS = 400_000  # encoded chunks a task remembers between slices
+SLICE_BYTES = 4_000_000  # text encoded at once in a task
+KNOWN_CHUNKS = 300_000  # encoded chunks a task remembers between slices
 _KNOWN: dict[str, tuple[dict, dict]] = {}  # per rank table, for the tasks of one Python worker
 NO_MERGE = np.iinfo(np.int32).max
 
@@ -208,12 +208,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYT
             at = end
 
 
+def _decoded(ids: pa.ListArray, token_of: dict[int, bytes]) -> pa.Array:
+    token = token_of.__getitem__
+    values, cuts = ids.values.to_numpy(), ids.offsets.to_pylist()
+    texts = [b"".join(map(token, values[a:b].tolist())) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return pa.array(texts, pa.binary(), mask=ids.is_null().to_numpy(zero_copy_only=False))
+
+
 def bpe_encode(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    with_decoded: bool = False,
 ) -> DataFrame:
     """(id, ids) of each document: the ids of its pieces in order, no special tokens.
 
-    ``pattern`` splits a text into the pieces that are merged separately.  Null
+    ``pattern`` splits a text into the pieces that are merged separately.
+    ``with_decoded`` adds ``decoded``, the bytes that the ids give again.  Null
     and empty texts have no ids; repeated rows give repeated rows; other columns
     are not read.  The rank table is broadcast: its size is that of the file,
     whatever the corpus.
@@ -224,11 +237,12 @@ def bpe_encode(
         encoder = _Encoder(table.value, pattern)
         for part in slices(batches, "text"):
             ids = encoder(part.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([part.column(0), ids], [id_column, "ids"])
+            again = [_decoded(ids, encoder.merges.bytes_of)] if with_decoded else []
+            yield pa.RecordBatch.from_arrays([part.column(0), ids, *again], [id_column, "ids", "decoded"][: 2 + with_decoded])
 
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column), F.col(text_column).alias("text"))
-    return rows.mapInArrow(encode, f"`{id_column}` {kind}, ids array<int>")
+    return rows.mapInArrow(encode, f"`{id_column}` {kind}, ids array<int>" + ", decoded binary" * with_decoded)
 
 
 def bpe_decode(ids: Column, spark: SparkSession, ranks: dict[bytes, int]) -> Column:
@@ -237,7 +251,6 @@ def bpe_decode(ids: Column, spark: SparkSession, ranks: dict[bytes, int]) -> Col
 
     @arrow_udf("binary")
     def decode(rows: pa.Array) -> pa.Array:
-        token = table.value.__getitem__
-        return pa.array([None if r is None else b"".join(map(token, r)) for r in rows.to_pylist()], pa.binary())
+        return _decoded(rows, table.value)
 
     return decode(ids)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkloom.llm.bpe import bpe_decode, bpe_encode, read_ranks
+from inkloom.llm.bpe import bpe_encode, read_ranks
 from inkloom.llm.fingerprints import fingerprint_neighbors
 from inkloom.llm.licenses import scan_licenses
 from inkloom.llm.packing import best_fit_pack, token_pieces
@@ -70,13 +70,13 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe_encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    encoded = bpe_encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_decoded=True)
     decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(decimal, 256).alias("ids_sha256"),
-        F.sha2(bpe_decode(F.col("ids"), spark, ranks), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

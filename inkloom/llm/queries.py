@@ -110,4 +110,23 @@ QUERIES = {
     "op8_simhash": op8_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+# five hexadecimal digits of the SHA-1 at a time are four digits of base 32
+_BASE32 = " || ".join(
+    f"substr('{_ALPHABET}', CAST((('0x' || substr(sha, {5 * block + 1}, 5))::INT >> {shift}) & 31 AS INT) + 1, 1)"
+    for block in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+# The other operators have no SQL: trained scores, tokenizers, digests and XXH64 fingerprints.
+ORACLES: dict[str, str] = {
+    "op2_warc": f"""
+SELECT page_id, strlen(payload) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM (
+  SELECT page_id, payload, sha1(payload) AS sha, max(page_id) OVER (PARTITION BY payload) AS last
+  FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages)
+)
+"""
+}

@@ -12,8 +12,9 @@ import xxhash
 import corpus_pipeline
 from inkloom.llm import licenses, pii, quality, quality_rules, simhash, toxicity
 from inkloom.llm.components import components
-from inkloom.llm.queries import QUERIES
+from inkloom.llm.queries import ORACLES, QUERIES
 from inkloom.llm.tables import written
+from tests.compare import connect, difference
 from tests.llm.cases import LONG, ROWS, documents
 
 # ----------------------------------------------------------- near-duplicates
@@ -284,6 +285,11 @@ def test_held_out_accuracy(spark, name, column, threshold):
     assert sum(r.right for r in both) / len(both) >= threshold
 
 
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_against_its_sql(spark, sf_dir, name):
+    assert difference(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLES[name]) == ""
+
+
 # ------------------------------------------------------------------ pipeline
 
 

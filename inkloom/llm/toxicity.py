@@ -6,11 +6,13 @@ import json
 import math
 import re
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -104,22 +106,25 @@ def toxicity_score(text: Column, spark: SparkSession, model: ToxicityModel) -> C
     return toxicity(text)
 
 
-def _terms(texts: Column) -> Column:
-    """(term, context) of each word of a text: the word and its longer beginnings, with the word before it."""
+def _support(texts: DataFrame, wanted: Broadcast | None = None) -> DataFrame:
+    """(term, n): words of the texts and their beginnings, and the number of different words before them."""
 
-    @arrow_udf("array<struct<term: string, context: string>>")
-    def terms(batch: pa.Array) -> pa.Array:
-        rows = []
-        for text in batch:
-            words, found, last = _WORD.findall(fold(text.as_py())), set(), ""
-            for word in words:
-                found.add((word, last))
-                found.update((word[:n] + "*", last) for n in (4, 5, 6) if len(word) > n)
-                last = word
-            rows.append([{"term": t, "context": c} for t, c in found])
-        return pa.array(rows, pa.list_(pa.struct([("term", pa.string()), ("context", pa.string())])))
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):  # bounds what a text's many terms take
+                found = set()
+                for text in batch.column(0).slice(at, 64).to_pylist():
+                    last = ""
+                    for word in _WORD.findall(fold(text)):
+                        for term in (word, *(word[:n] + "*" for n in (4, 5, 6) if len(word) > n)):
+                            if wanted is None or term in wanted.value:
+                                found.add((term, last))
+                        last = word
+                columns = [pa.array([f[i] for f in found], pa.string()) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, ["term", "context"])
 
-    return terms(texts)
+    seen = texts.select("text").mapInArrow(terms, "term string, context string")
+    return seen.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fit_toxicity(
@@ -149,15 +154,18 @@ def fit_toxicity(
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad:
         return ToxicityModel({}, exceptions)
-    seen = rows.select("toxic", F.explode(_terms(F.col("text"))).alias("t")).select("toxic", "t.term", "t.context")
-    contexts = seen.groupBy("term", "context").agg(F.max("toxic").alias("bad"), F.max(1 - F.col("toxic")).alias("good"))
-    counts = contexts.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
-    terms = counts.where(F.col("bad") >= min_support).withColumn("odds", odds).where(F.col("odds") >= min_odds)
-    # the evidence grows with the support too
-    heavy = terms.withColumn("weight", F.col("odds") * F.least(F.lit(1.0), F.log2(F.col("bad") + 1) / 5))
-    best = heavy.orderBy(F.desc("weight"), "term").limit(max_terms).collect()
-    model = ToxicityModel({r["term"]: r["weight"] for r in best}, exceptions)
+    # terms that toxic texts support, the best of them up to a bound; other texts are only asked for these
+    supported = _support(rows.where("toxic = 1")).where(F.col("n") >= min_support)
+    in_bad = {r["term"]: r["n"] for r in supported.orderBy(F.desc("n"), "term").limit(20 * max_terms).collect()}
+    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(in_bad))
+    in_good = {r["term"]: r["n"] for r in _support(rows.where("toxic = 0"), wanted).collect()}
+    weights = {}
+    for term, n in in_bad.items():
+        odds = math.log((n + 0.5) / (bad + 1)) - math.log((in_good.get(term, 0) + 0.5) / (good + 1))
+        if odds >= min_odds:
+            weights[term] = odds * min(1.0, math.log2(n + 1) / 5)  # the evidence grows with the support too
+    best = sorted(weights.items(), key=lambda tw: (-tw[1], tw[0]))[:max_terms]
+    model = ToxicityModel(dict(best), exceptions)
     raw = toxicity_score(F.col("text"), docs.sparkSession, ToxicityModel(model.weights, exceptions, 1.0, 0.0))
     points = rows.select("toxic", raw.alias("score")).toPandas()  # two numbers a sampled row
     model.slope, model.offset = _calibrate(points["score"].to_numpy(), points["toxic"].to_numpy())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,13 @@ _TITLES = {
     "n": "Dr|Prof",
 }
 _NAME = r"\p{Lu}[\p{Ll}'’-]*+(?:\p{Lu}[\p{Ll}'’-]*+)?"
+# Cards of the common forms: 16 digits in fours (a group of three more may belong to it), 15 as 4-6-5.
+_CARD = "(?<![\\w-])(?:{})(?![\\w-])".format(
+    "|".join(
+        rf"\d{{4}}{sign}\d{{4}}{sign}\d{{4}}{sign}\d{{4}}" + (rf"(?:{sign}\d{{3}}(?![\w-]|\.\d))?|3[47]\d\d{sign}\d{{6}}{sign}\d{{5}}" if sign else "")
+        for sign in ("", " ", "-")
+    )
+)
 # In the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9_%+-]++(?:\.[A-Za-z0-9_%+-]++)*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}+",
@@ -23,11 +31,15 @@ PATTERNS = {
     "secret": r"(?i:(?<![a-z0-9])(?:password|passwd|secret|token|api[_-]?key))\s?[=:]\s?[\"']?[A-Za-z0-9+/_-]{12,}+[\"']?",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|\d{1,2})\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|\d{1,2})(?![\w]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "card": _CARD,
     "phone": r"(?<![\w+(])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?![\w-])"
     r"|(?<![\w+(])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])|(?<![\w.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-])",
     "person": rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(_TITLES.values())})\.?\s(?:{_NAME})(?:\s{_NAME}){{0,2}}(?![\p{{L}}])",
 }
+# Other rows of 13 digits and more, up to where another pattern begins.
+_DIGITS = r"\d++(?:-\d++)*+(?![\w-])"
+_OTHERS = "|".join(f"(?:{PATTERNS[kind]})" for kind in ("email", "ip", "ssn", "card", "phone"))
+PATTERNS["row"] = rf"(?<![\w-])(?=\d(?:[ -]?\d){{12}}){_DIGITS}(?: (?!{_OTHERS}){_DIGITS})*+"
 PII = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Names that surrogates are made of, by gender and script.
 GIVEN = {
@@ -158,18 +170,62 @@ def _parts(found: Column) -> Column:
         kind = F.when(i == F.size(names) - 1, "family").otherwise(F.concat(lit("given_"), gender))
         return part(kind, F.when(i == 0, title).otherwise(none), word, F.substr(token, F.length(word) + 1), F.lower(word))
 
-    # a number of the common form is replaced without a right check digit too; other rows of digits are left alone
-    common = found.rlike(r"^(?:\d{16}|\d{4}([ -])\d{4}\1\d{4}\1\d{4})$")
-    number_kind = F.when(_luhn(digits) % 10 == 0, "card").when(common, "account").otherwise("")
+    # a number of the common form is replaced without a right check digit too
+    number_kind = lambda number: F.when(_luhn(number) % 10 == 0, "card").otherwise("account")
+    sixteen = F.left(digits, lit(16))
+    with_more = (F.length(digits) == 19) & ((_luhn(sixteen) % 10 == 0) | (_luhn(digits) % 10 != 0))
+    front = F.left(found, lit(19))
+    card = F.when(with_more, part(number_kind(sixteen), none, front, F.substr(found, lit(20)), sixteen)).otherwise(
+        part(number_kind(digits), none, found, none, digits)
+    )
     return (
         F.when(is_a["email"], F.array(part("email", none, address, ending, F.lower(found))))
         .when(is_a["access_key"], F.array(part("access_key", F.left(found, lit(4)), F.substr(found, lit(5)), none, F.substr(found, lit(5)))))
         .when(is_a["secret"], F.array(part("secret", secret_lead, secret, secret_tail, secret)))
         .when(is_a["ip"], F.array(part("ip", none, found, none, found)))
         .when(is_a["ssn"], F.array(part("ssn", none, found, none, digits)))
-        .when(is_a["card"], F.array(part(number_kind, none, found, none, digits)))
+        .when(is_a["card"], F.array(card))
         .when(is_a["person"], F.transform(names, name_part))
-        .otherwise(F.array(part("phone", country, number, none, F.regexp_replace(number, r"\D", ""))))
+        .when(is_a["phone"], F.array(part("phone", country, number, none, F.regexp_replace(number, r"\D", ""))))
+        .otherwise(_cards_in_row(found, part))
+    )
+
+
+def _cards_in_row(found: Column, part: Callable[..., Column]) -> Column:
+    """Parts of a row of digit groups: the cards in it, and what lies between them as it is.
+
+    A card is a window of neighbouring groups of three digits and more with 13
+    to 19 digits and a right check digit: from the left, one group rather than
+    several, else the longest; or the row as a whole.
+    """
+    none, groups = lit(""), F.regexp_extract_all(found, lit(r"\d+[ -]?"), 0)
+    text = lambda first, after: F.array_join(F.slice(groups, first + 1, after - first), "")
+    bare = lambda window: F.regexp_replace(window, r"\D", "")
+    right = lambda number: F.length(number).between(13, 19) & (_luhn(number) % 10 == 0)
+
+    def is_card(first: Column, after: Column) -> Column:
+        window = F.slice(groups, first + 1, after - first)
+        return F.forall(window, lambda g: F.length(bare(g)) >= 3) & right(bare(F.array_join(window, "")))
+
+    def card(first: Column | int, after: Column, begin: Column) -> Column:
+        window = text(first, after)
+        body = F.regexp_replace(window, r"[ -]$", "")
+        return part("card", text(begin, first), body, F.substr(window, F.length(body) + 1), bare(window))
+
+    def step(done: Column, first: Column) -> Column:
+        # seven groups of three digits are more than 19 digits
+        ends = F.sequence(first + 1, F.least(first + 6, F.size(groups)))
+        after = F.when(is_card(first, first + 1), first + 1).otherwise(F.array_max(F.filter(ends, lambda e: is_card(first, e))))
+        after = F.when(first >= done["next"], after)
+        found_one = F.struct(after.alias("next"), F.concat(done["parts"], F.array(card(first, after, done["next"]))).alias("parts"))
+        return F.when(after.isNotNull(), found_one).otherwise(done)
+
+    empty = F.slice(F.array(part("card", none, none, none, none)), 1, 0)
+    cards = F.aggregate(F.sequence(lit(0), F.size(groups) - 1), F.struct(lit(0).alias("next"), empty.alias("parts")), step)
+    rest = lambda done: F.concat(done["parts"], F.array(part("", none, text(done["next"], F.size(groups)), none, none)))
+    whole = F.array(part("card", none, found, none, bare(found)))
+    return F.get(
+        F.transform(F.array(cards), lambda done: F.when((F.size(done["parts"]) == 0) & right(bare(found)), whole).otherwise(rest(done))), lit(0)
     )
 
 
@@ -218,8 +274,8 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 def replace_pii(docs: DataFrame, key: str, text_column: str = "text", kinds_column: str | None = None) -> DataFrame:
     """The documents with personal data in their texts replaced by surrogates.
 
-    Found are e-mail and IP addresses, phone, card (16 digits, or others with a
-    right check digit) and social security numbers, access keys, secrets after a label, and names
+    Found are e-mail and IP addresses, phone, card (16 digits or 15 as 4-6-5, or
+    others with a right check digit, also within longer rows of digits) and social security numbers, access keys, secrets after a label, and names
     after a title.  A surrogate has the type, format, script, case and, for given
     names, the gender of what it replaces; the same value gets the same one in
     all documents, written with the signs of each occurrence, and different

@@ -216,6 +216,26 @@ def test_surrogates_stay_distinct_in_a_full_space(spark):
     assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
 
 
+def test_numbers_within_longer_rows_of_digits(spark):
+    rows = [
+        "4111 1111 1111 1111 12/27.", "order 12 4111 1111 1111 1111", "4111-1111-1111-1111 123", "4111-1111-1111-1111-12/27",
+        "567-555-8444 1999", "1999 2001 567-555-8444 12", "3782 822463 10005 1234", "12 378282246310005 99", "12 34 4111 1111 1111 1111 x",
+        "1 2 3 4 5 6 7 8 9 10 11 12 13 192.168.77.13", "12 1234567890123 7 123-45-6789", "6304 0000 0000 0000 000",
+    ]
+    gone = ["1111 1111 1111", "1111 1111 1111", "1111-1111-1111", "1111-1111-1111", "555-8444", "555-8444", "822463", "82246310005", "1111 1111 1111", "168.77", "45-6789", "0000 0000"]
+    docs = pii.replace_pii(documents(spark, list(enumerate(rows))), "k", kinds_column="kinds")
+    got = {r.doc_id: r for r in docs.collect()}
+    assert not [rows[i] for i, part in enumerate(gone) if part in got[i].text]
+    shape = lambda text: re.sub(r"\d", "0", text)
+    assert not [rows[i] for i in range(9) if shape(got[i].text) != shape(rows[i])]
+    assert got[0].text.endswith(" 12/27.") and got[1].text.startswith("order 12 ") and got[4].text.endswith(" 1999")
+    assert got[7].text.startswith("12 ") and got[7].text.endswith(" 99") and got[8].text.startswith("12 34 ")
+    same = [re.sub(r"\D", "", got[i].text)[a:b] for i, a, b in ((0, 0, 16), (1, 2, 18), (2, 0, 16), (3, 0, 16), (8, 4, 20))]
+    assert len(set(same)) == 1
+    plain = ["1234567890123 77", "9" * 13, "1 " * 3000 + "2", "1234567890123456x", "3" * 40]
+    assert sorted(masked(spark, list(enumerate(plain))).items()) == list(enumerate(plain))
+
+
 def test_pii_of_odd_documents(spark):
     docs = documents(spark, ROWS + PERSONAL + PERSONAL[:1] + [(None, PERSONAL[0][1]), (30, LONG + " a.b@c.org " + LONG)])
     got = pii.replace_pii(docs, "k", kinds_column="kinds")

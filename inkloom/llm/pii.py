@@ -58,12 +58,12 @@ WIDEN = 8  # attempts in the format of the original; later ones may be longer
 
 
 def _may_hold(text: Column) -> Column:
-    """Whether a text has what each match needs: a digit, a sign of an address or label, or a title.
+    """Whether a text has what each match needs: a digit, a sign of an address or label, a key's beginning, or a title.
 
     Far cheaper than the patterns; plain substrings are looked for without a regular expression.
     """
     titles = [t for forms in _TITLES.values() for t in forms.split("|")]
-    return reduce(lambda found, part: found | text.contains(part), ["@", "=", ":", *titles], text.rlike("[0-9]"))
+    return reduce(lambda found, part: found | text.contains(part), ["@", "=", ":", "AKIA", "ASIA", *titles], text.rlike("[0-9]"))
 
 
 def _draw(key: str, n: Column | int, *seed: Column) -> Column:

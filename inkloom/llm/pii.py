@@ -110,9 +110,11 @@ def _letter(key: str, char: Column, letters: Column, *seed: Column) -> Column:
 
 
 def _surrogate(key: str) -> Column:
-    """Candidate of columns ``kind``, ``norm`` and ``attempt``: keyed, in the format of the kind."""
-    kind, norm, attempt = col("kind"), col("norm"), col("attempt")
-    seed = (kind, norm, attempt)
+    """Candidate of columns ``kind``, ``norm``, ``gender`` and ``attempt``: keyed, in the format of the kind."""
+    kind, attempt = col("kind"), col("attempt")
+    seed = (kind, col("norm"), attempt)
+    ending = F.when(kind == "email", F.regexp_extract("norm", r"(\.[a-z]+)$", 1)).otherwise("")  # stays
+    norm = F.left("norm", F.length("norm") - F.length(ending))
     extra = F.greatest(attempt - (WIDEN - 1), lit(0))
     places = F.sequence(lit(1), F.length(norm))
     alphabet = F.when((kind == "secret") & norm.rlike("^[0-9a-f]+$"), 6).otherwise(26)  # hexadecimal stays so
@@ -137,10 +139,10 @@ def _surrogate(key: str) -> Column:
     syllable = lambda i: _any_of(SYLLABLES, script, _draw(key, 1 << 40, *seed, i))
     family = F.initcap(F.array_join(F.transform(F.sequence(lit(1), 3 + F.floor(attempt / 2).cast("int")), syllable), ""))
     longer = F.transform(F.sequence(lit(0), F.floor(attempt / 2).cast("int")), lambda i: F.when(i > 0, syllable(i)).otherwise(""))
-    given = F.concat(_any_of(GIVEN, F.concat(F.right(kind, lit(1)), lit("_"), script), _draw(key, 1 << 40, *seed)), F.array_join(longer, ""))
+    given = F.concat(_any_of(GIVEN, F.concat("gender", lit("_"), script), _draw(key, 1 << 40, *seed)), F.array_join(longer, ""))
     return (
         F.when(kind == "ip", address).when(kind == "card", card).when(kind == "family", F.lower(family))
-        .when(kind.startswith("given"), F.lower(given)).otherwise(plain)
+        .when(kind == "given", F.lower(given)).otherwise(F.concat(plain, ending))
     )
 
 
@@ -250,25 +252,40 @@ def _render(body: Column, kind: Column, surrogate: Column) -> Column:
     return F.when(is_name, F.initcap(surrogate)).when(same & (kind != "ip"), filled).otherwise(surrogate)
 
 
+def _identity(kind: Column) -> Column:
+    """Kind by which surrogates are drawn: a given name is the same one after any title."""
+    return F.when(kind.startswith("given"), "given").otherwise(kind)
+
+
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, norm, surrogate) of distinct entities (kind, norm): no two of a kind share one, none is another's original.
+    """(kind, norm, surrogate) of distinct entities (kind, norm), where the kind of all given names is ``given``.
 
+    No two that are written alike (names; card numbers; else of a kind) share a
+    surrogate, as it is written in full, and none is another's original.
     Candidates are keyed hashes, so an entity has one surrogate wherever it
     occurs.  Those that meet another's, or an original, are drawn again until
     none is left; of several that meet, the least original keeps its candidate.
-    Each round counts and joins narrow tables written to the shared folder.
+    A given name found with one gender keeps that; with both or none it gets a
+    name of either.  Each round counts and joins narrow tables written to the
+    shared folder.
     """
+    is_for = lambda gender: F.bool_or(col("kind") == f"given_{gender}")
+    gender = F.when(is_for("m") & ~is_for("f"), "m").when(is_for("f") & ~is_for("m"), "f").otherwise("n")
+    entities = entities.groupBy(_identity(col("kind")).alias("identity"), "norm").agg(gender.alias("gender"))
+    alike = F.when(col("kind").isin("family", "given"), "name").when(col("kind").isin("card", "account"), "number").otherwise(col("kind"))
+    entities = entities.withColumnRenamed("identity", "kind").withColumn("alike", alike)
     state = written(entities.withColumn("attempt", lit(0)).withColumn("surrogate", _surrogate(key)), "surrogates")
-    originals = state.select("kind", col("norm").alias("surrogate")).withColumn("original", lit(True))
+    originals = state.select("alike", col("norm").alias("surrogate")).distinct().withColumn("original", lit(True))
+    columns, own = ["alike", "kind", "norm", "gender", "attempt"], F.struct("norm", "kind")
     while True:
-        firsts = state.groupBy("kind", "surrogate").agg(F.min("norm").alias("first"), F.count(lit(1)).alias("n")).where("n > 1")
-        checked = state.join(firsts, ["kind", "surrogate"], "left").join(originals, ["kind", "surrogate"], "left")
-        clash = col("original").isNotNull() | F.coalesce(col("first") != col("norm"), lit(False))
-        checked = written(checked.select("kind", "norm", "attempt", "surrogate", clash.alias("clash")), "checked")
+        firsts = state.groupBy("alike", "surrogate").agg(F.min(own).alias("first"), F.count(lit(1)).alias("n")).where("n > 1")
+        checked = state.join(firsts, ["alike", "surrogate"], "left").join(originals, ["alike", "surrogate"], "left")
+        clash = col("original").isNotNull() | F.coalesce(col("first") != own, lit(False))
+        checked = written(checked.select(*columns, "surrogate", clash.alias("clash")), "checked")
         if checked.where("clash").isEmpty():
             return checked.select("kind", "norm", "surrogate")
         again = checked.withColumn("attempt", col("attempt") + col("clash").cast("int"))
-        state = written(again.select("kind", "norm", "attempt", F.when(col("clash"), _surrogate(key)).otherwise(col("surrogate")).alias("surrogate")), "surrogates")
+        state = written(again.select(*columns, F.when(col("clash"), _surrogate(key)).otherwise(col("surrogate")).alias("surrogate")), "surrogates")
 
 
 def replace_pii(docs: DataFrame, key: str, text_column: str = "text", kinds_column: str | None = None) -> DataFrame:
@@ -277,7 +294,7 @@ def replace_pii(docs: DataFrame, key: str, text_column: str = "text", kinds_colu
     Found are e-mail and IP addresses, phone, card (16 digits or 15 as 4-6-5, or
     others with a right check digit, also within longer rows of digits) and social security numbers, access keys, secrets after a label, and names
     after a title.  A surrogate has the type, format, script, case and, for given
-    names, the gender of what it replaces; the same value gets the same one in
+    names, the gender of what it replaces (see ``surrogates``); the same value gets the same one in
     all documents, written with the signs of each occurrence, and different
     values different ones (see ``surrogates``).  The name of a person is
     replaced word by word, so "Mr Smith" still is "Mr John Smith".
@@ -297,7 +314,8 @@ def replace_pii(docs: DataFrame, key: str, text_column: str = "text", kinds_colu
     parts = found.select("key", "place", F.posexplode(_parts(col("found"))).alias("number", "part"))
     parts = written(parts.select("key", "place", "number", "part.*"), "pii-parts")
     named = surrogates(parts.where("kind <> ''").select("kind", "norm").distinct(), key)
-    joined = parts.join(named, ["kind", "norm"], "left")
+    named = named.withColumnRenamed("kind", "identity")
+    joined = parts.withColumn("identity", _identity(col("kind"))).join(named, ["identity", "norm"], "left")
     new = F.when(col("kind") == "", col("body")).otherwise(
         F.concat("lead", _render(col("body"), col("kind"), F.when(col("kind") == "email", F.regexp_replace("surrogate", r"\.[^.]*$", "")).otherwise(col("surrogate"))), "tail")
     )

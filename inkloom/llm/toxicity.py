@@ -6,6 +6,7 @@ import json
 import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
@@ -58,12 +59,14 @@ class ToxicityModel:
 class _Matcher:
     def __init__(self, model: ToxicityModel):
         self.model, self.words = model, ahocorasick.Automaton()
+        found: dict[str, list[tuple[str, int, float]]] = {}  # a word, its beginning and a phrase may be the same letters
         for phrase in model.exceptions:
-            self.words.add_word(phrase, ("", len(phrase), 0.0))
+            found.setdefault(phrase, []).append(("", len(phrase), 0.0))
         for term, weight in model.weights.items():
             stem = term.removesuffix("*")
-            if stem not in self.words or self.words.get(stem)[2] < weight:
-                self.words.add_word(stem, ("*" if term != stem else "word", len(stem), weight))
+            found.setdefault(stem, []).append(("*" if term != stem else "word", len(stem), weight))
+        for stem, kinds in found.items():
+            self.words.add_word(stem, kinds)
         if len(self.words):
             self.words.make_automaton()
 
@@ -73,7 +76,7 @@ class _Matcher:
         if not len(self.words) or not text:
             return 0.0
         hits, spared = [], []
-        for end, (kind, size, weight) in self.words.iter(text):
+        for end, kind, size, weight in ((end, *k) for end, kinds in self.words.iter(text) for k in kinds):
             begin = end - size + 1
             if begin and text[begin - 1].isalpha():
                 continue
@@ -107,24 +110,20 @@ def toxicity_score(text: Column, spark: SparkSession, model: ToxicityModel) -> C
 
 
 def _support(texts: DataFrame, wanted: Broadcast | None = None) -> DataFrame:
-    """(term, n): words of the texts and their beginnings, and the number of different words before them."""
+    """(term, n): words of the texts and their beginnings, and the number of texts that hold them."""
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):  # bounds what a text's many terms take
-                found = set()
+                found: Counter[str] = Counter()
                 for text in batch.column(0).slice(at, 64).to_pylist():
-                    last = ""
-                    for word in _WORD.findall(fold(text)):
-                        for term in (word, *(word[:n] + "*" for n in (4, 5, 6) if len(word) > n)):
-                            if wanted is None or term in wanted.value:
-                                found.add((term, last))
-                        last = word
-                columns = [pa.array([f[i] for f in found], pa.string()) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays(columns, ["term", "context"])
+                    words = set(_WORD.findall(fold(text)))
+                    own = words | {word[:n] + "*" for word in words for n in (4, 5, 6) if len(word) > n}
+                    found.update(own if wanted is None else own & wanted.value)
+                columns = [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["term", "n"])
 
-    seen = texts.select("text").mapInArrow(terms, "term string, context string")
-    return seen.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return texts.select("text").mapInArrow(terms, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def fit_toxicity(
@@ -142,10 +141,10 @@ def fit_toxicity(
     """Learn term weights and the calibration from labelled texts (label 1: toxic).
 
     At most ``max_rows`` labelled rows are used (see ``labelled_sample``).  A
-    term weighs its log odds between toxic and other texts, where each
-    different word before it counts once: a copied passage gives no support,
-    since its contexts repeat within it.  Terms need ``min_support`` contexts in
-    toxic texts and log odds of ``min_odds``; the ``max_terms`` heaviest stay.
+    term weighs its log odds between toxic and other texts.  Its support is the
+    number of different texts that hold it: equal texts count once, whatever
+    words stand before it.  Terms need ``min_support`` toxic texts and log odds
+    of ``min_odds``; the ``max_terms`` heaviest stay.
     Rows with a null label are left out; without toxic rows the lexicon is empty.
     """
     rows = labelled_sample(docs, labels, label_column, id_column, text_column, max_rows)

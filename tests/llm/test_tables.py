@@ -296,6 +296,19 @@ def test_lexicon_matches_whole_words_and_spares_phrases():
     assert 0 < toxicity._Matcher(model).score(None) < 0.5 < toxicity._Matcher(model).score("trash trash")
 
 
+def test_a_word_and_its_beginning_both_count():
+    raw = toxicity._Matcher(toxicity.ToxicityModel({"scum": 5.0, "scum*": 4.0, "pond*": 1.0}, ("pond",), 1.0, 0.0)).raw
+    assert raw("you scum") > raw("you scummy") == raw("you scumbags") > 0 and raw("pond") == 0 < raw("ponds")
+
+
+def test_toxicity_of_a_set_phrase(spark):
+    dice = random.Random(9)
+    words = ["".join(dice.choices("abcdehilmnors", k=4)) for _ in range(200)]
+    rows = [(i, " ".join(dice.choices(words, k=30) + (["you", "vilewort"] if i % 4 == 0 else ["you"]) + dice.choices(words, k=9))) for i in range(200)]
+    model = toxicity.fit_toxicity(documents(spark, rows), labelled(spark, [(i, int(i % 4 == 0)) for i in range(200)], "toxic"))
+    assert "vilewort" in model.weights
+
+
 def labelled(spark, rows, column):
     return spark.createDataFrame([(i, y) for i, y in rows], f"doc_id long, {column} int")
 

@@ -78,7 +78,9 @@ def scan_licenses(
     word place - template place.  Neighbouring diagonals of a template are
     merged, and an occurrence counts if it covers ``min_coverage`` of the
     template's k-grams (all of a base phrase or of up to two k-grams) within a
-    span not longer than the template by more than the words put in.
+    span not longer than the template by more than the words put in.  Where
+    repeated k-grams chain diagonals to a longer span, the diagonals that reach
+    the coverage alone, or with those close by, count by themselves.
 
     Returns per row: id, ``n_words``, ``n_base`` (places of base phrases),
     ``first_word`` and ``last_word`` (their least and greatest starts, else
@@ -117,19 +119,49 @@ def scan_licenses(
     # a base phrase stands at one place: its diagonals are not merged
     along = Window.partitionBy(*key, "template").orderBy("diagonal")
     apart = F.coalesce((col("diagonal") - F.lag("diagonal").over(along) > neighbors) | col("is_base"), F.lit(True))
+    # a chain may run on through repeated k-grams: occurrences within it are what stands on diagonals close together
+    ahead = Window.partitionBy(*key, "template").orderBy("diagonal").rangeBetween(0, 2 * neighbors)
+    near = lambda own, seen: F.when(col("is_base"), col(own)).otherwise(seen.over(ahead))
+    least = F.when(col("is_base") | (col("size") <= 2), 1.0).otherwise(min_coverage)
+    own_coverage, near_coverage = F.bit_count("bits") / col("size"), F.bit_count("near_bits") / col("size")
+    place = lambda alone, first, last, share: F.struct(
+        "diagonal", F.lit(alone).alias("alone"), F.col(first).alias("first"), F.col(last).alias("last"), share.alias("coverage")
+    )
+    diagonals = diagonals.select(
+        "*", near("bits", F.bit_or("bits")).alias("near_bits"), near("first", F.min("first")).alias("near_first"),
+        near("last", F.max("last")).alias("near_last"),
+    )
+    candidate = F.when(own_coverage >= least, place(True, "first", "last", own_coverage)).when(
+        near_coverage >= least, place(False, "near_first", "near_last", near_coverage)
+    )
+    diagonals = diagonals.select("*", candidate.alias("candidate"))
     merged = diagonals.withColumn("apart", apart).withColumn("group", F.sum(col("apart").cast("int")).over(along))
     merged = merged.groupBy(*key, "template", "size", "label", "is_base", "group").agg(
         F.bit_or("bits").alias("bits"), F.min("first").alias("first"), F.max("last").alias("last"),
         F.max("n_words").alias("n_words"), F.max("votes").alias("votes"),
+        F.array_sort(F.collect_list("candidate")).alias("candidates"),
     )
     coverage = F.bit_count("bits") / col("size")
-    whole = col("is_base") | (col("size") <= 2)
-    fits = (col("last") - col("first") + 1 <= col("size") + 2 * neighbors) & (coverage >= F.when(whole, 1.0).otherwise(min_coverage))
-    found = merged.select(
-        "*", coverage.alias("coverage"), (fits & col("is_base")).alias("base"), fits.alias("fits"), (col("last") + gram - 1).alias("end")
+    fits = (col("last") - col("first") + 1 <= col("size") + 2 * neighbors) & (coverage >= least)
+    span = lambda first, last, share: F.struct(
+        "label", first.alias("first"), (last + gram - 1).alias("last"), share.alias("coverage")
     )
+    # within a chain too long, a diagonal that reaches the coverage alone counts; others, if none of these or taken before is near
+    alone = F.filter("candidates", lambda c: c["alone"])
+    shared = F.filter(
+        "candidates", lambda c: ~c["alone"] & ~F.exists(alone, lambda a: F.abs(a["diagonal"] - c["diagonal"]) <= 2 * neighbors)
+    )
+
+    def take(taken: Column, c: Column) -> Column:
+        apart = (F.size(taken) == 0) | (c["diagonal"] - F.element_at(taken, F.greatest(F.size(taken), F.lit(1)))["diagonal"] > 2 * neighbors)
+        return F.when(apart, F.concat(taken, F.array(c))).otherwise(taken)
+
+    chosen = F.concat(alone, F.aggregate(shared, F.slice("candidates", 1, 0), take))
+    within = F.transform(chosen, lambda c: span(c["first"], c["last"], c["coverage"]))
+    occurrences = F.when(fits, F.array(span(col("first"), col("last"), coverage))).when(col("template").isNotNull(), within)
+    found = merged.select("*", coverage.alias("coverage"), (fits & col("is_base")).alias("base"), occurrences.alias("occurrences"))
+    found = found.withColumn("fits", F.coalesce(F.size("occurrences") > 0, F.lit(False)))
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
-    span = F.struct("label", "first", col("end").alias("last"), "coverage")
     by_document = found.groupBy(*key).agg(
         F.max("n_words").cast("long").alias("n_words"),
         F.count_if("base").alias("n_base"),
@@ -138,7 +170,7 @@ def scan_licenses(
         joined(F.when(col("base"), col("label"))).alias("base_labels"),
         joined(F.when(col("fits"), col("label"))).alias("labels"),
         F.coalesce(F.max("coverage"), F.lit(0.0)).alias("score"),
-        F.array_sort(F.collect_list(F.when(col("fits"), span))).alias("spans"),
+        F.array_sort(F.flatten(F.collect_list("occurrences"))).alias("spans"),
         # the votes of the sentinel are the repeated rows
         F.max(F.when(col("template").isNull(), col("votes"))).alias("copies"),
     )

@@ -167,6 +167,18 @@ def test_changed_license_text_is_found(spark):
     assert row[1].labels == "" and row[1].score < 0.75
 
 
+def test_license_beside_its_repeated_words_is_found(spark):
+    rows = [
+        (1, "released under the mit license mit license mit license mit license"), (2, "licensed under cc by nc 4 0 2 0 2 0"),
+        (3, "free software free software free software this program is free software you can redistribute it and or modify it"),
+        (4, "mit license mit license mit license mit license mit license"),
+    ]
+    rows.append((5, "licensed under the apache license version 2 0 2 0 2 0 2 0 2 0"))
+    got = {r.doc_id: r for r in licenses.scan_licenses(documents(spark, rows)).collect()}
+    assert [got[i].labels for i in (1, 2, 3, 4, 5)] == ["mit", "cc-by,cc-by-nc", "gpl", "", "apache-2.0"]
+    assert [(r["first"], r["last"], r.coverage) for r in got[1].spans] == [(0, 4, 1.0)]
+
+
 def test_license_scan_runs_no_python(spark, sf_dir):
     for name in ("op6_licenses", "op9_pii"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()

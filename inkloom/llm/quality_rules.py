@@ -14,7 +14,6 @@ from pyspark.sql.functions import arrow_udf, col
 
 SYMBOLS = "#*$%&|<>"
 COMMON_WORDS = 60  # of a language's reference
-MAX_LANGUAGES = 200  # references, of the languages with the most documents
 # upper, lower, white space, digit, symbol, stop or comma, other ASCII sign, other letter or mark, everything else
 CLASSES = 9
 _TABLED = 0x3000  # code points with a class of their own; those beyond count as other letters
@@ -107,13 +106,13 @@ class DivergenceRules:
 
 
 def language_references(
-    docs: DataFrame, text_column: str = "text", lang_column: str = "lang", common: int = COMMON_WORDS, languages: int = MAX_LANGUAGES
+    docs: DataFrame, text_column: str = "text", lang_column: str = "lang", common: int = COMMON_WORDS
 ) -> References:
     """References from all texts of each language; a null language is one of its own.
 
     Counts are partial aggregates over the whole table; what reaches the driver
-    is bounded by ``common`` words and ``CLASSES`` numbers for ``languages``
-    languages.  Languages without any word are left out.
+    is ``common`` words and ``CLASSES`` numbers for each language, without a
+    limit of languages.  Languages without any word are left out.
     """
 
     @arrow_udf("array<long>")
@@ -122,9 +121,9 @@ def language_references(
 
     rows = docs.select(F.coalesce(col(lang_column).cast("string"), F.lit("")).alias("lang"), col(text_column).alias("text"))
     sums = [F.sum(F.get("n", i)).alias(f"n{i}") for i in range(CLASSES)]
-    totals = rows.select("lang", classes("text").alias("n")).groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), *sums)
-    kept = {r["lang"]: [r[f"n{i}"] for i in range(CLASSES)] for r in totals.orderBy(F.desc("docs"), "lang").limit(languages).collect()}
-    words = rows.where(col("lang").isin(list(kept))).select(
+    totals = rows.select("lang", classes("text").alias("n")).groupBy("lang").agg(*sums)
+    kept = {r["lang"]: [r[f"n{i}"] for i in range(CLASSES)] for r in totals.collect()}
+    words = rows.select(
         "lang", F.explode_outer(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("word")
     )
     counted = words.where("word <> ''").groupBy("lang", "word").count()

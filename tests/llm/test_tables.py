@@ -128,6 +128,13 @@ def test_divergence_keeps_prose_and_rejects_junk(spark):
     assert kept[100] == (False, False) and kept[101] == kept[102] == kept[103] == (True, False)
 
 
+def test_each_of_many_languages_has_a_reference(spark):
+    docs = spark.range(450).selectExpr("concat('l', id % 225) AS lang", "concat('word', id % 225, ' and ', id) AS text")
+    found = quality_rules.language_references(docs)
+    assert len(found.words) == len(found.counts) == len(found.classes) == 225
+    assert all(f"word{lang[1:]}" in words for lang, words in found.words.items())
+
+
 def test_rules_of_odd_documents(spark):
     docs = documents(spark).selectExpr("*", "CAST(NULL AS string) AS lang")
     found = quality_rules.language_references(docs)

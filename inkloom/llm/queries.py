@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from inkloom.llm.bpe import bpe_encode, read_ranks
 from inkloom.llm.fingerprints import fingerprint_neighbors
 from inkloom.llm.licenses import scan_licenses
+from inkloom.llm.manifest import build_manifest, folded_root, leaf_digest, proof_digest
 from inkloom.llm.packing import best_fit_pack, token_pieces
 from inkloom.llm.pii import replace_pii
 from inkloom.llm.quality import fit_quality, quality_score
 from inkloom.llm.quality_rules import apply_rules, language_references
+from inkloom.llm.ranked_search import ranked_search
 from inkloom.llm.simhash import simhash_groups
 from inkloom.llm.tables import fold_of
 from inkloom.llm.toxicity import fit_toxicity, toxicity_score
@@ -97,6 +99,28 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predictions(docs, quality_score(F.col("text"), model, at_threshold=0.7), held_out, 0.7)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of ``documents`` by source; half of the rows are checked after their line feeds are gone.
+
+    Null values are leaves' parts like others; a table without rows gives none.
+    """
+    docs = _table(spark, sf_dir, "documents")
+    head, text = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], F.col("text")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    changed = F.when(tampered, leaf_digest(*head, F.replace(text, F.lit("\n"), F.lit(""))))
+    manifest = build_manifest(docs.withColumn("changed", changed), leaf_digest(*head, text), carry=("changed",))
+    root, folded = F.lit(manifest.root), folded_root(F.coalesce("changed", "leaf"), F.col("path"))
+    rows = manifest.leaves.select(
+        "doc_id", "leaf", "subroot", root.alias("root"), proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root")
+    )
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each ``benchmark`` item; texts without terms are in no result."""
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), top=10)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op9_pii": op9_pii,
@@ -108,6 +132,8 @@ QUERIES = {
     "op6_licenses": op6_licenses,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash": op8_simhash,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -118,7 +144,18 @@ _BASE32 = " || ".join(
     for shift in (15, 10, 5, 0)
 )
 
+
+
+def _framed(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+_HEAD = " || ".join(map(_framed, ("doc_id", "source", "lang", "n_chars")))
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERMS = r"regexp_extract_all(translate(text, '%s', '%s'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')" % (_UPPER, _LOWER)
+
 # The other operators have no SQL: trained scores, tokenizers, digests and XXH64 fingerprints.
+# CRC-32 has no function in DuckDB: its table of 256 is eight steps of each byte, and bytes are folded one by one.
 ORACLES: dict[str, str] = {
     "op2_warc": f"""
 SELECT page_id, strlen(payload) AS payload_bytes, {_BASE32} AS payload_digest,
@@ -128,5 +165,70 @@ FROM (
   SELECT page_id, payload, sha1(payload) AS sha, max(page_id) OVER (PARTITION BY payload) AS last
   FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages)
 )
-"""
+""",
+    "op12_ranked_search": f"""
+WITH held AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+sizes AS (SELECT doc_id, count(*) AS n FROM held GROUP BY ALL),
+totals AS (SELECT count(*)::BIGINT AS all_docs, sum(n)::BIGINT AS all_terms FROM sizes),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM held GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * max(all_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counts, totals GROUP BY term
+),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+scored AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * all_docs) // all_terms))))::BIGINT AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0
+) WHERE rank <= 10
+""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, sha256({_HEAD} || {_framed("text")}) AS h,
+         sha256({_HEAD} || {_framed("CASE WHEN CRC % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")}) AS seen,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+  FROM (SELECT *, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+               lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+               lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)) + 1 AS CRC FROM documents)
+),
+nodes(source, level, i, n, h) AS (
+  SELECT source, 0, i, n, h FROM leaves
+  UNION ALL
+  SELECT source, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY source, level, i // 3, n
+),
+subroots AS (SELECT source, h, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(level, i, n, h) AS (
+  SELECT 0, i, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY level, i // 3, n
+),
+every AS (SELECT 0 AS part, source, level, i, h FROM nodes UNION ALL SELECT 1, NULL, level, i, h FROM tops),
+places AS (
+  SELECT doc_id, 0 AS part, source, level, (i // (3 ** level)::BIGINT) AS own FROM leaves JOIN (SELECT DISTINCT source, level FROM nodes WHERE n > 1) AS up
+  ON leaves.source IS NOT DISTINCT FROM up.source
+  UNION ALL
+  SELECT doc_id, 1, NULL, level, (subroots.i // (3 ** level)::BIGINT)
+  FROM leaves JOIN subroots ON leaves.source IS NOT DISTINCT FROM subroots.source, (SELECT DISTINCT level FROM tops WHERE n > 1) AS up
+),
+steps AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY part, level) AS step, before, after FROM (
+    SELECT doc_id, p.part, p.level, coalesce(string_agg(h, '' ORDER BY i) FILTER (i < own), '') AS before,
+           coalesce(string_agg(h, '' ORDER BY i) FILTER (i > own), '') AS after
+    FROM places AS p JOIN every AS e ON p.part = e.part AND p.level = e.level AND p.source IS NOT DISTINCT FROM e.source AND i // 3 = own // 3
+    GROUP BY doc_id, p.part, p.level
+  )
+),
+folds(doc_id, step, h) AS (
+  SELECT doc_id, 0, seen FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.step + 1, sha256(before || h || after) FROM folds AS f JOIN steps AS s ON f.doc_id = s.doc_id AND s.step = f.step + 1
+),
+proofs AS (SELECT doc_id, sha256(string_agg(before || after, '' ORDER BY step)) AS proof_sha256 FROM steps GROUP BY doc_id),
+root AS (SELECT h FROM tops WHERE n = 1)
+SELECT doc_id, leaves.h AS leaf, subroots.h AS subroot, root.h AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+       last AS folded_root, last = root.h AS verified
+FROM leaves JOIN subroots ON leaves.source IS NOT DISTINCT FROM subroots.source
+JOIN (SELECT doc_id, arg_max(h, step) AS last FROM folds GROUP BY doc_id) USING (doc_id) LEFT JOIN proofs USING (doc_id), root
+""",
 }

@@ -16,6 +16,7 @@ from inkloom.llm.quality import fit_quality, quality_score
 from inkloom.llm.quality_rules import apply_rules, language_references
 from inkloom.llm.ranked_search import ranked_search
 from inkloom.llm.simhash import simhash_groups
+from inkloom.llm.suffix_tree import fit_suffix_tree, score_texts
 from inkloom.llm.tables import fold_of
 from inkloom.llm.toxicity import fit_toxicity, toxicity_score
 from inkloom.llm.warc import read_records, write_archives
@@ -121,6 +122,17 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), top=10)
 
 
+def op13_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all ``documents`` by a suffix tree learned from four folds of five; a null id would be learned from."""
+    held_out = F.coalesce(fold_of(F.col("doc_id"), 5) == 1, F.lit(False))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    tree = fit_suffix_tree(docs.where(~F.col("held_out")))
+    scored = score_texts(docs, tree, carry=("held_out",))
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tree.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op9_pii": op9_pii,
@@ -134,6 +146,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_ranked_search": op12_ranked_search,
+    "op13_suffix_tree": op13_suffix_tree,
 }
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -205,7 +218,7 @@ tops(level, i, n, h) AS (
 ),
 every AS (SELECT 0 AS part, source, level, i, h FROM nodes UNION ALL SELECT 1, NULL, level, i, h FROM tops),
 places AS (
-  SELECT doc_id, 0 AS part, source, level, (i // (3 ** level)::BIGINT) AS own FROM leaves JOIN (SELECT DISTINCT source, level FROM nodes WHERE n > 1) AS up
+  SELECT doc_id, 0 AS part, leaves.source AS source, level, (i // (3 ** level)::BIGINT) AS own FROM leaves JOIN (SELECT DISTINCT source, level FROM nodes WHERE n > 1) AS up
   ON leaves.source IS NOT DISTINCT FROM up.source
   UNION ALL
   SELECT doc_id, 1, NULL, level, (subroots.i // (3 ** level)::BIGINT)

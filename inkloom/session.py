@@ -78,9 +78,3 @@ def through_storage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point reliable checkpoints at the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{shared_root(spark)}/checkpoints")

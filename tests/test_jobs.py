@@ -237,7 +237,7 @@ ORDER_ROWS = [
 )
 def test_chapter_order(spark, order, want):
     df = spark.createDataFrame(ORDER_ROWS, "book_slug string, pos long, volume double, number double, title string")
-    for upto in (None, 5):  # spread over range partitions, then trimmed in a window
+    for upto in (None, 5):
         rows = O.select_chapters(df, order, to=upto).filter("book_slug = 'b'").orderBy("index").collect()
         assert [r.pos for r in rows] == want
     slice_ = O.select_chapters(df, order, 1, 2).filter("book_slug = 'b'").orderBy("index").collect()
@@ -254,6 +254,18 @@ def test_one_huge_book_is_spread(spark, sf_dir):
     assert plain.exceptAll(spread).count() == 0 and spread.exceptAll(plain).count() == 0
 
 
+def test_positions_run_no_job_while_planning(spark):
+    tracker = spark.sparkContext.statusTracker()
+    df = spark.range(1000).selectExpr("'b' AS book_slug", "id AS pos", "0D AS volume", "1D AS number", "'t' AS title", "id AS pos2")
+    spark.sparkContext.setJobGroup("plan", "plan")
+    try:
+        rows = O.select_chapters(df, "descending", 10, 20)
+        assert tracker.getJobIdsForGroup("plan") == ()
+        assert sorted((r["index"], r["rank"], r.pos) for r in rows.collect()) == [(i, i + 10, i + 10) for i in range(11)]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_url_keys(spark):
     base = "https://novels.example"
     rows = [

@@ -260,7 +260,7 @@ def test_positions_run_no_job_while_planning(spark):
     spark.sparkContext.setJobGroup("plan", "plan")
     try:
         rows = O.select_chapters(df, "descending", 10, 20)
-        assert tracker.getJobIdsForGroup("plan") == ()
+        assert not tracker.getJobIdsForGroup("plan")
         assert sorted((r["index"], r["rank"], r.pos) for r in rows.collect()) == [(i, i + 10, i + 10) for i in range(11)]
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

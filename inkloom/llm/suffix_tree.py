@@ -36,7 +36,7 @@ START, END = 0, 1  # ids of the beginning, a context only, and of the end, a tok
 WINDOW = 2_000_000  # tokens that a task holds at once
 PIECE = 1 << 20  # bytes of a text that are split at once
 PART_TOKENS = 1_000_000  # training tokens for each part of the grams
-HOT_WORDS = 1_000_000  # words whose counts are broadcast
+HOT_WORDS = 400_000  # words whose counts are broadcast
 HOT_STATES = 2_000_000  # contexts and successors that are broadcast
 FILTER_BITS = 25  # of the fixed-size filters, by their logarithm
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")

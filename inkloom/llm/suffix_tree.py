@@ -36,7 +36,7 @@ START, END = 0, 1  # ids of the beginning, a context only, and of the end, a tok
 WINDOW = 2_000_000  # tokens that a task holds at once
 PIECE = 1 << 20  # bytes of a text that are split at once
 PART_TOKENS = 1_000_000  # training tokens for each part of the grams
-HOT_WORDS = 400_000  # words whose counts are broadcast
+HOT_WORDS = 1_000_000  # words whose counts are broadcast
 HOT_STATES = 2_000_000  # contexts and successors that are broadcast
 FILTER_BITS = 25  # of the fixed-size filters, by their logarithm
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -351,7 +351,8 @@ def fit_suffix_tree(texts: DataFrame, rules: TreeRules = TreeRules(), hot_words:
         judged = judged.where(col("gain") >= rules.min_gain).select(*context, "ckey", "total", (1 - col("kept") / col("total")).alias("rest"))
         contexts = written(judged, "contexts")
         share = F.when(col("rest").isNotNull(), (col("n") - rules.discount) / col("total"))
-        rows = joined.join(contexts.select(*context, "rest"), context, "left").withColumn("share", share)
+        # at the last length nothing is asked of grams in contexts that are not kept
+        rows = joined.join(contexts.select(*context, "rest"), context, "left" if level < depth else "inner").withColumn("share", share)
         rows = rows.withColumn("p", F.coalesce(col("share") + col("rest") * col("below"), "below"))
         below = written(rows.select(*names, "n", "key", "total", "share", "p"), "states")
         tree.contexts.append(contexts)

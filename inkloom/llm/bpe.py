@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 SLICE_BYTES = 4_000_000  # text encoded at once in a task
-KNOWN_CHUNKS = 300_000  # encoded chunks a task remembers between slices
-_KNOWN: dict[str, tuple[dict, dict]] = {}  # per rank table, for the tasks of one Python worker
+KNOWN_BYTES = 64_000_000  # about what the encoded chunks that a worker remembers between slices may take
+LONGEST_KNOWN = 64  # characters; longer chunks are not remembered
+ENTRY_BYTES = 200  # of a remembered chunk besides its characters and ids
+_KNOWN: dict[str, tuple[dict, dict, list[int]]] = {}  # per rank table, for the tasks of one Python worker
 NO_MERGE = np.iinfo(np.int32).max
 
 
@@ -159,7 +161,8 @@ class _Encoder:
     def __init__(self, merges: Merges, pattern: str):
         self.merges, self.split = merges, regex.compile(pattern).findall
         # ids of chunks at a text's beginning, and after a blank; None: the text must be split as a whole
-        self.first, self.later = _KNOWN.setdefault(f"{pattern} {len(merges.ranks)} {hash(merges.keys.tobytes())}", ({}, {}))
+        name = f"{pattern} {len(merges.ranks)} {hash(merges.keys.tobytes())}"
+        self.first, self.later, self.taken = _KNOWN.setdefault(name, ({}, {}, [0]))
 
     def _learn(self, texts: list[str]) -> list[bytes]:
         """Split the texts into pieces and encode each distinct piece once."""
@@ -170,16 +173,28 @@ class _Encoder:
         encoded = [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
         return [b"".join(map(encoded.__getitem__, found)) for found in parts]
 
-    def __call__(self, texts: list[str | None]) -> pa.Array:
-        if len(self.first) + len(self.later) > KNOWN_CHUNKS:
+    def _settle(self, added: list[tuple[dict, list[str]]]) -> None:
+        """Forget the long ones of the chunks that a slice added, or all chunks once they take too much."""
+        for known, chunks in added:
+            for chunk in chunks:
+                if len(chunk) > LONGEST_KNOWN:
+                    del known[chunk]
+                else:
+                    self.taken[0] += ENTRY_BYTES + 2 * len(chunk) + len(known[chunk] or b"")
+        if self.taken[0] > KNOWN_BYTES:
             self.first.clear()
             self.later.clear()
+            self.taken[0] = 0
+
+    def __call__(self, texts: list[str | None]) -> pa.Array:
         parts = [(t or "").split(" ") for t in texts]
+        added: list[tuple[dict, list[str]]] = []
         for known, lead, chunks in (
             (self.first, "", {found[0] for found in parts}),
             (self.later, " ", {c for found in parts for c in found[1:]}),
         ):
             new = [c for c in chunks if c not in known]
+            added.append((known, new))
             odd = {c for c in new if c[-1:].isspace() or lead and (not c or c[0].isspace())}
             known.update(dict.fromkeys(odd))
             new = [c for c in new if c not in odd]
@@ -191,6 +206,7 @@ class _Encoder:
         whole = [i for i, r in enumerate(rows) if r is None]
         for i, r in zip(whole, self._learn([texts[i] for i in whole]), strict=True):
             rows[i] = r
+        self._settle(added)
         offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows])))
         values = np.frombuffer(b"".join(rows), np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +18,30 @@ CAPACITY = 4096
 END_ID = 1
 OPEN_BINS = 1024  # bins a packer keeps open
 PIECES_PER_PACKER = 250_000  # rows of one packer; more rows get more packers
-KNOWN_CHUNKS = 1_000_000  # tokenized chunks a task remembers
+KNOWN_BYTES = 96_000_000  # about what the tokenized chunks that a worker remembers may take
+LONGEST_KNOWN = 64  # characters; longer chunks are not remembered
+ENTRY_BYTES = 250  # of a remembered chunk besides its characters and ids
 _TAIL = ".,!?;:*%&$#"  # signs that always are tokens apart from a word before them
-_KNOWN: dict[str, dict[str, bytes]] = {}  # per tokenizer, for the tasks of one Python worker
+_KNOWN: dict[str, "_Memory"] = {}  # per tokenizer, for the tasks of one Python worker
+
+
+class _Memory(dict):
+    """Ids of chunks.  Each call may add any; what stays is bounded in bytes."""
+
+    def __init__(self):
+        super().__init__()
+        self.taken = 0
+
+    def settle(self, new: Iterable[str]) -> None:
+        """Forget the long ones of the chunks that were added, or all of them once they take too much."""
+        for chunk in new:
+            if len(chunk) > LONGEST_KNOWN:
+                del self[chunk]
+            else:
+                self.taken += ENTRY_BYTES + 2 * len(chunk) + len(self[chunk])
+        if self.taken > KNOWN_BYTES:
+            self.clear()
+            self.taken = 0
 
 
 class _Tokens:
@@ -33,22 +55,35 @@ class _Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.known = _KNOWN.setdefault(str(hash(tokenizer_json)), {})
+        self.known = _KNOWN.setdefault(str(hash(tokenizer_json)), _Memory())
 
     @staticmethod
     def _parts(chunk: str) -> tuple[str, str]:
-        """A word and the signs after it, which are tokenized apart; the tokenizer ignores case."""
+        """A word and the signs after it, which are tokenized apart; the tokenizer ignores case.
+
+        They are only where the word surely ends in a letter or digit for the
+        tokenizer too, after composing and lower-casing: ASCII, or a letter of the
+        scripts up to Cyrillic whose lower case is one letter.
+        """
         if "<|" in chunk:  # may hold a special token
             return chunk, ""
         word = chunk.rstrip(_TAIL)
-        if not word or not word[-1].lower()[-1].isalnum():
+        if word.isascii():
+            ends = word[-1:].isalnum()
+        else:
+            last = unicodedata.normalize("NFC", word)[-1].lower()
+            ends = len(last) == 1 and last < "\u0530" and last.isalpha() and unicodedata.category(last)[0] == "L"
+        if not ends:
             word = chunk
         return (word.lower() if word.isascii() else word), chunk[len(word) :]
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: list[str]) -> list[str]:
+        """Add the ids of new chunks; tells what was added."""
         parts = {c: self._parts(c) for c in chunks}
-        self._encode(list({p for pair in parts.values() for p in pair if p not in self.known}))
+        pieces = {p for pair in parts.values() for p in pair if p not in self.known}
+        self._encode(list(pieces))
         self.known.update((c, self.known[word] + self.known[tail]) for c, (word, tail) in parts.items())
+        return list(pieces.union(chunks))
 
     def _encode(self, chunks: list[str]) -> None:
         for at in range(0, len(chunks), 20_000):
@@ -65,10 +100,10 @@ class _Tokens:
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > KNOWN_CHUNKS:
-            self.known.clear()
-        self._learn(list({c for found in parts for c in found if c not in self.known}))
-        return [b"".join(map(self.known.__getitem__, found)) for found in parts]
+        new = self._learn(list({c for found in parts for c in found if c not in self.known}))
+        rows = [b"".join(map(self.known.__getitem__, found)) for found in parts]
+        self.known.settle(new)
+        return rows
 
 
 def token_pieces(

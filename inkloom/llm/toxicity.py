@@ -6,13 +6,16 @@ import json
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,9 +86,13 @@ class _Matcher:
             if kind != "*" and end + 1 < len(text) and text[end + 1].isalpha():
                 continue
             (hits if kind else spared).append((begin, end, weight))
+        # whether a span lies in one of those that begin before it: the furthest of their ends tells
+        spared.sort()
+        begins, ends = [a for a, _, _ in spared], list(accumulate((b for _, b, _ in spared), max))
         best: dict[int, float] = {}  # a word counts once, by its heaviest term
         for begin, end, weight in hits:
-            if not any(a <= begin and end <= b for a, b, _ in spared):
+            place = bisect_right(begins, begin)
+            if not place or ends[place - 1] < end:
                 best[begin] = max(best.get(begin, 0.0), weight)
         return sum(best.values()) / math.log2(2 + len(_WORD.findall(text))) if best else 0.0
 
@@ -96,7 +103,8 @@ class _Matcher:
 def toxicity_score(text: Column, spark: SparkSession, model: ToxicityModel) -> Column:
     """Score from 0 to 1 of a text; null and empty texts get that of a text without matches.
 
-    The model is broadcast: its lexicon is bounded by ``max_terms`` of ``fit_toxicity``.
+    The model is broadcast: its lexicon is bounded by the support that ``fit_toxicity`` asks for.
+    A text is scored in time linear in its length, but for sorting its exception phrases.
     """
     shared, made = spark.sparkContext.broadcast(json.dumps(asdict(model))), []
 
@@ -126,6 +134,21 @@ def _support(texts: DataFrame, wanted: Broadcast | None = None) -> DataFrame:
     return texts.select("text").mapInArrow(terms, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def _near_key(texts: Column) -> Column:
+    """Least hash of a text's runs of three words: copies with a few other words mostly share it, other texts do not."""
+
+    def least(text: str | None) -> int:
+        words = (text or "").lower().split()
+        runs = zip(words, words[1:], words[2:], strict=False) if len(words) > 2 else [words]
+        return min(xxhash.xxh64_intdigest(" ".join(run)) for run in runs) >> 1
+
+    @arrow_udf("long")
+    def key(texts: pa.Array) -> pa.Array:
+        return pa.array([least(t.as_py()) for t in texts], pa.int64())
+
+    return key(texts)
+
+
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -133,39 +156,56 @@ def fit_toxicity(
     id_column: str = "doc_id",
     text_column: str = "text",
     max_rows: int = 40_000,
-    max_terms: int = 5_000,
     min_support: int = 3,
+    min_share: float = 0.01,
     min_odds: float = 2.5,
     exceptions: tuple[str, ...] = EXCEPTIONS,
 ) -> ToxicityModel:
     """Learn term weights and the calibration from labelled texts (label 1: toxic).
 
-    At most ``max_rows`` labelled rows are used (see ``labelled_sample``).  A
-    term weighs its log odds between toxic and other texts.  Its support is the
-    number of different texts that hold it: equal texts count once, whatever
-    words stand before it.  Terms need ``min_support`` toxic texts and log odds
-    of ``min_odds``; the ``max_terms`` heaviest stay.
-    Rows with a null label are left out; without toxic rows the lexicon is empty.
+    At most ``max_rows`` labelled rows are used (see ``labelled_sample``).  Equal
+    texts count once, and so do copies that share their least hash (``_near_key``): words
+    that a copied text repeats are no evidence.  A term weighs its log odds
+    between toxic and other texts.  It needs ``min_support`` toxic texts, a share
+    of ``min_share`` of them, log odds of ``min_odds``, and toxic texts in both halves of
+    the sample, dealt by hash, and to be commoner there in each.  No number of terms is
+    cut: those of that share are at most 1 / ``min_share`` times the mean number
+    of terms in a toxic text.
+    Rows with a null label are left out, texts without words support nothing;
+    without toxic rows the lexicon is empty.
     """
+    spark = docs.sparkSession
     rows = labelled_sample(docs, labels, label_column, id_column, text_column, max_rows)
-    rows = written(rows.withColumnRenamed("label", "toxic"), "toxicity-sample")
-    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    bad, good = sizes.get(1, 0), sizes.get(0, 0)
+    rows = written(rows.select("text", F.col("label").alias("toxic"), _near_key(F.col("text")).alias("near")), "toxicity-sample")
+    one = rows.groupBy("near").agg(F.max("toxic").alias("toxic"), F.min_by("text", F.struct(-F.col("toxic"), F.xxhash64("text"))).alias("text"))
+    one = written(one.withColumn("half", F.pmod(F.xxhash64("near"), F.lit(2))), "toxicity-texts")
+    sizes = {(r["toxic"], r["half"]): r["count"] for r in one.groupBy("toxic", "half").count().collect()}
+    bad, good = (sum(n for (toxic, _), n in sizes.items() if toxic == label) for label in (1, 0))
     if not bad:
         return ToxicityModel({}, exceptions)
-    # terms that toxic texts support, the best of them up to a bound; other texts are only asked for these
-    supported = _support(rows.where("toxic = 1")).where(F.col("n") >= min_support)
-    in_bad = {r["term"]: r["n"] for r in supported.orderBy(F.desc("n"), "term").limit(20 * max_terms).collect()}
-    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(in_bad))
-    in_good = {r["term"]: r["n"] for r in _support(rows.where("toxic = 0"), wanted).collect()}
+    least = max(min_support, math.ceil(min_share * bad))
+    in_bad = {r["term"]: r["n"] for r in _support(one.where("toxic = 1")).where(F.col("n") >= least).collect()}
+    wanted = spark.sparkContext.broadcast(frozenset(in_bad))
+    # others are only asked for the terms that toxic texts support
+    found = {
+        (toxic, half): {r["term"]: r["n"] for r in _support(one.where(f"toxic = {toxic} and half = {half}"), wanted).collect()}
+        for toxic in (0, 1) for half in (0, 1)
+    }
+    wanted.unpersist()
+
+    def odds(term: str, halves: tuple[int, ...]) -> float:
+        share = [
+            (sum(found[toxic, h].get(term, 0) for h in halves) + 0.5) / (sum(sizes.get((toxic, h), 0) for h in halves) + 1) for toxic in (0, 1)
+        ]
+        return math.log(share[1]) - math.log(share[0])
+
     weights = {}
     for term, n in in_bad.items():
-        odds = math.log((n + 0.5) / (bad + 1)) - math.log((in_good.get(term, 0) + 0.5) / (good + 1))
-        if odds >= min_odds:
-            weights[term] = odds * min(1.0, math.log2(n + 1) / 5)  # the evidence grows with the support too
-    best = sorted(weights.items(), key=lambda tw: (-tw[1], tw[0]))[:max_terms]
-    model = ToxicityModel(dict(best), exceptions)
-    raw = toxicity_score(F.col("text"), docs.sparkSession, ToxicityModel(model.weights, exceptions, 1.0, 0.0))
+        both = odds(term, (0, 1))
+        if both >= min_odds and all(found[1, h].get(term) and odds(term, (h,)) > 0 for h in (0, 1)):
+            weights[term] = both * min(1.0, math.log2(n + 1) / 5)  # the evidence grows with the support too
+    model = ToxicityModel(dict(sorted(weights.items())), exceptions)
+    raw = toxicity_score(F.col("text"), spark, ToxicityModel(model.weights, exceptions, 1.0, 0.0))
     points = rows.select("toxic", raw.alias("score")).toPandas()  # two numbers a sampled row
     model.slope, model.offset = _calibrate(points["score"].to_numpy(), points["toxic"].to_numpy())
     return model

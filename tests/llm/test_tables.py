@@ -1,7 +1,9 @@
 """Near-duplicates, rules, licenses, personal data, trained scores and the pipeline."""
 
+import math
 import random
 import re
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -320,6 +322,24 @@ def test_a_word_and_its_beginning_both_count():
     assert raw("you scum") > raw("you scummy") == raw("you scumbags") > 0 and raw("pond") == 0 < raw("ponds")
 
 
+def test_toxicity_scores_long_texts_in_linear_time():
+    matcher = toxicity._Matcher(toxicity.ToxicityModel({"trash": 5.0}, ("trash can",), 1.0, 0.0))
+    text = "trash can you trash " * 40_000
+    begun = time.perf_counter()
+    assert matcher.raw(text) == pytest.approx(40_000 * 5 / math.log2(2 + 160_000))
+    assert time.perf_counter() - begun < 5
+
+
+def test_toxicity_learns_no_words_of_copies(spark):
+    """A text that is copied with small changes supports its own words once."""
+    clean = [(i, f"plain words number {i} about the weather and the sea") for i in range(60)]
+    copies = [(100 + i, f"qwyzzu brommel tarquist lingon vostrade merenda pilcrow zantine {i} qwyzzu brommel tarquist") for i in range(12)]
+    rude = [(200 + i, f"you idiot number {i} of {i * 7} things and {i * 13} words") for i in range(20)]
+    rows = clean + copies + rude
+    model = toxicity.fit_toxicity(documents(spark, rows), labelled(spark, [(i, int(i >= 100)) for i, _ in rows], "toxic"), min_share=0.1)
+    assert "idiot" in model.weights and not {"qwyzzu", "brommel", "lingon"} & set(model.weights)
+
+
 def test_toxicity_of_a_set_phrase(spark):
     dice = random.Random(9)
     words = ["".join(dice.choices("abcdehilmnors", k=4)) for _ in range(200)]
@@ -376,16 +396,22 @@ def test_query_against_its_sql(spark, sf_dir, name):
 # ------------------------------------------------------------------ pipeline
 
 
+# The insults that the given tables hold.
+INSULTS = set("trash worthless idiot pathetic disgusting clown stupid loser scum moron".split())
+
+
 def test_pipeline_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     names, kinds = docs.columns, docs.schema
     toxic = {r.doc_id for r in spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").collect()}
+    insulting = {r.doc_id for r in docs.collect() if INSULTS & set(toxicity._WORD.findall(toxicity.fold(r.text)))}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         after = written(stage(spark, docs, sf_dir), name)
         ids, before = [{r.doc_id for r in d.collect()} for d in (after, docs)]
         assert after.columns == names and [f.dataType for f in after.schema] == [f.dataType for f in kinds]
         if name == "toxicity":
-            assert len(toxic & ids) < 0.2 * len(toxic)
+            # labels have noise: some texts marked toxic hold no insult at all, and no lexicon should learn those
+            assert not [i for i in toxic & ids & insulting]
         elif name == "near_duplicates":
             groups = simhash.simhash_groups(docs).collect()
             assert ids == {r.component for r in groups} and after.count() == len(ids)

@@ -85,13 +85,11 @@ def html_text(html: Column) -> Column:
     """Plain text: block tags break lines, other tags vanish, entities decoded."""
     any_block = rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)}){WORD_END}[^>]*>"
     # a '<' inside a tag makes the result depend on the order of tag names
-    broken = let(
-        html,
-        lambda h: F.when(~h.rlike("<[^<>]*<"), F.regexp_replace(h, any_block, "\n")).otherwise(
-            reduce(lambda text, tag: F.regexp_replace(text, rf"(?i)</?{tag}{WORD_END}[^>]*>", "\n"), BLOCK_TAGS, h)
-        ),
+    lines = lambda h: F.when(~h.rlike("<[^<>]*<"), F.regexp_replace(h, any_block, "\n")).otherwise(
+        reduce(lambda text, tag: F.regexp_replace(text, rf"(?i)</?{tag}{WORD_END}[^>]*>", "\n"), BLOCK_TAGS, h)
     )
-    text = decode_entities(F.regexp_replace(broken, "<[^>]+>", ""))
+    broken = _split_after_last(html, ">", lambda head, tail: F.concat(let(head, lines), tail))
+    text = decode_entities(_remove_up_to(broken, "<[^>]+>", ">"))
     text = F.replace(text, F.lit("\r"), F.lit(""))
     text = F.regexp_replace(text, r"(?<![\t ])[\t ]++\n", "\n")
     text = F.regexp_replace(text, r"\n[\t ]+", "\n")
@@ -103,12 +101,66 @@ def html_text(html: Column) -> Column:
 # ---------------------------------------------------------------- cleaning
 
 
+def _split_after_last(value: Column, mark: str, use) -> Column:
+    """``use(head, tail)`` of a text cut behind the last ``mark``; without one all of it is tail.
+
+    A pattern that ends in ``mark`` finds nothing that begins in the tail, so it
+    need not look there: each of its beginnings would search to the end in vain.
+    """
+
+    def cut(text: Column) -> Column:
+        place = F.locate(mark[::-1], F.reverse(text))
+        end = F.when(place > 0, F.length(text) - place + 1).otherwise(0)
+        return let(end, lambda n: use(F.left(text, n), F.substr(text, n + 1)))
+
+    return let(value, cut)
+
+
+def _remove_up_to(value: Column, pattern: str, mark: str) -> Column:
+    return _split_after_last(value, mark, lambda head, tail: F.concat(F.regexp_replace(head, pattern, ""), tail))
+
+
+def _spare_unclosed(text: Column, marker: Column) -> Column:
+    """Put ``marker`` into the opening tags of dangerous elements that no closing tag follows."""
+
+    def spare(done: Column, name: Column) -> Column:
+        closing = F.concat(F.lit("(?is)^(.*</"), name, F.lit(f"[{WS}]*>)"))
+        opening = F.concat(F.lit("(?i)<(?="), name, F.lit(f"{WORD_END})"))
+
+        def mark(closed: Column) -> Column:
+            rest = F.substr(done, F.length(closed) + 1)
+            return F.concat(closed, F.regexp_replace(rest, opening, F.concat(F.lit("<"), marker)))
+
+        return let(F.call_function("regexp_extract", done, closing, F.lit(1)), mark)
+
+    present = let(
+        F.lower(text), lambda low: F.filter(F.array(*[F.lit(t) for t in UNSAFE_TAGS]), lambda t: F.contains(low, F.concat(F.lit("<"), t)))
+    )
+    return F.aggregate(present, text, spare)
+
+
 def drop_unsafe_html(html: Column) -> Column:
-    """Remove dangerous elements with their content, comments and doctypes."""
+    """Remove dangerous elements with their content, comments and doctypes.
+
+    The time is linear in the text: opening tags that are never closed are told
+    first, and patterns are not tried behind the last place where they can end.
+    """
     blocks = rf"(?is)<({'|'.join(UNSAFE_TAGS)}){WORD_END}[^>]*>.*?</\1[{WS}]*>"
-    out = F.regexp_replace(html, blocks, "")
-    out = F.regexp_replace(out, r"(?s)<!--.*?-->", "")
-    return F.regexp_replace(out, r"(?is)<!DOCTYPE.*?>", "")
+    anything = rf"(?i)<(?:{'|'.join(UNSAFE_TAGS)}){WORD_END}"
+    # a sign that the text does not hold
+    signs = F.array(*[F.lit(chr(c)) for c in range(0xE000, 0xE008)])
+
+    def without_blocks(head: Column, tail: Column) -> Column:
+        def cleaned(marker: Column) -> Column:
+            closed = F.regexp_replace(_spare_unclosed(head, marker), blocks, "")
+            return F.concat(F.replace(closed, F.concat(F.lit("<"), marker), F.lit("<")), tail)
+
+        free = F.get(F.filter(signs, lambda c: ~F.contains(head, c)), F.lit(0))
+        return let(free, cleaned)
+
+    out = let(html, lambda text: F.when(text.rlike(anything), _split_after_last(text, ">", without_blocks)).otherwise(text))
+    out = _remove_up_to(out, r"(?s)<!--.*?-->", "-->")
+    return _remove_up_to(out, r"(?is)<!DOCTYPE.*?>", ">")
 
 
 def _attributes(raw: Column) -> Column:
@@ -242,7 +294,10 @@ def _clean_tag(token: Column, base: str) -> Column:
 
 def clean_html(html: Column, base: str) -> Column:
     """Safe HTML: allowed tags only, attributes rebuilt, unsafe blocks gone."""
-    tokens = F.regexp_extract_all(drop_unsafe_html(html), F.lit("<[^>]*>|[^<]+"), F.lit(0))
+    both = lambda head, tail: F.concat(
+        F.regexp_extract_all(head, F.lit("<[^>]*>|[^<]+"), F.lit(0)), F.regexp_extract_all(tail, F.lit("[^<]+"), F.lit(0))
+    )
+    tokens = _split_after_last(drop_unsafe_html(html), ">", both)
     cleaned = F.transform(tokens, lambda t: F.when(~t.startswith("<"), t).otherwise(_clean_tag(t, base)))
     return trim(F.array_join(cleaned, ""))
 
@@ -268,7 +323,7 @@ def first_per_key(items: Column, key: str, position: str = "pos") -> Column:
 
 def html_images(html: Column, base: str) -> Column:
     """Images of raw HTML in document order, first per address."""
-    tags = F.regexp_extract_all(html, F.lit(rf"(?i)<img{WORD_END}[^>]*>"), F.lit(0))
+    tags = _split_after_last(html, ">", lambda head, _: F.regexp_extract_all(head, F.lit(rf"(?i)<img{WORD_END}[^>]*>"), F.lit(0)))
 
     def image(tag: Column, position: Column) -> Column:
         return let(

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
 from inkloom.operators.fetches import TTL_MS, latest_captures
-from inkloom.operators.ordering import download_summary
 from inkloom.plans.chapters import fetched_chapters
-from inkloom.sources.library import book_bucket
 from inkloom.session import scratch_path
+from inkloom.sources.library import publish
 
 
 def read_stream(
@@ -49,8 +48,6 @@ def stream_captures(
 # ------------------------------------------------------------------- dedupe
 
 _DEDUPE_OUT = "url string, kind string, fetched_at timestamp, capture_id string"
-_DEDUPE_STATE = "kept array<bigint>"
-REMEMBERED = 1000  # kept times of a key; beyond them a very late repeat may come through again
 
 
 def _near(times: np.ndarray, kept: np.ndarray, period: int) -> np.ndarray:
@@ -62,63 +59,86 @@ def _near(times: np.ndarray, kept: np.ndarray, period: int) -> np.ndarray:
     return np.minimum(np.abs(times - before), np.abs(after - times)) < period
 
 
-def _first_per_period(ttl_us: Mapping[str, int], state_ms: int | None) -> Callable:
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+class FirstPerPeriod(StatefulProcessor):
+    """Keeps of each key the first capture per period.
+
+    Kept times are a period apart at least, so a stretch of time as long as one
+    period holds one of them at most.  The state of a key is a map from stretch
+    to kept time; a capture is looked up in its own stretch and the two beside
+    it.  The map is never read or written as a whole, so it may hold any number
+    of periods, and entries expire one by one.
+    """
+
+    def __init__(self, ttl_us: Mapping[str, int], state_ms: int | None):
+        self.ttl_us, self.state_ms = dict(ttl_us), state_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.kept = handle.getMapState("kept", "stretch long", "at long", self.state_ms)
+
+    def _known(self, stretches: np.ndarray, seen: dict[int, int | None]) -> np.ndarray:
+        """Kept times of the stretches and of those beside them, sorted."""
+        around = np.unique(np.concatenate([stretches - 1, stretches, stretches + 1]))
+        for stretch in around.tolist():
+            if stretch not in seen:
+                found = self.kept.getValue((stretch,))
+                seen[stretch] = None if found is None else found[0]
+        return np.array([at for at in map(seen.get, around.tolist()) if at is not None], np.int64)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         url, kind = key
-        period = ttl_us.get(kind, 0)
-        if state.hasTimedOut:
-            state.remove()
+        period = self.ttl_us.get(kind, 0)
+        named = lambda at, ids: pd.DataFrame({"url": url, "kind": kind, "fetched_at": pd.to_datetime(at, unit="us"), "capture_id": ids})
+        if period <= 0:  # every capture counts
+            for frame in rows:
+                yield named(frame["fetched_us"].to_numpy(np.int64), frame["capture_id"].to_numpy(object))
             return
-        kept = np.array(state.get[0] if state.exists else [], np.int64)
+        seen: dict[int, int | None] = {} if self.kept.exists() else _Nothing()
         times, ids = [], []
-        for frame in frames:
+        for frame in rows:
             at = frame["fetched_us"].to_numpy(np.int64)
-            new = ~_near(at, kept, period)
+            new = ~_near(at, self._known(np.unique(at // period), seen), period)
             times.append(at[new])
             ids.append(frame["capture_id"].to_numpy(object)[new])
         at, capture = np.concatenate(times), np.concatenate(ids)
-        order = np.lexsort((capture.astype(str), at))
+        order = np.argsort(at, kind="stable")
         at, capture = at[order], capture[order]
-        picked: list[int] = []
-        place = 0
+        picked, place = [], 0
         while place < len(at):
-            picked.append(place)
-            # jump straight to the first capture after the period; without a
-            # period every capture counts
-            place = int(np.searchsorted(at, at[place] + period)) if period > 0 else place + 1
-        state.update((np.sort(np.concatenate([kept, at[picked]]))[-REMEMBERED:].tolist(),))
-        if state_ms is not None:
-            state.setTimeoutDuration(state_ms)
+            same = int(np.searchsorted(at, at[place], "right"))
+            picked.append(place + int(np.argmin(capture[place:same].astype(str))))
+            # jump straight to the first capture after the period
+            place = int(np.searchsorted(at, at[place] + period))
+        for moment in at[picked].tolist():
+            self.kept.updateValue((moment // period,), (moment,))
         if picked:
-            yield pd.DataFrame(
-                {
-                    "url": url,
-                    "kind": kind,
-                    "fetched_at": pd.to_datetime(at[picked], unit="us"),
-                    "capture_id": capture[picked],
-                }
-            )
+            yield named(at[picked], capture[picked])
+
+    def close(self) -> None:
+        pass
+
 
-    return step
+class _Nothing(dict):
+    """What a key without state knows of its stretches."""
+
+    def __contains__(self, stretch: object) -> bool:
+        return True
 
 
 def dedupe_stream(captures: DataFrame, ttl_ms: Mapping[str, int] = TTL_MS, state_ms: int | None = None) -> DataFrame:
     """First capture of each key per freshness period, over the whole stream.
 
     A capture less than a period before or after a kept one is a repeat; every
-    other is kept, also one that arrives late or out of order.  There is no
-    watermark, which would discard late rows: a key's state, its kept times, is
-    dropped when the key has been silent for ``state_ms`` of running time, if
-    given, so what expires can only let a repeat through.  Only times and ids
-    reach Python, never bodies; repeats of kept times are dropped frame by
-    frame, so a task holds the new captures of a key in one batch.
+    other is kept, also one that arrives late or out of order, however late.
+    There is no watermark, which would discard late rows.  A kept time is
+    forgotten ``state_ms`` of running time after it was kept, if given, so what
+    expires can only let a repeat through.  Only times and ids reach Python,
+    never bodies; repeats of kept times are dropped frame by frame, so a task
+    holds the times and ids of a key's new captures in one batch.
     """
     keyed = captures.select("url", "kind", "capture_id", F.unix_micros("fetched_at").alias("fetched_us"))
-    ttl_us = {kind: ms * 1000 for kind, ms in ttl_ms.items()}
-    timeout = GroupStateTimeout.NoTimeout if state_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    return keyed.groupBy("url", "kind").applyInPandasWithState(
-        _first_per_period(ttl_us, state_ms), _DEDUPE_OUT, _DEDUPE_STATE, "append", timeout
-    )
+    processor = FirstPerPeriod({kind: ms * 1000 for kind, ms in ttl_ms.items()}, state_ms)
+    mode = "none" if state_ms is None else "processingTime"
+    return keyed.groupBy("url", "kind").transformWithStateInPandas(processor, _DEDUPE_OUT, "append", mode)
 
 
 def stream_dedupe(
@@ -136,62 +156,25 @@ def stream_dedupe(
 # ------------------------------------------------------------------ library
 
 
-def _merge_batch(base: str, library: str) -> Callable[[DataFrame, int], None]:
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+def _add_batch(base: str, library: str, stream: str) -> Callable[[DataFrame, int], None]:
+    def add(batch: DataFrame, batch_id: int) -> None:
         rows = fetched_chapters(latest_captures(batch, ("book_slug", "chapter_slug")), base)
-        rows = rows.withColumn("book_bucket", book_bucket(F.col("book_slug")))
-        # written once: the batch is read again below, and a recomputed
-        # source must not change what is merged
-        fresh_path = f"{library}/incoming/batch={batch_id}"
-        rows.write.mode("overwrite").partitionBy("book_bucket").parquet(fresh_path)
-        fresh = spark.read.parquet(fresh_path)
-        chapters = f"{library}/chapters"
-        # one number a bucket; as literals they prune the folders that are read
-        touched = [r["book_bucket"] for r in fresh.select("book_bucket").distinct().collect()]
-        merged = fresh
-        if _has_files(spark, chapters):
-            kept = spark.read.schema(fresh.schema).parquet(chapters).where(F.col("book_bucket").isin(touched))
-            merged = kept.unionByName(fresh)
-        newest = latest_captures(merged, ("book_slug", "chapter_slug"))
-        # staged first: a folder cannot be read and overwritten in one job
-        staged = f"{library}/staged/batch={batch_id}"
-        newest.write.mode("overwrite").partitionBy("book_bucket").parquet(staged)
-        current = spark.read.parquet(staged)
-        overwrite = lambda df, path: (
-            df.hint("rebalance", "book_bucket")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("book_bucket")
-            .parquet(path)
-        )
-        overwrite(current, chapters)
-        counts = download_summary(current).withColumn("book_bucket", book_bucket(F.col("book_slug")))
-        overwrite(counts, f"{library}/summary")
-        for used in (fresh_path, staged):
-            _remove(spark, used)
-
-    return merge
-
-
-def _has_files(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        publish(batch.sparkSession, library, {"chapters": rows}, version=f"{stream}-{batch_id}")
+
+    return add
 
 
 def stream_library(captures: DataFrame, library: str, checkpoint: str, base: str, every: str | None = None) -> StreamingQuery:
-    """Keep the newest chapter of each key, and counts per book, current.
+    """Keep the newest chapter of each key current: ``read_chapters`` gives it, ``download_summary`` its counts.
 
-    Each batch replaces only the buckets it touches.  Replaying a batch gives
-    the same library: its captures lose or win against the same rows.
+    Each batch adds a version of its own chapters and rewrites nothing; the
+    newest capture of a chapter is found by the reader.  A replayed batch writes
+    the same version again.  ``compact_library`` bounds what a reader goes
+    through and may run beside the stream.
     """
-    return _run(captures.writeStream.foreachBatch(_merge_batch(base, library)).option("checkpointLocation", checkpoint), every)
+    stream = f"batch-{zlib.crc32(checkpoint.encode()):08x}"
+    writer = captures.writeStream.foreachBatch(_add_batch(base, library, stream))
+    return _run(writer.option("checkpointLocation", checkpoint), every)
 
 
 def new_run(spark: SparkSession, name: str) -> tuple[str, str]:

@@ -76,9 +76,10 @@ CAST_D = "CAST(NULL AS DOUBLE)"
 NULL_S = "CAST(NULL AS VARCHAR)"
 
 # chapters of orders: number and fields of the i-th
-ORDER_CHAPTERS = f"""
-    SELECT o_orderkey, i, 'order-' || o_orderkey AS parent_slug, o_totalprice, o_orderdate
-    FROM (SELECT *, unnest(range(1, o_orderkey % 5 + 1)) AS i FROM orders WHERE o_orderkey % 10 <> 9)
+ORDER_CHAPTERS = """
+    SELECT o_orderkey, 'order-' || o_orderkey AS parent_slug, l.* FROM orders JOIN (
+      SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY CAST(round(l_extendedprice * 100) AS BIGINT) * 100000 + l_suppkey * 10 + l_linenumber, l_partkey) AS i FROM lineitem
+    ) l ON l_orderkey = o_orderkey WHERE o_orderkey % 10 <> 9
 """
 
 TALK = f"""
@@ -344,19 +345,43 @@ UNION ALL SELECT book_slug, 2, 'creator', CAST(o_custkey AS VARCHAR), true, cnam
 UNION ALL SELECT book_slug, 3, 'team', CAST(o_orderkey % 100 AS VARCHAR), true, 'Clerk ' || (o_orderkey % 100), NULL, NULL FROM o
 """
 
+_LISTED = "'line-' || l_linenumber || '-' || l_partkey"
 ORACLES["book_chapters"] = f"""
-SELECT parent_slug, i - 1 AS pos, CAST(o_orderkey * 10 + i AS VARCHAR) AS id, true AS id_is_num, {NULL_S} AS book_id, CAST(NULL AS BOOLEAN) AS book_id_is_num,
-       CASE WHEN i % 3 = 2 THEN 'глава-' ELSE 'ch-' END || i AS slug, parent_slug AS book_slug,
-       '{BASE}/' || parent_slug || CASE WHEN i % 3 = 2 THEN '/%D0%B3%D0%BB%D0%B0%D0%B2%D0%B0-' ELSE '/ch-' END || i AS url,
+SELECT parent_slug, i - 1 AS pos, CAST(o_orderkey * 100 + i AS VARCHAR) AS id, true AS id_is_num, {NULL_S} AS book_id, CAST(NULL AS BOOLEAN) AS book_id_is_num,
+       {_LISTED} AS slug, parent_slug AS book_slug,
+       '{BASE}/' || parent_slug || '/' || {_LISTED} || CASE WHEN i % 3 = 2 THEN '?a=1' ELSE '' END AS url,
        CASE WHEN i % 2 = 1 THEN 'Chapter ' || i ELSE 'chapter ' || i || '.5' END AS title,
        CASE WHEN i % 2 = 0 THEN 'chapter ' || i || ',5' END AS number_label,
        CASE WHEN i % 2 = 1 THEN CAST(i AS DOUBLE) ELSE i + 0.5::DOUBLE END AS number, CAST(i % 3 AS DOUBLE) AS volume,
-       strftime(o_orderdate, '%Y-%m-%d') AS published_at, {NULL_S} AS created_at, {NULL_S} AS updated_at, CAST(NULL AS BIGINT) AS views,
-       o_totalprice AS price, i = 2 AS is_donate, i % 2 = 1 AS is_subscription, false AS is_sponsored,
+       strftime(l_shipdate, '%Y-%m-%d') AS published_at, {NULL_S} AS created_at, {NULL_S} AS updated_at, CAST(NULL AS BIGINT) AS views,
+       l_extendedprice AS price, l_returnflag = 'R' AS is_donate, i % 2 = 1 AS is_subscription, false AS is_sponsored,
        CAST(NULL AS BOOLEAN) AS is_edited, CAST(NULL AS BOOLEAN) AS is_user_paid
 FROM ({ORDER_CHAPTERS})
 """
 
+_HERE = "error_code IS NULL"
+ORACLES["download_books"] = f"""
+WITH captured AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey AS supplier, l_returnflag AS flag FROM lineitem WHERE l_suppkey % 7 <> 0
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey ORDER BY l_shipdate DESC, 'line-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey DESC) = 1
+),
+chapters AS (
+  SELECT c.*, {_LISTED} AS slug,
+         CASE WHEN supplier IS NULL THEN 'NOT_FOUND' WHEN supplier % 11 = 0 THEN 'HTTP_ERROR' WHEN flag = 'R' THEN 'CHAPTER_UNAVAILABLE' END AS error_code,
+         row_number() OVER (PARTITION BY o_orderkey ORDER BY i % 3, CASE WHEN i % 2 = 1 THEN i ELSE i + 0.5 END) - 1 AS "index"
+  FROM ({ORDER_CHAPTERS}) c LEFT JOIN captured USING (l_orderkey, l_linenumber, l_partkey) WHERE o_orderkey % 10 <> 8
+),
+counts AS (SELECT o_orderkey, count(*) FILTER ({_HERE}) AS good, count(*) FILTER (NOT {_HERE}) AS bad FROM chapters GROUP BY ALL),
+books AS (SELECT *, CASE o_orderkey % 10 WHEN 8 THEN 'NOT_FOUND' WHEN 9 THEN 'INVALID_PAYLOAD' END AS error_code FROM orders LEFT JOIN counts USING (o_orderkey))
+SELECT 'book' AS "row", 'order-' || o_orderkey AS book_slug, NULL AS "index", CASE WHEN {_HERE} THEN 'order-' || o_orderkey END AS slug,
+       CASE WHEN {_HERE} THEN o_orderpriority || ' ' || o_orderkey END AS title, error_code, NULL AS formatted_html, NULL AS text,
+       CASE WHEN {_HERE} THEN coalesce(good, 0) END AS succeeded, CASE WHEN {_HERE} THEN coalesce(bad, 0) END AS failed FROM books
+UNION ALL
+SELECT 'chapter', parent_slug, "index", slug, CASE WHEN i % 2 = 1 THEN 'Chapter ' || i ELSE 'chapter ' || i || '.5' END, error_code,
+       CASE WHEN {_HERE} THEN '<p>Line <strong>' || l_linenumber || '</strong> of&nbsp;' || l_orderkey || '</p><img src="{BASE}/i/' || l_partkey || '.png" alt="" loading="lazy" decoding="async">' END,
+       CASE WHEN {_HERE} THEN 'Line ' || l_linenumber || ' of ' || l_orderkey END, NULL, NULL FROM chapters
+"""
+
 _R = lambda value: f"CASE WHEN l_linenumber > 2 THEN {value} END"
 ORACLES["chapter_details"] = f"""
 SELECT {LINE_SLUG} AS request_slug, {NULL_S} AS error_code, CAST(l_partkey AS VARCHAR) AS id, true AS id_is_num,
@@ -402,10 +427,10 @@ SELECT book_slug, chapter_slug, 'previous', 'p' || (n - 1), false, 'line-' || (n
 
 ORACLES["chapter_availability"] = f"""
 WITH every AS (
-  SELECT {LINE_BOOK} AS book_slug, {LINE_SLUG} AS chapter_slug, l_returnflag = 'R' AS paid, l_linestatus = 'O' AS sub, l_extendedprice AS price FROM lineitem
-  UNION ALL SELECT book_slug, slug, paid, false, 4.0 FROM ({TALK}) WHERE role <> 'system' AND NOT gone
+  SELECT {LINE_BOOK} AS book_slug, {LINE_SLUG} AS chapter_slug, l_returnflag = 'R' AS paid, false AS gone, l_linestatus = 'O' AS sub, l_extendedprice AS price FROM lineitem
+  UNION ALL SELECT book_slug, slug, CASE WHEN NOT gone THEN paid END, gone, CASE WHEN NOT gone THEN false END, CASE WHEN NOT gone THEN 4.0 END FROM ({TALK}) WHERE role <> 'system'
 ), modes(allowed) AS (VALUES (false), (true))
-SELECT allowed, book_slug, chapter_slug, NOT paid AS available, CASE WHEN paid AND NOT allowed THEN 'CHAPTER_UNAVAILABLE' END AS error_code,
+SELECT allowed, book_slug, chapter_slug, NOT gone AND NOT paid AS available, CASE WHEN gone THEN 'NOT_FOUND' WHEN paid AND NOT allowed THEN 'CHAPTER_UNAVAILABLE' END AS error_code,
        paid AS is_donate, sub AS is_subscription, price
 FROM every, modes
 """
@@ -439,8 +464,9 @@ SELECT book_slug, "index", slug FROM (
 
 ORACLES["download_summary"] = f"""
 SELECT book_slug, count(*) FILTER (error_code IS NULL) AS succeeded, count(*) FILTER (error_code IS NOT NULL) AS failed
-FROM ({TALK_CODED}) WHERE down BETWEEN 1 AND 5 GROUP BY book_slug
+FROM ({TALK_CODED}) GROUP BY book_slug
 """
+ORACLES["read_library_books"] = ORACLES["download_summary"]
 
 ORACLES["drop_unsafe_html"] = f"SELECT page_id, {safe_sql('html')} AS html FROM pages"
 ORACLES["clean_html"] = f"SELECT page_id, formatted_html AS html FROM ({PAGES_CLEAN})"

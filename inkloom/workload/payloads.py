@@ -209,8 +209,21 @@ def catalog_source_captures(part: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------- books
 
 
-def book_captures(orders: DataFrame) -> DataFrame:
-    """Book payload of each order; every tenth book object is empty."""
+def listed_lines(lineitem: DataFrame) -> DataFrame:
+    """Lines of each order as an array in the order of their price; an order has a handful."""
+    line = F.struct(
+        _line_position().alias("pos"), "l_partkey", "l_linenumber", "l_returnflag", "l_extendedprice",
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"),
+    )
+    return lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+
+
+def book_captures(orders: DataFrame, lineitem: DataFrame | None = None) -> DataFrame:
+    """Book payload of each order; every tenth book object is empty.
+
+    With ``lineitem`` a book's chapters are the lines of its order, else some
+    made from its key.
+    """
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     odd = key % 2 == 1
     only = lambda cond, value: F.when(cond, value)
@@ -230,6 +243,25 @@ def book_captures(orders: DataFrame) -> DataFrame:
         price.alias("price"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("published_at"),
     )
+    listed = lambda line, i: F.struct(
+        (key * 100 + i + 1).alias("id"),
+        only(i % 2 == 0, _text("Chapter ", i + 1)).alias("title"),
+        only(i % 2 == 1, _text("chapter ", i + 1, ".5")).alias("name"),
+        only(i % 3 != 1, _text("line-", line["l_linenumber"], "-", line["l_partkey"])).alias("slug"),
+        only(i % 3 == 1, _text("/order-", key, "/line-", line["l_linenumber"], "-", line["l_partkey"], "?a=1")).alias("url"),
+        only(i % 2 == 0, i + 1).alias("chapterShortNumber"),
+        only(i % 2 == 1, _text("chapter ", i + 1, ",5")).alias("numberChapter"),
+        ((i + 1) % 3).alias("volume"),
+        _text(line["l_returnflag"] == "R").alias("isDonate"),
+        ((i + 1) % 2).alias("isSubscription"),
+        line["l_extendedprice"].alias("price"),
+        line["shipped"].alias("published_at"),
+    )
+    if lineitem is None:
+        chapters = F.when(key % 5 > 0, F.transform(F.sequence(F.lit(1), (key % 5).cast("int")), chapter))
+    else:
+        orders = orders.join(listed_lines(lineitem), "o_orderkey", "left")
+        chapters = F.transform("lines", listed)
     person = F.struct(cust.alias("id"), name.alias("name"))
     book = F.to_json(
         F.struct(
@@ -263,7 +295,7 @@ def book_captures(orders: DataFrame) -> DataFrame:
             ).alias("translators"),
             F.struct(cust.alias("userId"), name.alias("fullName"), _text("/u/", cust).alias("profileUrl")).alias("creator"),
             F.array(F.struct((key % 100).alias("teamId"), _text("Clerk ", key % 100).alias("title"))).alias("teams"),
-            F.when(key % 5 > 0, F.transform(F.sequence(F.lit(1), (key % 5).cast("int")), chapter)).alias("chapters"),
+            chapters.alias("chapters"),
         )
     )
     book = F.when(key % 10 == 9, F.lit("{}")).otherwise(book)
@@ -287,16 +319,19 @@ def book_captures(orders: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- chapters
 
 
+def _line_position() -> Column:
+    return F.round(F.col("l_extendedprice") * 100).cast("bigint") * 100000 + F.col("l_suppkey") * 10 + F.col("l_linenumber")
+
+
 def line_chapters(lineitem: DataFrame) -> DataFrame:
     """Chapter list in which a book is an order and a chapter is a line.
 
     Lines of an order have no key of their own, so the source position is made
     of the columns that tell them apart.
     """
-    pos = F.round(F.col("l_extendedprice") * 100).cast("bigint") * 100000 + F.col("l_suppkey") * 10 + F.col("l_linenumber")
     return lineitem.select(
         F.col("l_orderkey").alias("book_slug"),
-        pos.alias("pos"),
+        _line_position().alias("pos"),
         F.floor(F.col("l_quantity") / 10).cast("double").alias("volume"),
         F.when(F.col("l_linenumber") < 6, F.col("l_linenumber").cast("double")).alias("number"),
         _text("part-", F.lpad(F.col("l_partkey").cast("string"), 9, "0")).alias("title"),
@@ -368,6 +403,23 @@ def chapter_captures(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def download_captures(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Captures of books and of the chapters they list, some failed or missing.
+
+    Orders 10k + 8 are gone, though an older capture has the book; lines of
+    suppliers 7k were never fetched, those of 11k failed.
+    """
+    books = book_captures(orders, lineitem)
+    gone = F.col("book_slug").endswith("8")
+    newer = books.withColumns({"status": F.when(gone, 404).otherwise(200), "body": F.when(gone, F.lit("gone")).otherwise(F.col("body"))})
+    older = books.where(gone).withColumns(
+        {"capture_id": _text("old-", F.col("capture_id")), "fetched_at": F.timestamp_seconds(F.unix_seconds("fetched_at") - 3600)}
+    )
+    failed = F.element_at(F.split("capture_id", "-"), -1).cast("bigint") % 11 == 0
+    chapters = chapter_captures(lineitem.where("l_suppkey % 7 <> 0")).withColumn("status", F.when(failed, 500).otherwise(200))
+    return newer.unionByName(older).unionByName(chapters)
+
+
 # ----------------------------------------------------------- conversations
 
 

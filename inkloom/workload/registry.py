@@ -16,12 +16,13 @@ from inkloom.operators import chapters as CH
 from inkloom.operators import fetches as FE
 from inkloom.operators import links as L
 from inkloom.operators import ordering as O
-from inkloom.plans.chapters import assembled_books
+from inkloom.plans.books import download_books as download
+from inkloom.plans.chapters import assembled_books, fetched_chapters
 from inkloom.plans.search import search_catalog, searchable_pages
 from inkloom.session import configure, scratch_path
 from inkloom.sources.captures import load_captures as load
 from inkloom.sources.captures import quarantine_payloads as quarantine
-from inkloom.sources.library import read_library
+from inkloom.sources.library import read_chapters, read_library
 from inkloom.sources.library import write_library as write
 from inkloom.streaming import jobs as S
 from inkloom.workload import payloads as P
@@ -236,7 +237,9 @@ def book_people(spark, d):
 
 @query
 def book_chapters(spark, d):
-    books = B.book_details(_books(spark, d), BASE)
+    """The chapter list of each order: all its lines."""
+    captures = P.book_captures(table(spark, d, "orders"), table(spark, d, "lineitem"))
+    books = B.book_details(B.book_objects(load(captures)), BASE)
     return B.book_chapters(books, BASE, source="raw")
 
 
@@ -295,9 +298,9 @@ def chapter_neighbors(spark, d):
 def chapter_availability(spark, d):
     lines = _line_details(spark, d).select("book_slug", "chapter_slug", "error_code", "chapter", "raw_html")
     newest = FE.latest_captures(P.talk_captures(table(spark, d, "conversations")), ("book_slug", "chapter_slug"))
-    ok = newest.filter(F.col("status") == 200)
-    talks = CH.chapter_details(load(ok), BASE).select("book_slug", "chapter_slug", "error_code", "chapter", "raw_html")
-    both = lines.unionByName(talks)
+    # failed captures keep their error and are not available
+    talks = fetched_chapters(newest, BASE, allow_unavailable=True, clean=False)
+    both = lines.unionByName(talks.select("book_slug", "chapter_slug", "error_code", "chapter", "raw_html"))
     modes = [CH.chapter_availability(both, m).withColumn("allowed", F.lit(m)) for m in (False, True)]
     return modes[0].unionByName(modes[1]).select(
         "allowed", "book_slug", "chapter_slug", "available", "error_code",
@@ -345,17 +348,51 @@ def until_first_error(spark, d):
 
 @query
 def download_summary(spark, d):
-    return O.download_summary(_assembled(spark, d, order="source", start=1, to=5))
+    """Counts of whole books; content is not cleaned for them."""
+    return O.download_summary(_assembled(spark, d, order="source", clean=False))
+
+
+@query
+def download_books(spark, d):
+    """Whole books of orders and lines: a row for each book and for each of its chapters."""
+    captures = P.download_captures(table(spark, d, "orders"), table(spark, d, "lineitem"))
+    found = download(captures, BASE, order="ascending")
+    return _library_rows(found.books, found.chapters)
+
+
+def _library_rows(books, chapters):
+    none = lambda kind: F.lit(None).cast(kind)
+    of_books = books.select(
+        F.lit("book").alias("row"), "book_slug", none("bigint").alias("index"), "slug", "title", "error_code",
+        none("string").alias("formatted_html"), none("string").alias("text"), "succeeded", "failed",
+    )
+    of_chapters = chapters.select(
+        F.lit("chapter").alias("row"), "book_slug", "index", "slug", "title", "error_code",
+        F.col("content.formatted_html").alias("formatted_html"), F.col("content.text").alias("text"),
+        none("bigint").alias("succeeded"), none("bigint").alias("failed"),
+    )
+    return of_books.unionByName(of_chapters)
 
 
 @query
 def write_library(spark, d):
-    path = scratch_path(spark, "library")
-    write(_assembled(spark, d), path)
+    """Two versions, the second of every third book: what a reader sees."""
+    path, rows = scratch_path(spark, "library"), _assembled(spark, d)
+    write(rows, path)
+    again = F.element_at(F.split("book_slug", "-"), -1).cast("bigint") % 3 == 0
+    write(read_library(spark, path).where(again), path)
     rows = read_library(spark, path)
     return rows.select("book_slug", "index", "slug", "error_code", *_content())
 
 
+@query
+def read_library_books(spark, d):
+    """Books and counts that a reader of the library sees beside the chapters."""
+    path = scratch_path(spark, "library")
+    write(_assembled(spark, d, clean=False), path)
+    return read_library(spark, path, "books").select("book_slug", "succeeded", "failed")
+
+
 # --------------------------------------------------------------------- HTML
 
 
@@ -456,4 +493,4 @@ def stream_dedupe(spark, d):
 def stream_library(spark, d):
     library, checkpoint = S.new_run(spark, "stream-library")
     S.stream_library(P.talk_captures(_stream(spark, d, "conversations")), library, checkpoint, BASE)
-    return spark.read.parquet(f"{library}/summary").select("book_slug", "succeeded", "failed")
+    return O.download_summary(read_chapters(spark, library)).select("book_slug", "succeeded", "failed")

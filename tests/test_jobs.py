@@ -1,6 +1,7 @@
 """Small cases of the jobs: edges the given tables do not reach."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import Window
@@ -12,9 +13,11 @@ from inkloom.operators import chapters as CH
 from inkloom.operators import fetches as FE
 from inkloom.operators import links as L
 from inkloom.operators import ordering as O
+from inkloom.plans.books import download_books
 from inkloom.plans.chapters import assembled_books, fetched_chapters
 from inkloom.plans.search import search_catalog
 from inkloom.session import scratch_path
+from inkloom.sources import library
 from inkloom.sources.captures import CAPTURE_SCHEMA, load_captures, quarantine_payloads, read_captures
 from inkloom.sources.library import read_library, write_library
 from inkloom.streaming import jobs as S
@@ -288,13 +291,125 @@ def test_captures_read_back(spark, file_format):
     assert [r.ok for r in got.select(F.col("doc").isNotNull().alias("ok")).collect()] == [True, False]
 
 
-def test_library_overwrites_only_its_buckets(spark):
+def library_rows(books, text, code=None):
+    return [(b, 0, f"{b}-0", text, code) for b in books]
+
+
+LIBRARY = "book_slug string, index long, chapter_slug string, text string, error_code string"
+
+
+def test_library_versions_replace_whole_books(spark):
+    path = scratch_path(spark, "library")
+    write_library(spark.createDataFrame(library_rows("abcd", "old") + [("b", 1, "b-1", "old", None)], LIBRARY), path)
+    write_library(spark.createDataFrame(library_rows("b", "new", "NOT_FOUND"), LIBRARY), path)
+    got = sorted((r.book_slug, r["index"], r.text) for r in read_library(spark, path).collect())
+    assert got == [("a", 0, "old"), ("b", 0, "new"), ("c", 0, "old"), ("d", 0, "old")]
+    counts = {r.book_slug: (r.succeeded, r.failed) for r in read_library(spark, path, "books").collect()}
+    assert counts == {"a": (1, 0), "b": (0, 1), "c": (1, 0), "d": (1, 0)}
+
+
+def files_of(path):
+    return sorted(os.path.join(folder, f) for folder, _, files in os.walk(path) for f in files if f.endswith(".parquet"))
+
+
+def test_library_reader_sees_whole_versions_only(spark, monkeypatch):
+    path = scratch_path(spark, "library")
+    write_library(spark.createDataFrame(library_rows("ab", "old"), LIBRARY), path)
+    before = files_of(path)
+    seen = []
+    writer = library._write
+
+    def between(rows, path_, name, *rest):
+        done = writer(rows, path_, name, *rest)
+        seen.append({r.text for r in read_library(spark, path).collect()})
+        return done
+
+    monkeypatch.setattr(library, "_write", between)
+    write_library(spark.createDataFrame(library_rows("ab", "new"), LIBRARY), path)
+    assert seen == [{"old"}, {"old"}] and {r.text for r in read_library(spark, path).collect()} == {"new"}
+    # a writer that fails between its tables leaves what was there
+    failing = spark.createDataFrame(library_rows("ab", "lost"), LIBRARY)
+    bad = failing.select("book_slug", F.raise_error(F.lit("no counts")).cast("long").alias("succeeded"))
+    with pytest.raises(Exception, match="no counts"):
+        write_library(failing, path, books=bad)
+    assert {r.text for r in read_library(spark, path).collect()} == {"new"}
+    assert set(before) <= set(files_of(path))  # nothing was rewritten
+
+
+def test_library_compaction(spark):
+    path = scratch_path(spark, "library")
+    assert library.compact_library(spark, path) is None
+    for n in range(3):
+        write_library(spark.createDataFrame(library_rows("ab"[: 2 - n % 2], f"v{n}"), LIBRARY), path)
+    before = sorted(map(tuple, read_library(spark, path).collect()))
+    library.compact_library(spark, path)
+    assert len(library.published(spark, path)) == 1 and sorted(map(tuple, read_library(spark, path).collect())) == before
+    assert len(library.superseded(spark, path)) == 6
+    write_library(spark.createDataFrame(library_rows("c", "later"), LIBRARY), path)
+    assert {r.book_slug for r in read_library(spark, path).collect()} == set("abc")
+    library.compact_library(spark, path)
+    assert {r.book_slug for r in read_library(spark, path, "books").collect()} == set("abc")
+
+
+def test_library_without_chapters(spark):
+    path = scratch_path(spark, "library")
+    write_library(spark.createDataFrame([], LIBRARY), path)
+    assert read_library(spark, path).count() == 0 and read_library(spark, path, "books").columns == ["book_slug", "succeeded", "failed"]
+
+
+# ------------------------------------------------------------- whole books
+
+
+def book(slug, chapters, **fields):
+    return json.dumps({"pageProps": {"book": {"id": 1, "title": f"Book {slug}", "slug": slug, "chapters": chapters, **fields}}})
+
+
+def test_download_books(spark):
+    listed = [{"id": i, "slug": s, "title": s, "number": n} for i, (s, n) in enumerate([("c3", 3), ("c1", 1), ("c2", 2), ("c4", 4)])]
+    other = {**listed[1], "book": {"slug": "elsewhere"}, "url": "/elsewhere/c1"}
+    rows = [
+        # asked for under an old name; one chapter names another book
+        {"capture_id": "b1", "kind": "book", "book_slug": "old-name", "body": book("own", [listed[0], other, *listed[2:]])},
+        {"capture_id": "b2", "kind": "book", "book_slug": "gone", "status": 404},
+        {"capture_id": "b3", "kind": "book", "book_slug": "broken", "body": "<html>"},
+        {"capture_id": "b4", "kind": "book", "book_slug": "empty", "body": book("empty", [])},
+        {"capture_id": "b5", "kind": "book", "book_slug": "down", "status": 503},
+        {"capture_id": "k1", "kind": "chapter", "book_slug": "own", "chapter_slug": "c1", "body": chapter("c1")},
+        {"capture_id": "k2", "kind": "chapter", "book_slug": "own", "chapter_slug": "c2", "status": 500},
+        {"capture_id": "k3", "kind": "chapter", "book_slug": "own", "chapter_slug": "c3", "body": chapter("c3")},
+        {"capture_id": "k9", "kind": "chapter", "book_slug": "elsewhere", "chapter_slug": "c1", "status": 500},
+    ]
+    found = download_books(captures(spark, rows), BASE, order="ascending")
+    books = {r.book_slug: (r.error_code, r.slug, r.succeeded, r.failed, r.stopped_by) for r in found.books.collect()}
+    assert books == {
+        "old-name": (None, "own", 2, 2, None), "gone": ("NOT_FOUND", None, None, None, None), "broken": ("INVALID_PAYLOAD", None, None, None, None),
+        "empty": (None, "empty", 0, 0, None), "down": ("HTTP_ERROR", None, None, None, None),
+    }
+    rows_of = lambda d: sorted((r["index"], r.slug, r.error_code, r.content is not None and r.content.text is not None) for r in d.chapters.collect())
+    assert rows_of(found) == [(0, "c1", None, True), (1, "c2", "HTTP_ERROR", False), (2, "c3", None, True), (3, "c4", "NOT_FOUND", False)]
+    stopped = download_books(captures(spark, rows), BASE, order="ascending", stop_on_error=True)
+    assert rows_of(stopped) == [(0, "c1", None, True)]
+    assert {r.book_slug: (r.succeeded, r.failed, r.stopped_by) for r in stopped.books.collect()}["old-name"] == (1, 0, "HTTP_ERROR")
+    part = download_books(captures(spark, rows), BASE, order="descending", start=1, to=2)
+    assert rows_of(part) == [(0, "c3", None, True), (1, "c2", "HTTP_ERROR", False)]
     path = scratch_path(spark, "library")
-    make = lambda books, text: spark.createDataFrame([(b, 0, text) for b in books], "book_slug string, index long, text string")
-    write_library(make(["a", "b", "c", "d"], "old"), path)
-    write_library(make(["b"], "new"), path)
-    got = {r.book_slug: r.text for r in read_library(spark, path).collect()}
-    assert got["b"] == "new" and list(got.values()).count("old") == 3
+    write_library(found.chapters, path, books=found.books)
+    assert read_library(spark, path, "books").count() == 5 and read_library(spark, path).count() == 4
+
+
+def test_download_book_of_thousands_of_chapters(spark):
+    n = 5000
+    listed = [{"id": i, "slug": f"c{i}", "title": f"T{i}", "number": n - i} for i in range(n)]
+    big = captures(spark, [{"capture_id": "b", "kind": "book", "book_slug": "big", "body": book("big", listed)}])
+    one = captures(spark, [{"capture_id": "x", "kind": "chapter", "book_slug": "big", "chapter_slug": "c", "body": chapter("c")}])
+    many = one.crossJoin(spark.range(n).where("id % 5 <> 0")).withColumns(
+        {"capture_id": F.concat(F.lit("k"), "id"), "chapter_slug": F.concat(F.lit("c"), "id")}
+    )
+    found = download_books(big.unionByName(many.drop("id")), BASE, order="ascending", clean=False)
+    rows = sorted((r["index"], r.slug, r.error_code) for r in found.chapters.select("index", "slug", "error_code").collect())
+    assert rows == [(k, f"c{n - 1 - k}", "NOT_FOUND" if (n - 1 - k) % 5 == 0 else None) for k in range(n)]
+    [counts] = found.books.select("succeeded", "failed").collect()
+    assert tuple(counts) == (4 * n // 5, n // 5)
 
 
 def test_stream_dedupe_over_batches(spark):
@@ -324,6 +439,49 @@ def test_stream_dedupe_keeps_late_and_early_captures(spark):
     assert sorted(r.capture_id for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b", "c", "d", "g"]
 
 
+def test_stream_dedupe_of_a_hot_key(spark):
+    """A third of all captures under one key, over thousands of periods; all of them come again, late."""
+    root, period, n = scratch_path(spark, "dedupe-hot"), 30, 1_000_000
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("s")).alias("fetched_at")
+    id_, kind = F.format_string("%07d", "id").alias("capture_id"), F.lit("catalog").alias("kind")
+    # one capture a second in no order, on 400,000 seconds twice or three times
+    hot = spark.range(n).select(id_, F.lit("/hot").alias("url"), kind, (F.col("id") * 7919 % 400_000).alias("s"))
+    rest = spark.range(2000).select(id_, F.concat(F.lit("/u"), F.col("id") % 500).alias("url"), kind, (F.col("id") * 11).alias("s"))
+    for rows in (hot.unionByName(rest), hot.where("s % 3 = 0")):
+        rows.select("capture_id", "url", "kind", at).repartition(4).write.mode("append").parquet(f"{root}/in")
+        S.stream_dedupe(S.read_stream(spark, f"{root}/in", "capture_id string, url string, kind string, fetched_at timestamp"), f"{root}/out", f"{root}/checkpoint", {"catalog": 1000 * period})
+    kept = spark.read.parquet(f"{root}/out").where("url = '/hot'").select(F.unix_seconds("fetched_at").alias("s")).orderBy("s").collect()
+    assert [r.s - 1_700_000_000 for r in kept] == list(range(0, 400_000, period))
+
+
+def test_stream_dedupe_forgets_when_told(spark):
+    root, schema = scratch_path(spark, "dedupe-ttl"), "capture_id string, url string, kind string, fetched_at timestamp"
+    for name in "ab":
+        row = spark.createDataFrame([(name, "/u", "catalog")], "capture_id string, url string, kind string")
+        row.withColumn("fetched_at", F.timestamp_seconds(F.lit(1_700_000_000))).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        S.stream_dedupe(S.read_stream(spark, f"{root}/in", schema), f"{root}/out", f"{root}/checkpoint", state_ms=1)
+    assert sorted(r.capture_id for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b"]
+
+
+def test_stream_library_replay_and_growth(spark):
+    root = scratch_path(spark, "replayed")
+    rows = [{"capture_id": str(i), "kind": "chapter", "book_slug": f"b{i}", "chapter_slug": "c", "body": chapter("c")} for i in range(20)]
+    add = S._add_batch(BASE, f"{root}/out", "batch-x")
+    add(captures(spark, rows), 0)
+    before, whole = files_of(f"{root}/out"), sorted(map(repr, library.read_chapters(spark, f"{root}/out").collect()))
+    add(captures(spark, rows), 0)
+    assert sorted(map(repr, library.read_chapters(spark, f"{root}/out").collect())) == whole
+    kept = [f for f in files_of(f"{root}/out") if "version=batch-x-0" in f]
+    add(captures(spark, [{**rows[3], "capture_id": "99", "status": 404, "fetched_at": "2024-02-01 00:00:00"}]), 1)
+    # a batch of one chapter adds files of its own and touches no other
+    assert set(kept) <= set(files_of(f"{root}/out")) and len(before) <= len(files_of(f"{root}/out"))
+    after = {r.book_slug: r.error_code for r in library.read_chapters(spark, f"{root}/out").collect()}
+    assert len(after) == 20 and after["b3"] == "NOT_FOUND"
+    library.compact_library(spark, f"{root}/out", single_chapters=True)
+    assert {r.book_slug: r.error_code for r in library.read_chapters(spark, f"{root}/out").collect()} == after
+    assert len(library.published(spark, f"{root}/out")) == 1
+
+
 def test_large_strings_and_deep_values_are_good(spark):
     bodies = [("1", '{"a":"' + "x" * 30_000_000 + '"}'), ("2", "[" * 1500 + "]" * 1500), ("3", '{"a":1} x'), ("4", '{"a":')]
     rows = captures(spark, [{"capture_id": i, "kind": None, "body": b} for i, b in bodies])
@@ -345,7 +503,7 @@ def test_stream_library_over_batches(spark):
     for rows, counts in zip((first, second), want, strict=True):
         captures(spark, rows).coalesce(1).write.mode("append").parquet(f"{root}/in")
         S.stream_library(S.read_stream(spark, f"{root}/in", CAPTURE_SCHEMA), f"{root}/out", f"{root}/checkpoint", BASE)
-        got = {r.book_slug: (r.succeeded, r.failed) for r in spark.read.parquet(f"{root}/out/summary").collect()}
+        got = {r.book_slug: (r.succeeded, r.failed) for r in O.download_summary(library.read_chapters(spark, f"{root}/out")).collect()}
         assert got == counts
 
 

@@ -42,7 +42,7 @@ def stream_captures(
 ) -> StreamingQuery:
     """Normalize arriving chapter captures; failures become rows.  ``every`` (as "1 minute") keeps it running."""
     rows = fetched_chapters(captures, base, allow_unavailable)
-    return _run(rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint), every)
+    return _run(_to_files(rows, out, checkpoint), every)
 
 
 # ------------------------------------------------------------------- dedupe
@@ -149,8 +149,19 @@ def stream_dedupe(
     state_ms: int | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    rows = dedupe_stream(captures, ttl_ms, state_ms)
-    return _run(rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint), every)
+    spark, rows = captures.sparkSession, dedupe_stream(captures, ttl_ms, state_ms)
+    # state that expires by the clock asks for batches without data for ever; a run over what has arrived has an end
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false" if every is None else before)
+    try:
+        return _run(_to_files(rows, out, checkpoint), every)
+    finally:
+        spark.conf.set(name, before)
+
+
+def _to_files(rows: DataFrame, out: str, checkpoint: str):
+    return rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
 
 
 # ------------------------------------------------------------------ library

@@ -102,6 +102,63 @@ def current_build_captures(captures: DataFrame) -> DataFrame:
     return flagged.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").drop("_rank")
 
 
+# ------------------------------------------------------------------- builds
+
+DAY = 86_400
+
+
+def build_history(captures: DataFrame, site: str = "site") -> DataFrame:
+    """When each build of a site was current: ``site, build_id, since, until``, the newest without an end.
+
+    A build begins with the first capture that names it.  The order is taken over
+    the builds, one row each, and not over the captures.
+    """
+    seen = captures.filter(F.col("build_id").isNotNull())
+    firsts = seen.groupBy(site, "build_id").agg(F.min(F.struct("fetched_at", "capture_id")).alias("first"))
+    following = F.lead("first.fetched_at").over(Window.partitionBy(site).orderBy("first"))
+    return firsts.withColumn("until", following).select(site, "build_id", F.col("first.fetched_at").alias("since"), "until")
+
+
+def build_outcomes(captures: DataFrame, site: str = "site") -> DataFrame:
+    """Add to each capture ``current_build``, that of its site at its time, and ``next_build``, the one after its own.
+
+    ``retry_build`` is where a 404 is to be asked for again: the build that
+    followed its own, if there was one.  History and captures are joined on the
+    site and the day, so a site with most captures is spread over its days; of a
+    day's builds the one whose span holds the moment is taken.
+    """
+    history = build_history(captures, site)
+    day = lambda at: F.floor(F.unix_seconds(at) / DAY)
+    newest = captures.agg(F.max("fetched_at").alias("m")).scalar()
+    days = F.sequence(day("since"), day(F.coalesce("until", F.greatest("since", newest))))
+    spans = history.select(F.col(site).alias("_site"), F.col("build_id").alias("current_build"), "since", "until", F.explode(days).alias("_day"))
+    within = (F.col("fetched_at") >= F.col("since")) & (F.col("until").isNull() | (F.col("fetched_at") < F.col("until")))
+    at = captures.withColumn("_at_day", day("fetched_at"))
+    dated = at.join(spans, (F.col(site) == F.col("_site")) & (F.col("_at_day") == F.col("_day")) & within, "left")
+    dated = dated.drop("_site", "_day", "_at_day", "since", "until")
+    follows = F.lead("build_id").over(Window.partitionBy(site).orderBy("since", "build_id"))
+    after = history.withColumn("next_build", follows).select(site, "build_id", "next_build")
+    told = dated.join(after, [site, "build_id"], "left")
+    return told.withColumn("retry_build", F.when(F.col("status") == 404, F.col("next_build")))
+
+
+def captures_by_build(captures: DataFrame, site: str = "site") -> DataFrame:
+    """One capture for each site and route, with ``retry_build`` where it is still to be asked for again.
+
+    The newest good capture under the latest build that has the route wins; a
+    404 gives way to a capture of the route under the build that followed, and
+    stays, with that build as ``retry_build``, where no such capture was landed.
+    Only ranks are kept, so a hot route sends a row from each partition.
+    """
+    told = build_outcomes(captures, site)
+    since = build_history(captures, site).select(site, "build_id", F.col("since").alias("_since"))
+    best = Window.partitionBy(site, "route").orderBy(
+        F.desc(F.col("status") != 404), F.desc_nulls_last("_since"), F.desc(F.col("status") == 200), F.desc("fetched_at"), F.desc("capture_id")
+    )
+    ranked = told.join(since, [site, "build_id"], "left").withColumn("_rank", F.row_number().over(best))
+    return ranked.filter("_rank = 1").drop("_rank", "_since")
+
+
 # ---------------------------------------------------------------- page data
 
 

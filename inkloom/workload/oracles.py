@@ -224,6 +224,21 @@ SELECT url AS route, event_id, build_id, status FROM log, newest
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY build_id = current DESC, status = 200 DESC, ts DESC, capture_id DESC) = 1
 """
 
+_SITES = f"""
+  SELECT 'site' || (user_id % 2) AS site, '/r/' || (user_id % 97) AS route, event_id, lpad(CAST(event_id AS VARCHAR), 12, '0') AS capture_id, l.status, e.ts AS moment,
+         'b' || (epoch_us(e.ts) // 864000000000 - CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END) AS build_id
+  FROM events e JOIN ({LOG}) l USING (event_id)
+"""
+ORACLES["captures_by_build"] = f"""
+WITH log AS ({_SITES}),
+firsts AS (SELECT site, build_id, min({{'moment': moment, 'id': capture_id}}) AS first FROM log GROUP BY ALL),
+builds AS (SELECT site, build_id, first.moment AS since, lead(first.moment) OVER o AS until, lead(build_id) OVER o AS next_build FROM firsts WINDOW o AS (PARTITION BY site ORDER BY first))
+SELECT l.site, route, event_id, l.build_id, c.build_id AS current_build, CASE WHEN status = 404 THEN own.next_build END AS retry_build, status
+FROM log l LEFT JOIN builds c ON c.site = l.site AND l.moment >= c.since AND (c.until IS NULL OR l.moment < c.until)
+JOIN builds own ON own.site = l.site AND own.build_id = l.build_id
+QUALIFY row_number() OVER (PARTITION BY l.site, route ORDER BY status <> 404 DESC, own.since DESC, status = 200 DESC, moment DESC, capture_id DESC) = 1
+"""
+
 ORACLES["fetch_plan"] = f"""
 SELECT DISTINCT 'book' AS kind, 'order-' || key AS book_slug, {NULL_S} AS chapter_slug, '/_next/data/build%201/order-' || key || '.json' AS request
 FROM (SELECT o_orderkey AS key FROM orders)
@@ -266,6 +281,16 @@ SELECT page, n AS n_items FROM (SELECT {PART_PAGE} AS page, count(*) AS n FROM p
 WHERE page >= 2 AND page <= greatest(3, (SELECT max(p_partkey) // 20 - 1 FROM part))
 """
 
+ORACLES["traverse_catalogs"] = """
+WITH pages AS (
+  SELECT p_brand, p_size, p_partkey % 4 + 1 AS page, count(*) FILTER (p_partkey % 11 > 0) AS n_items, max(CASE WHEN p_partkey % 13 = 0 THEN 2 END) AS page_count
+  FROM part GROUP BY ALL
+),
+runs AS (SELECT *, row_number() OVER c AS place, min(CASE WHEN n_items = 0 OR page >= page_count THEN page END) OVER (PARTITION BY p_brand, p_size) AS stop
+         FROM pages WINDOW c AS (PARTITION BY p_brand, p_size ORDER BY page))
+SELECT p_brand, p_size, page, n_items FROM runs WHERE page = place AND (stop IS NULL OR page <= stop)
+"""
+
 ORACLES["book_summaries"] = f"""
 SELECT {PART_PAGE} AS page, p_partkey % 20 AS pos, {PART_ID} AS id, p_size % 2 = 0 AS id_is_num, {PART_SLUG} AS slug,
        CASE WHEN p_partkey % 3 = 1 THEN '{BASE}/part-' || p_partkey || '/about?x=1' ELSE '{BASE}/' || ({PART_SLUG}) END AS url,

@@ -473,7 +473,7 @@ def talk_captures(conversations: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ events
 
 
-def event_captures(events: DataFrame) -> DataFrame:
+def event_captures(events: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     """The event table as a fetch log, with the attempt number of each fetch."""
     kind, value = F.col("event_type"), F.col("value")
     ts = F.col("ts").cast("timestamp")
@@ -489,7 +489,7 @@ def event_captures(events: DataFrame) -> DataFrame:
     wait = F.when(F.col("event_id") % 3 == 0, date).when(F.col("event_id") % 3 == 1, value.cast("string"))
     return _capture(
         events,
-        keep=("event_id",),
+        keep=("event_id", *more),
         capture_id=F.lpad(F.col("event_id").cast("string"), 12, "0"),
         url=_text("/u/", F.col("user_id")),
         kind=log_kind,
@@ -502,5 +502,13 @@ def event_captures(events: DataFrame) -> DataFrame:
     )
 
 
+def site_captures(events: DataFrame) -> DataFrame:
+    """The fetch log of two sites; a site's build changes every ten days, and every fifth fetch still names the one before."""
+    user, day = F.col("user_id"), F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / (10 * 86_400))
+    build = day - F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
+    log = event_captures(events.withColumns({"_site": _text("site", user % 2), "_build": _text("b", build)}), more=("_site", "_build", "user_id"))
+    return log.withColumns({"site": F.col("_site"), "build_id": F.col("_build"), "route": _text("/r/", F.col("user_id") % 97)}).drop("_site", "_build", "user_id")
+
+
 def fetch_attempts(events: DataFrame) -> DataFrame:
     return event_captures(events).withColumn("attempt", (F.col("event_id") % 6).cast("int"))

@@ -120,6 +120,13 @@ def current_build_captures(spark, d):
     return rows.select("route", "event_id", "build_id", "status")
 
 
+@query
+def captures_by_build(spark, d):
+    """The fetch log of two sites, whose builds change with the weeks."""
+    rows = FE.captures_by_build(P.site_captures(table(spark, d, "events")))
+    return rows.select("site", "route", "event_id", "build_id", "current_build", "retry_build", "status")
+
+
 @query
 def fetch_plan(spark, d):
     books = table(spark, d, "orders").select(F.concat(F.lit("order-"), "o_orderkey").alias("book_slug"))
@@ -168,6 +175,17 @@ def catalog_traverse(spark, d):
     return C.catalog_traverse(pages, start_page=2).select("page", "n_items")
 
 
+@query
+def traverse_catalogs(spark, d):
+    """Every brand and size is a catalog of its own, with gaps and page counts."""
+    parts = table(spark, d, "part")
+    key = F.col("p_partkey")
+    pages = parts.groupBy("p_brand", "p_size", (key % 4 + 1).alias("page")).agg(
+        F.count_if(key % 11 > 0).alias("n_items"), F.max(F.when(key % 13 == 0, 2)).cast("bigint").alias("page_count")
+    )
+    return C.catalog_traverse(pages, by=("p_brand", "p_size")).select("p_brand", "p_size", "page", "n_items")
+
+
 @query
 def book_summaries(spark, d):
     rows = C.book_summaries(C.catalog_items(_catalog(spark, d)), BASE)

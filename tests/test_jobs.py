@@ -2,11 +2,15 @@
 
 import json
 import os
+import random
+import re
+import time
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from inkloom.functions.html import drop_unsafe_html
 from inkloom.operators import books as B
 from inkloom.operators import catalog as C
 from inkloom.operators import chapters as CH
@@ -269,6 +273,62 @@ def test_positions_run_no_job_while_planning(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_traverse_thousands_of_catalogs(spark):
+    """Catalog c has pages 1 to c % 7 + 1 without page c % 5, one of null name among them; some say how many they have."""
+    rows = []
+    for c in range(3000):
+        name = None if c == 0 else f"c{c}"
+        rows += [(name, c % 3, p, 1 if p != 6 else 0, 3 if c % 11 == 0 else None) for p in range(1, c % 7 + 2) if p != c % 5]
+    df = spark.createDataFrame(rows, "catalog string, ordering long, page long, n_items long, page_count long").repartition(8)
+    got = {(r.catalog, r.page) for r in C.catalog_traverse(df, by=("catalog", "ordering")).collect()}
+    want = set()
+    for c in range(3000):
+        for p in range(1, c % 7 + 2):
+            if p == c % 5:
+                break
+            want.add((None if c == 0 else f"c{c}", p))
+            if p == 6 or c % 11 == 0 and p >= 3:
+                break
+    assert got == want
+
+
+def test_captures_by_build(spark):
+    rows = [  # site, route, build, status, minute
+        ("a", "/1", "b1", 200, 0), ("a", "/1", "b1", 404, 30), ("a", "/1", "b2", 200, 31),  # the old build is gone, the new one answers
+        ("a", "/2", "b1", 404, 32),  # never asked for under b2
+        ("a", "/3", "b2", 404, 40), ("a", "/4", "b3", 404, 60),  # the latest build has no such route
+        ("b", "/1", "b9", 200, 5), ("b", "/2", "b1", 404, 6), ("b", "/2", "b9", 404, 7),
+    ]
+    df = spark.createDataFrame([(str(i), *r) for i, r in enumerate(rows)], "capture_id string, site string, route string, build_id string, status int, m int")
+    df = df.withColumn("fetched_at", F.timestamp_seconds(F.lit(1_700_000_000) + 60 * F.col("m")))
+    got = {(r.site, r.route): (r.capture_id, r.current_build, r.retry_build) for r in FE.captures_by_build(df).collect()}
+    assert got == {
+        ("a", "/1"): ("2", "b2", None), ("a", "/2"): ("3", "b2", "b2"), ("a", "/3"): ("4", "b2", "b3"), ("a", "/4"): ("5", "b3", None),
+        ("b", "/1"): ("6", "b9", None), ("b", "/2"): ("7", "b1", None),
+    }
+
+
+def test_unsafe_html_in_linear_time(spark):
+    for opening in ("<svg>x ", "<svg x ", "<!-- x ", "<!DOCTYPE x ", "<p x ", "<svg><style></svg> "):
+        begun = time.perf_counter()
+        html = F.repeat(F.lit(opening), 10_000_000 // len(opening))
+        row = spark.range(1).select(F.length(drop_unsafe_html(html)).alias("n")).first()
+        kept = 1 if "</svg>" in opening else len(opening)  # of the closed ones a blank is left
+        assert row.n == kept * (10_000_000 // len(opening)) and time.perf_counter() - begun < 60
+
+
+def test_unsafe_html_as_by_the_plain_pattern(spark):
+    """One pattern that tries every opening tag, against the guarded ones, on texts made of their parts."""
+    dice = random.Random(5)
+    parts = ["<svg>", "<svg ", "</svg>", "</SVG  >", "<script a>", "</script>", "</script", "<style>", "</style\n>", "<p>", "x", " ", ">", "<", "<!--", "-->", "<!DOCTYPE", "<form>", "</form>", "<scripty>", "\ue000", "é"]
+    rows = [("".join(dice.choice(parts) for _ in range(dice.randrange(30))),) for _ in range(3000)]
+    blocks = r"(?is)<(script|style|iframe|object|embed|noscript|form|svg|canvas|video|audio)(?![A-Za-z0-9_])[^>]*>.*?</\1\s*>"
+    wanted = [re.sub(r"(?is)<!DOCTYPE.*?>", "", re.sub(r"(?s)<!--.*?-->", "", re.sub(blocks, "", h))) for (h,) in rows]
+    df = spark.createDataFrame([(i, h) for i, (h,) in enumerate(rows)], "i int, h string").repartition(4)
+    got = [r.h for r in df.select("i", drop_unsafe_html(F.col("h")).alias("h")).orderBy("i").collect()]
+    assert got == wanted
+
+
 def test_url_keys(spark):
     base = "https://novels.example"
     rows = [

@@ -18,9 +18,9 @@ CAPACITY = 4096
 END_ID = 1
 OPEN_BINS = 1024  # bins a packer keeps open
 PIECES_PER_PACKER = 250_000  # rows of one packer; more rows get more packers
-KNOWN_BYTES = 96_000_000  # about what the tokenized chunks that a worker remembers may take
+KNOWN_BYTES = 256_000_000  # about what the tokenized chunks that a worker remembers may take
 LONGEST_KNOWN = 64  # characters; longer chunks are not remembered
-ENTRY_BYTES = 250  # of a remembered chunk besides its characters and ids
+ENTRY_BYTES = 220  # of a remembered chunk besides its characters and ids
 _TAIL = ".,!?;:*%&$#"  # signs that always are tokens apart from a word before them
 _KNOWN: dict[str, "_Memory"] = {}  # per tokenizer, for the tasks of one Python worker
 

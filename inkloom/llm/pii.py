@@ -16,7 +16,14 @@ _TITLES = {
     "f": "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|госпожа|г-жа",
     "n": "Dr|Prof",
 }
-_NAME = r"\p{Lu}[\p{Ll}'’-]*+(?:\p{Lu}[\p{Ll}'’-]*+)?"
+# A title is written as above, with a capital, or all in capitals.
+TITLES = {
+    gender: list(dict.fromkeys(form for t in titles.split("|") for form in (t, t[0].upper() + t[1:], t.upper())))
+    for gender, titles in _TITLES.items()
+}
+_LOUD_NAME = r"\p{Lu}{2,}+(?:['’-]\p{Lu}++)*+(?!\p{Ll})"
+_NAME = rf"(?:{_LOUD_NAME}|\p{{Lu}}[\p{{Ll}}'’-]*+(?:\p{{Lu}}[\p{{Ll}}'’-]*+)?)"
+_HEX = "[0-9A-Fa-f]{1,4}"
 # Cards of the common forms: 16 digits in fours (a group of three more may belong to it), 15 as 4-6-5.
 _CARD = "(?<![\\w-])(?:{})(?![\\w-])".format(
     "|".join(
@@ -26,19 +33,30 @@ _CARD = "(?<![\\w-])(?:{})(?![\\w-])".format(
 )
 # In the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"(?<![\w.%+-])[A-Za-z0-9_%+-]++(?:\.[A-Za-z0-9_%+-]++)*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}+",
-    "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
+    "email": r"(?<![\p{L}\p{N}_.%+-])[\p{L}\p{N}_%+-]++(?:\.[\p{L}\p{N}_%+-]++)*+@(?:[\p{L}\p{N}-]++\.)+\p{L}{2,}+",
+    "access_key": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsur]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{20,}+|AIza[A-Za-z0-9_-]{35}"
+    r"|eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+)(?![A-Za-z0-9])",
     "secret": r"(?i:(?<![a-z0-9])(?:password|passwd|secret|token|api[_-]?key))\s?[=:]\s?[\"']?[A-Za-z0-9+/_-]{12,}+[\"']?",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|\d{1,2})\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|\d{1,2})(?![\w]|\.\d)",
-    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "ip6": rf"(?<![\w:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}})(?![\w:]|\.\d)",
+    "ssn": r"(?<![\w-])(?:\d{3}-\d{2}-\d{4}|(?!000|666|9)\d{3} \d{2} \d{4})(?![\w-])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
     "card": _CARD,
     "phone": r"(?<![\w+(])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?![\w-])"
-    r"|(?<![\w+(])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])|(?<![\w.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-])",
-    "person": rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(_TITLES.values())})\.?\s(?:{_NAME})(?:\s{_NAME}){{0,2}}(?![\p{{L}}])",
+    r"|(?<![\w+(])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])|(?<![\w.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-])"
+    r"|(?<![\w.-])[2-9]\d\d [2-9]\d\d \d{4}(?! ?\d|[\w-])|(?<=(?i:phone|call|mobile|tel|fax)[:.]? ?)[2-9]\d\d[2-9]\d{6}(?![\w-])",
+    # after a title all in capitals so is the name
+    "person": r"(?<![\p{L}\p{N}])(?:"
+    + "|".join(
+        rf"(?:{'|'.join(t for forms in TITLES.values() for t in forms if t.isupper() == loud)})\.?\s{name}(?:\s{name}){{0,2}}"
+        for loud, name in ((False, _NAME), (True, _LOUD_NAME))
+    )
+    + r")(?!\p{L})",
 }
 # Other rows of 13 digits and more, up to where another pattern begins.
 _DIGITS = r"\d++(?:-\d++)*+(?![\w-])"
 _OTHERS = "|".join(f"(?:{PATTERNS[kind]})" for kind in ("email", "ip", "ssn", "card", "phone"))
+_KEY_BEGINS = "AKIA ASIA gho_ ghp_ ghs_ ghu_ ghr_ xox AIza eyJ".split()
 PATTERNS["row"] = rf"(?<![\w-])(?=\d(?:[ -]?\d){{12}}){_DIGITS}(?: (?!{_OTHERS}){_DIGITS})*+"
 PII = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Names that surrogates are made of, by gender and script.
@@ -62,8 +80,10 @@ def _may_hold(text: Column) -> Column:
 
     Far cheaper than the patterns; plain substrings are looked for without a regular expression.
     """
-    titles = [t for forms in _TITLES.values() for t in forms.split("|")]
-    return reduce(lambda found, part: found | text.contains(part), ["@", "=", ":", "AKIA", "ASIA", *titles], text.rlike("[0-9]"))
+    titles = [t for forms in TITLES.values() for t in forms]
+    # what a title holds another one does too
+    parts = [t for t in ("@", "=", ":", *_KEY_BEGINS, *titles) if not any(o != t and o in t for o in titles)]
+    return reduce(lambda found, part: found | text.contains(part), parts, text.rlike("[0-9]"))
 
 
 def _draw(key: str, n: Column | int, *seed: Column) -> Column:
@@ -113,11 +133,11 @@ def _surrogate(key: str) -> Column:
     """Candidate of columns ``kind``, ``norm``, ``gender`` and ``attempt``: keyed, in the format of the kind."""
     kind, attempt = col("kind"), col("attempt")
     seed = (kind, col("norm"), attempt)
-    ending = F.when(kind == "email", F.regexp_extract("norm", r"(\.[a-z]+)$", 1)).otherwise("")  # stays
+    ending = F.when(kind == "email", F.regexp_extract("norm", r"(\.\p{L}+)$", 1)).otherwise("")  # stays
     norm = F.left("norm", F.length("norm") - F.length(ending))
     extra = F.greatest(attempt - (WIDEN - 1), lit(0))
     places = F.sequence(lit(1), F.length(norm))
-    alphabet = F.when((kind == "secret") & norm.rlike("^[0-9a-f]+$"), 6).otherwise(26)  # hexadecimal stays so
+    alphabet = F.when((kind == "secret") & norm.rlike("^[0-9a-f]+$") | (kind == "ip6"), 6).otherwise(26)  # hexadecimal stays so
     letters = F.array_join(F.transform(places, lambda i: _letter(key, F.substr(norm, i, lit(1)), alphabet, *seed, i)), "")
     tail = F.transform(F.sequence(lit(0), extra), lambda i: F.when(i > 0, _draw(key, 10, *seed, -i).cast("string")).otherwise(""))
     plain = F.concat(letters, F.array_join(tail, ""))
@@ -156,7 +176,7 @@ def _parts(found: Column) -> Column:
     none = lit("")
     digits = F.regexp_replace(found, r"\D", "")
     is_a = {kind: found.rlike(f"^(?:{pattern})$") for kind, pattern in PATTERNS.items()}
-    ending = F.regexp_extract(found, r"(\.[A-Za-z]+)$", 1)
+    ending = F.regexp_extract(found, r"(\.\p{L}+)$", 1)
     address = F.left(found, F.length(found) - F.length(ending))
     secret = F.regexp_extract(found, r"([A-Za-z0-9+/_-]{12,})[\"']?$", 1)
     secret_lead = F.regexp_extract(found, r"^(.*?[=:]\s?[\"']?)[A-Za-z0-9+/_-]{12,}[\"']?$", 1)
@@ -165,10 +185,10 @@ def _parts(found: Column) -> Column:
     number = F.substr(found, F.length(country) + 1)
     title = F.regexp_extract(found, r"^(\S+\s)", 1)
     names = F.regexp_extract_all(F.substr(found, F.length(title) + 1), lit(r"\S+\s?"), 0)
-    gender = reduce(lambda rest, kv: F.when(title.rlike(rf"^(?:{kv[1]})\.?\s"), kv[0]).otherwise(rest), _TITLES.items(), lit("n"))
+    gender = reduce(lambda rest, kv: F.when(title.rlike(rf"^(?:{'|'.join(kv[1])})\.?\s"), kv[0]).otherwise(rest), TITLES.items(), lit("n"))
 
     def name_part(token: Column, i: Column) -> Column:
-        word = F.trim(token)
+        word = F.regexp_replace(F.trim(token), "['’][sS]$", "")  # a possessive ending stays
         kind = F.when(i == F.size(names) - 1, "family").otherwise(F.concat(lit("given_"), gender))
         return part(kind, F.when(i == 0, title).otherwise(none), word, F.substr(token, F.length(word) + 1), F.lower(word))
 
@@ -185,10 +205,13 @@ def _parts(found: Column) -> Column:
         .when(is_a["access_key"], F.array(part("access_key", F.left(found, lit(4)), F.substr(found, lit(5)), none, F.substr(found, lit(5)))))
         .when(is_a["secret"], F.array(part("secret", secret_lead, secret, secret_tail, secret)))
         .when(is_a["ip"], F.array(part("ip", none, found, none, found)))
+        .when(is_a["ip6"], F.array(part("ip6", none, found, none, F.lower(found))))
         .when(is_a["ssn"], F.array(part("ssn", none, found, none, digits)))
+        .when(is_a["iban"], F.array(part("iban", F.left(found, lit(2)), F.substr(found, lit(3)), none, F.lower(F.replace(F.substr(found, lit(3)), lit(" "), none)))))
         .when(is_a["card"], F.array(card))
         .when(is_a["person"], F.transform(names, name_part))
-        .when(is_a["phone"], F.array(part("phone", country, number, none, F.regexp_replace(number, r"\D", ""))))
+        # the label before ten bare digits is not part of the match
+        .when(is_a["phone"] | found.rlike(r"^\d{10}$"), F.array(part("phone", country, number, none, F.regexp_replace(number, r"\D", ""))))
         .otherwise(_cards_in_row(found, part))
     )
 
@@ -249,7 +272,8 @@ def _render(body: Column, kind: Column, surrogate: Column) -> Column:
     same = F.length(slots) == F.length(F.regexp_replace(body, r"[^\p{L}\p{N}]", ""))
     filled = F.aggregate(places, F.struct(lit("").alias("text"), lit(0).alias("used")), put)["text"]
     is_name = kind.isin("family", "given_m", "given_f", "given_n")
-    return F.when(is_name, F.initcap(surrogate)).when(same & (kind != "ip"), filled).otherwise(surrogate)
+    named = F.when(body.rlike(r"^\P{Ll}{2,}$"), F.upper(surrogate)).otherwise(F.initcap(surrogate))
+    return F.when(is_name, named).when(same & (kind != "ip"), filled).otherwise(surrogate)
 
 
 def _identity(kind: Column) -> Column:

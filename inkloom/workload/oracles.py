@@ -314,12 +314,24 @@ def norm_sql(x: str) -> str:
     return f"trim(regexp_replace(lower({x}), '\\s+', ' ', 'g'))"
 
 
-ORACLES["search_books"] = f"""
-SELECT key, title FROM (
+_SEARCHED = f"""
   SELECT 'p' || page_id AS key, regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is') AS title, {text_sql(safe_sql("html"))} AS text FROM pages
   UNION ALL
   SELECT 'd' || doc_id, source, {text_sql("text")} FROM documents
-) WHERE contains({norm_sql("title")}, {norm_sql(q(SEARCH))}) OR contains({norm_sql("text")}, {norm_sql(q(SEARCH))})
+"""
+ORACLES["search_books"] = f"""
+SELECT key, title FROM ({_SEARCHED}) WHERE contains({norm_sql("title")}, {norm_sql(q(SEARCH))}) OR contains({norm_sql("text")}, {norm_sql(q(SEARCH))})
+"""
+
+ORACLES["search_many_needles"] = f"""
+WITH searched AS (SELECT key, {norm_sql("title")} AS title, {norm_sql("text")} AS text FROM ({_SEARCHED})),
+needles AS (
+  SELECT DISTINCT needle, {norm_sql("needle")} AS wanted FROM (
+    SELECT substr(text, doc_id % 50 + 1, CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 9 END) AS needle FROM documents WHERE doc_id % 20 = 0
+    UNION ALL SELECT unnest(string_split(p_name, ' ')) FROM part
+  )
+)
+SELECT needle, key FROM needles JOIN searched ON wanted <> '' AND (contains(title, wanted) OR contains(text, wanted))
 """
 
 ORACLES["search_catalog_captures"] = f"""

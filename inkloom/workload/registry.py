@@ -16,6 +16,7 @@ from inkloom.operators import chapters as CH
 from inkloom.operators import fetches as FE
 from inkloom.operators import links as L
 from inkloom.operators import ordering as O
+from inkloom.operators import search_index as IX
 from inkloom.plans.books import download_books as download
 from inkloom.plans.chapters import assembled_books, fetched_chapters
 from inkloom.plans.search import search_catalog, searchable_pages
@@ -196,8 +197,7 @@ def book_summaries(spark, d):
     )
 
 
-@query
-def search_books(spark, d):
+def _searched(spark, d):
     pages = searchable_pages(table(spark, d, "pages")).select(
         F.concat(F.lit("p"), "page_id").alias("key"), "title", "title_en", "description_html"
     )
@@ -206,7 +206,24 @@ def search_books(spark, d):
         F.concat(F.lit("d"), "doc_id").alias("key"), F.col("source").alias("title"), none.alias("title_en"),
         F.col("text").alias("description_html"),
     )
-    return C.search_books(pages.unionByName(docs), SEARCH).select("key", "title")
+    return pages.unionByName(docs)
+
+
+@query
+def search_books(spark, d):
+    return C.search_books(_searched(spark, d), SEARCH).select("key", "title")
+
+
+@query
+def search_many_needles(spark, d):
+    """Pages and documents that hold each needle: a piece of every twentieth document, and words of the parts' names."""
+    path = scratch_path(spark, "search-index")
+    index = IX.write_search_index(_searched(spark, d), path)
+    at = F.col("doc_id")
+    docs = table(spark, d, "documents").where("doc_id % 20 = 0")
+    pieces = docs.select(F.substr("text", (at % 50 + 1).cast("int"), F.when(at % 3 == 0, 2).otherwise(9)).alias("needle"))
+    words = table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("needle"))
+    return IX.search_many(index, pieces.unionByName(words))
 
 
 @query

@@ -17,6 +17,7 @@ from inkloom.operators import chapters as CH
 from inkloom.operators import fetches as FE
 from inkloom.operators import links as L
 from inkloom.operators import ordering as O
+from inkloom.operators.search_index import search_many, write_search_index
 from inkloom.plans.books import download_books
 from inkloom.plans.chapters import assembled_books, fetched_chapters
 from inkloom.plans.search import search_catalog
@@ -273,6 +274,26 @@ def test_positions_run_no_job_while_planning(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_search_index_equals_the_scan(spark):
+    dice = random.Random(11)
+    texts = ["".join(dice.choice("abcd  Éя") for _ in range(dice.randrange(40))) for _ in range(200)] + ["", None, "ab" * 50]
+    rows = [(f"k{i}", t, texts[-i - 1], None if t is None else f"<p>{t}</p>x") for i, t in enumerate(texts)]
+    books = spark.createDataFrame(rows, "key string, title string, title_en string, description_html string").repartition(4)
+    needles = ["".join(dice.choice("abcd éЯ") for _ in range(dice.randrange(7))) for _ in range(60)] + ["", "  ", None, "A  B", "zzz", "ab" * 20, "b", "bx"]
+    index = write_search_index(books, scratch_path(spark, "index"))
+    got = search_many(index, spark.createDataFrame([(n,) for n in needles], "needle string"))
+    want = set()
+    for n in set(needles) - {None}:
+        want |= {(n, r.key) for r in C.search_books(books, n).collect()} if n.strip() in ("b", "bx", "A  B", "zzz") else set()
+    form = lambda t: re.sub(r"\s+", " ", (t or "").lower()).strip(" ")
+    plain = {
+        (n, k) for n in set(needles) - {None} if form(n)
+        for k, title, en, html in rows if any(form(n) in form(f) for f in (title, en, re.sub("<[^>]+>", "\n", html or "").strip()))
+    }
+    rows_ = [tuple(r) for r in got.collect()]
+    assert len(rows_) == len(set(rows_)) and set(rows_) == plain and want <= plain
+
+
 def test_traverse_thousands_of_catalogs(spark):
     """Catalog c has pages 1 to c % 7 + 1 without page c % 5, one of null name among them; some say how many they have."""
     rows = []

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkloom.functions.payload import as_text, at, is_object, with_document, within
 from inkloom.functions.text import decode_component, encode_component, let, non_blank, parse_number, trim
-from inkloom.functions.urls import segments
+from inkloom.functions.urls import absolute_url, segments
 
 # Retry rules and freshness limits.
 RETRYABLE_STATUSES = (408, 425, 429)
@@ -172,7 +172,7 @@ def _script_text(raw: Column) -> Column:
 
 
 def page_embedded_data(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Add ``data`` (the JSON object a page embeds) and ``build_id``.
+    """Add ``data`` (the JSON object a page embeds), ``build_id``, and ``error_code`` of pages without a build.
 
     The build falls back to the path of the page's build manifest script.
     """
@@ -187,7 +187,9 @@ def page_embedded_data(pages: DataFrame, html: str = "html") -> DataFrame:
         non_blank(as_text(at(F.col("data"), "buildId"))),
         F.when(F.col("_manifest") != "", decode_component(F.col("_manifest"))),
     )
-    return parsed.withColumn("data", F.when(is_object(whole), whole)).withColumn("build_id", build).drop("_script", "_manifest", "_doc")
+    built = parsed.withColumn("data", F.when(is_object(whole), whole)).withColumn("build_id", build)
+    code = F.when(F.col("build_id").isNull(), F.lit("BUILD_ID_NOT_FOUND"))
+    return built.withColumn("error_code", code).drop("_script", "_manifest", "_doc")
 
 
 # ----------------------------------------------------------------- requests
@@ -230,8 +232,19 @@ def entry(name: str, *values: Column) -> Column:
     return F.struct(F.lit(name).alias("name"), F.array(*[v.cast("string") for v in values]).alias("values"))
 
 
-def catalog_requests(pages: DataFrame, page_size: int = 100, order: str | None = None, params: Column | None = None) -> DataFrame:
-    """Catalog request of each page number in ``page``."""
+def catalog_requests(
+    pages: DataFrame,
+    page_size: int = 100,
+    order: str | None = None,
+    params: Column | None = None,
+    build_id: Column | None = None,
+    route: str = "/books",
+) -> DataFrame:
+    """Catalog request of each page number in ``page``.
+
+    Without ``build_id`` these go to the list service; with it to the data file
+    of the site's own page at ``route``, with the same query.
+    """
     none = F.array().cast("array<struct<name: string, values: array<string>>>")
     base = none if params is None else params
     own_expand = F.filter(base, lambda b: b["name"] == "expand")
@@ -245,17 +258,30 @@ def catalog_requests(pages: DataFrame, page_size: int = 100, order: str | None =
         F.struct(F.lit("expand").alias("name"), expand.alias("values")),
     )
     query = query_text(base, additions)
+    place = F.lit("/v3/books") if build_id is None else F.concat(_data_folder(build_id), route_file(F.lit(route)))
     return pages.select(
-        F.lit("catalog").alias("kind"),
+        F.lit("catalog" if build_id is None else "catalog_data").alias("kind"),
         F.lit(None).cast("string").alias("book_slug"),
         F.lit(None).cast("string").alias("chapter_slug"),
-        F.concat(F.lit("/v3/books?"), query).alias("request"),
+        F.concat(place, F.lit("?"), query).alias("request"),
     ).distinct()
 
 
+def page_html_requests(chapters: DataFrame, base: str) -> DataFrame:
+    """Request of the page of each chapter, asked for beside its data where the page itself is wanted."""
+    path = F.concat_ws("/", F.lit(""), "book_slug", "chapter_slug")
+    request = F.replace(absolute_url(path, base), F.lit(base.rstrip("/")), F.lit(""))
+    wanted = chapters.select("book_slug", "chapter_slug").distinct()
+    return wanted.select(F.lit("page_html").alias("kind"), "book_slug", "chapter_slug", request.alias("request"))
+
+
+def _data_folder(build_id: Column) -> Column:
+    return F.concat(F.lit("/_next/data/"), encode_component(build_id), F.lit("/"))
+
+
 def fetch_plan(books: DataFrame, chapters: DataFrame, build_id: Column) -> DataFrame:
     """Distinct data requests: one per book and one per chapter."""
-    prefix = F.concat(F.lit("/_next/data/"), encode_component(build_id), F.lit("/"))
+    prefix = _data_folder(build_id)
     none = F.lit(None).cast("string")
     wanted = (
         books.select("book_slug", none.alias("chapter_slug"))

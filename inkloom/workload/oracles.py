@@ -210,12 +210,12 @@ WHERE epoch_us(ts) // 1000 + ms <= (SELECT epoch_us(max(ts)) FROM events) / 1000
 """
 
 ORACLES["page_embedded_data"] = f"""
-SELECT page_id,
+SELECT *, CASE WHEN build_id IS NULL THEN 'BUILD_ID_NOT_FOUND' END AS error_code FROM (SELECT page_id,
        CASE page_id % 4 WHEN 0 THEN 'build-' || page_id WHEN 1 THEN 'q' || page_id WHEN 2 THEN 'static ' || page_id END AS build_id,
        CASE page_id % 4 WHEN 0 THEN '/a&b' END AS data_page,
        CASE page_id % 4 WHEN 0 THEN '<' END AS data_note,
        page_id % 4 < 2 AS has_data
-FROM pages
+FROM pages)
 """
 
 ORACLES["current_build_captures"] = f"""
@@ -248,6 +248,11 @@ SELECT DISTINCT 'chapter', {LINE_BOOK}, 'глава ' || l_linenumber || '!',
 UNION ALL
 SELECT DISTINCT 'catalog', {NULL_S}, {NULL_S},
        '/v3/books?genre=a+b&genre=c&page=' || ({PART_PAGE}) || '&pageSize=100&expand=lastChapter%2CverticalImage%2ChorizontalImage%2CsquareImage%2CuserRating' FROM part
+UNION ALL
+SELECT DISTINCT 'catalog_data', {NULL_S}, {NULL_S},
+       '/_next/data/build%201/books/all.json?page=' || ({PART_PAGE}) || '&pageSize=100&order=new&expand=lastChapter%2CverticalImage%2ChorizontalImage%2CsquareImage%2CuserRating' FROM part
+UNION ALL
+SELECT DISTINCT 'page_html', {LINE_BOOK}, 'глава ' || l_linenumber || '!', '/order-' || l_orderkey || '/%D0%B3%D0%BB%D0%B0%D0%B2%D0%B0%20' || l_linenumber || '!' FROM lineitem
 """
 
 ORACLES["catalog_items"] = f"""

@@ -109,6 +109,7 @@ def page_embedded_data(spark, d):
     return rows.select(
         "page_id",
         "build_id",
+        "error_code",
         as_text(at(F.col("data"), "page")).alias("data_page"),
         as_text(at(F.col("data"), "note")).alias("data_note"),
         F.col("data").isNotNull().alias("has_data"),
@@ -138,7 +139,9 @@ def fetch_plan(spark, d):
     pages = table(spark, d, "part").select((F.floor(F.col("p_partkey") / P.PAGE_SIZE) + 1).alias("page"))
     params = F.array(FE.entry("genre", F.lit("a b"), F.lit(None), F.lit("c")), FE.entry("page", F.lit(9)))
     plan = FE.fetch_plan(books, chapters, F.lit("build 1"))
-    return plan.unionByName(FE.catalog_requests(pages, params=params))
+    lists = FE.catalog_requests(pages, params=params)
+    data = FE.catalog_requests(pages, order="new", build_id=F.lit("build 1"), route="/books/all")
+    return plan.unionByName(lists).unionByName(data).unionByName(FE.page_html_requests(chapters, BASE))
 
 
 # ------------------------------------------------------------------ catalog

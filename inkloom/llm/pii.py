@@ -38,7 +38,7 @@ PATTERNS = {
     r"|eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+)(?![A-Za-z0-9])",
     "secret": r"(?i:(?<![a-z0-9])(?:password|passwd|secret|token|api[_-]?key))\s?[=:]\s?[\"']?[A-Za-z0-9+/_-]{12,}+[\"']?",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|\d{1,2})\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|\d{1,2})(?![\w]|\.\d)",
-    "ip6": rf"(?<![\w:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}})(?![\w:]|\.\d)",
+    "ip6": rf"(?<![\w:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[A-Fa-f:]*\d)(?=(?:{_HEX}::?){{2}})(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}})(?![\w:]|\.\d)",
     "ssn": r"(?<![\w-])(?:\d{3}-\d{2}-\d{4}|(?!000|666|9)\d{3} \d{2} \d{4})(?![\w-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
     "card": _CARD,

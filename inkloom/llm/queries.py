@@ -35,12 +35,14 @@ def _predictions(docs: DataFrame, score: Column, held_out: Column, threshold: fl
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all ``documents`` by a lexicon learned from four folds of five; null and empty texts have no match, repeated rows stay."""
     docs, held_out = _table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 5) == 0
     model = fit_toxicity(docs, _table(spark, sf_dir, "labels").where(~held_out))
     return _predictions(docs, toxicity_score(F.col("text"), spark, model), held_out, 0.5)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all ``pages``, written and read back; a null html is an empty payload, repeated rows are records each for itself."""
     folder = scratch_path(spark, "archives")
     write_archives(_table(spark, sf_dir, "pages"), folder, min_bytes=0)
     archives = spark.read.schema("archive_id string, records long, content binary").parquet(folder)
@@ -50,28 +52,33 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all ``documents``, their edited texts and the next document's; null texts are empty, a long text is taken whole."""
     prints = fingerprint_neighbors(_table(spark, sf_dir, "documents"))
     edited = F.sha2(F.col("edited_text"), 256).alias("edited_sha256")
     return prints.select("doc_id", "n_chars", edited, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token pieces of all ``documents`` in sequences; a null or empty text is its end id, longer ones than a sequence are cut."""
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         pieces = token_pieces(_table(spark, sf_dir, "documents"), file.read())
     return best_fit_pack(pieces)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of all ``documents``; null and empty texts have no words and fail the base rules."""
     docs = _table(spark, sf_dir, "documents")
     judged = docs.select("doc_id", apply_rules(F.col("text"), language_references(docs)).alias("r"))
     return judged.select("doc_id", "r.*")
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and texts in all ``documents``; null and empty texts have none, repeated rows stay."""
     return scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all ``documents`` and what they decode to; null and empty texts have no ids."""
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = bpe_encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_decoded=True)
     decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -84,17 +91,20 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of all ``documents``; texts without words have the fingerprint zero and are linked like others."""
     groups = simhash_groups(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     digits = F.lpad(F.lower(F.hex("print")), 16, "0")
     return groups.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` with surrogates for personal data; clean, null and empty texts are handed on as they are."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return replace_pii(docs, key=PII_KEY, kinds_column="kinds").withColumn("n_entities", F.size("kinds").cast("long"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all ``documents`` by a ranking learned from three folds of four; null and empty texts have zero features."""
     docs, held_out = _table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 4) == 2
     model = fit_quality(docs, _table(spark, sf_dir, "labels").where(~held_out))
     return _predictions(docs, quality_score(F.col("text"), model, at_threshold=0.7), held_out, 0.7)
@@ -168,7 +178,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TERMS = r"regexp_extract_all(translate(text, '%s', '%s'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')" % (_UPPER, _LOWER)
 
 # The other operators have no SQL: trained scores, tokenizers, digests and XXH64 fingerprints.
-# CRC-32 has no function in DuckDB: its table of 256 is eight steps of each byte, and bytes are folded one by one.
+# CRC-32 has no function in DuckDB: each byte is folded in by eight shifts.
 ORACLES: dict[str, str] = {
     "op2_warc": f"""
 SELECT page_id, strlen(payload) AS payload_bytes, {_BASE32} AS payload_digest,

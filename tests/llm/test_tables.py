@@ -288,6 +288,31 @@ def test_each_pattern_passes_the_gate(spark):
     assert not [text for i, text in rows if got[i] == text]
 
 
+FOUND = {
+    "Господин Петров": "family", "Г-н Петров": "family", "MR JOHN SMITH": "given_m family", "call 567 555 8444": "phone", "phone: 5678901234": "phone",
+    "ssn 123 45 6789": "ssn", "DE89 3704 0044 0532 0130 00": "iban", "GB29NWBK60161331926819": "iban", "2001:db8::ff00:42:8329": "ip6",
+    "user@пример.рф": "email", "jürgen@web.de": "email", "ghp_abcdefghijklmnopqrstuvwxyz0123456789": "access_key", "Mr Smith's house": "family",
+    "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N": "access_key",
+}
+LEFT = ["clean 10:20:30 text", "1234567890 things", "DR, MS. Word", "mr smith", "Dresden", "std::vector<int> a::b", "version 1.2.3.4.5", "12 345 678", ""]
+
+
+def test_pii_of_many_forms(spark):
+    """Each form alone is found whole, gives nothing of itself away, and keeps its signs; other texts stay."""
+    rows = list(enumerate([*FOUND, *LEFT]))
+    got = {r.doc_id: r for r in pii.replace_pii(documents(spark, rows), key="k", kinds_column="kinds").collect()}
+    for i, text in rows:
+        assert sorted(got[i].kinds) == sorted(FOUND.get(text, "").split()), text
+        if text in FOUND:
+            old, new = [re.findall(r"[^\W_]+", t) for t in (text, got[i].text)]
+            assert got[i].text != text and re.sub(r"[^\W_]+", "", got[i].text) == re.sub(r"[^\W_]+", "", text) and len(old) == len(new)
+        else:
+            assert got[i].text == text
+    names = {text: got[i].text for i, text in rows}
+    assert names["Господин Петров"].split()[1] == names["Г-н Петров"].split()[1] and "gen" not in names["jürgen@web.de"]
+    assert names["MR JOHN SMITH"].isupper() and names["Mr Smith's house"].split("'")[0].upper().split()[1] == names["MR JOHN SMITH"].split()[2]
+
+
 def test_pii_of_odd_documents(spark):
     docs = documents(spark, ROWS + PERSONAL + PERSONAL[:1] + [(None, PERSONAL[0][1]), (30, LONG + " a.b@c.org " + LONG)])
     got = pii.replace_pii(docs, "k", kinds_column="kinds")

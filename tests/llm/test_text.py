@@ -1,6 +1,7 @@
 """Encoding, packing, fingerprints and archives against plain versions."""
 
 import random
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -153,3 +154,27 @@ def test_small_payloads_are_all_responses(spark):
 def test_a_dictionary_helps_small_records():
     records = [f"<html><head><title>page {i}</title></head><body>the same frame around {i * 7}</body></html>".encode() for i in range(500)]
     assert len(warc.compress_archive(records)) < 0.7 * len(warc.compress_archive(records, dictionary_bytes=0))
+
+
+def test_tokens_of_any_letters_equal_the_tokenizer():
+    """Words of letters, marks and numbers of all scripts, with signs behind them."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        made = file.read()
+    dice = random.Random(4)
+    every = [chr(c) for c in range(0x21, 0x30000) if unicodedata.category(chr(c))[0] in "LMN"]
+    near = [chr(c) for c in range(0xC0, 0x530)] + list("abcdIİıſKẞǅ")
+    word = lambda: "".join(dice.choice(dice.choice((every, near))) for _ in range(dice.randint(1, 4)))
+    signs = lambda: "".join(dice.choice(".,!?;:*%&$#'\"-()") for _ in range(dice.randint(0, 3)))
+    texts = ["ख़! x"] + [dice.choice((" ", "\n", "  ")).join(word() + signs() for _ in range(dice.randint(1, 4))) for _ in range(20_000)]
+    ids = [np.frombuffer(i, "<u4").tolist() for i in packing._Tokens(made)(texts)]
+    assert ids == [e.ids for e in Tokenizer.from_str(made).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_remembered_chunks_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_BYTES", 50_000)
+    memory = packing._Memory()
+    for n in range(200):
+        new = [f"w{n}-{i}" for i in range(10)] + ["x" * 500 + str(n)]
+        memory.update((c, b"1234") for c in new)
+        memory.settle(new)
+        assert memory.taken <= 50_000 and len(memory) <= 300 and max(map(len, memory), default=0) <= packing.LONGEST_KNOWN

@@ -25,7 +25,8 @@ HEADLINES = """
     catalog_items book_summaries search_books book_people book_chapters chapter_details chapter_people
     select_chapters last_free_chapter assemble_book download_summary
     clean_html html_images html_text resolve_urls
-    search_catalog_captures write_library stream_dedupe stream_library
+    search_catalog_captures search_many_needles traverse_catalogs captures_by_build download_books
+    write_library stream_dedupe stream_library
 """.split()
 TABLES = "events documents pages conversations orders lineitem part customer supplier nation".split()
 PAGE_COPIES = 4

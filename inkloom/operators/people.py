@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from inkloom.functions.html import first_per_key
-from inkloom.functions.payload import as_list, at, first_id_at, first_text_at, is_object
+from inkloom.functions.payload import as_list, first_id_at, first_text_at, is_object, places
 from inkloom.functions.text import let
 
 # Keys that may hold the people of a role, in order.
@@ -38,9 +38,7 @@ def _person(raw: Column, role: str) -> Column:
 def people_of(doc: Column, role: str) -> Column:
     """People of a role in key order, nameless and id-less ones left out."""
 
-    values = F.filter(
-        F.array(*[at(doc, key) for key in ROLE_KEYS[role]]), lambda v: v.isNotNull() & ~F.is_variant_null(v)
-    )
+    values = F.filter(places(doc, " ".join(ROLE_KEYS[role])), lambda v: v.isNotNull() & ~F.is_variant_null(v))
     listed = F.flatten(F.transform(values, lambda v: F.coalesce(as_list(v), F.array(v))))
     found = F.transform(F.filter(listed, is_object), lambda p: _person(p, role))
     return F.filter(found, lambda p: p["id"].isNotNull() | p["name"].isNotNull() | p["username"].isNotNull())

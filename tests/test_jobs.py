@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from inkloom.functions.html import drop_unsafe_html
+from inkloom.functions.payload import read_fields
 from inkloom.operators import books as B
 from inkloom.operators import catalog as C
 from inkloom.operators import chapters as CH
@@ -274,6 +275,26 @@ def test_positions_run_no_job_while_planning(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_fields_are_read_in_one_pass(spark):
+    """An object is gone through once for all its fields, whose readers need no function over arrays."""
+    body = {"id": 5, "chapterId": "x", "book": {"id": " ", "slug": "b"}, "title": 7, "name": "N", "price": None, "n": "0x1F", "views": True, "isDonate": "true", "url": ""}
+    df = spark.createDataFrame([(json.dumps(body),), ('{"id":" ","chapterId":1.50,"book":[1],"n":"","views":"7.9","price":3}',), ("[1]",), ("5",), (None,)], "body string")
+    docs = df.select(F.try_parse_json("body").alias("raw"))
+    read, f = read_fields(
+        docs, F.col("raw"), "_t_", ids={"id": "id chapterId", "book_id": "book.id"}, texts={"title": "title name", "slug": "book.slug"}, raw_texts={"url": "url"},
+        numbers={"price": "price n"}, integers={"views": "views"}, flags={"paid": "isDonate"}, maybe_flags={"edited": "isEdited"}, variants={"book": "book"},
+    )
+    names = ("title", "slug", "url", "price", "views", "paid", "edited")
+    out = read.select(f["id"]["value"].alias("id"), f["id"]["is_num"].alias("num"), f["book_id"].alias("book_id"), *[f[n].alias(n) for n in names], F.to_json(f["book"]).alias("book"))
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert plan.count("try_variant_get(raw") == 2
+    assert [tuple(r) for r in out.collect()] == [
+        ("5", True, None, "N", "b", "", 31.0, None, True, None, '{"id":" ","slug":"b"}'),
+        ("1.5", True, None, None, None, None, 3.0, 7, False, None, "[1]"),
+        *[(None, None, None, None, None, None, None, None, False, None, None)] * 3,
+    ]
+
+
 def test_search_index_equals_the_scan(spark):
     dice = random.Random(11)
     texts = ["".join(dice.choice("abcd  Éя") for _ in range(dice.randrange(40))) for _ in range(200)] + ["", None, "ab" * 50]

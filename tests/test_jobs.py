@@ -275,6 +275,22 @@ def test_positions_run_no_job_while_planning(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_small_books_meet_no_cuts(spark):
+    """Only rows of large books get ranges; all rows move once, for the window."""
+    rows = [(f"s{i}", i % 3, None, float(-i), "t") for i in range(9000)] + [("big", i, None, float(i % 7), "t") for i in range(9000)] + [(None, 1, None, 1.0, "t")]
+    df = spark.createDataFrame(rows, "book_slug string, pos long, volume double, number double, title string").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = O.select_chapters(df, "descending", 1, 2000)
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        found = got.select("book_slug", "pos", "rank").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = sorted(range(9000), key=lambda i: (-(i % 7), i))
+    assert [r.pos for r in sorted(found, key=lambda r: r["rank"])] == want[1:2001] and {r.book_slug for r in found} == {"big"}
+
+
 def test_fields_are_read_in_one_pass(spark):
     """An object is gone through once for all its fields, whose readers need no function over arrays."""
     body = {"id": 5, "chapterId": "x", "book": {"id": " ", "slug": "b"}, "title": 7, "name": "N", "price": None, "n": "0x1F", "views": True, "isDonate": "true", "url": ""}

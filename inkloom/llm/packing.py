@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import re
 import unicodedata
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
@@ -20,9 +24,26 @@ OPEN_BINS = 1024  # bins a packer keeps open
 PIECES_PER_PACKER = 250_000  # rows of one packer; more rows get more packers
 KNOWN_BYTES = 256_000_000  # about what the tokenized chunks that a worker remembers may take
 LONGEST_KNOWN = 64  # characters; longer chunks are not remembered
+AT_ONCE = 4_000_000  # bytes of texts that are tokenized together; a longer text stands for itself
 ENTRY_BYTES = 220  # of a remembered chunk besides its characters and ids
 _TAIL = ".,!?;:*%&$#"  # signs that always are tokens apart from a word before them
 _KNOWN: dict[str, "_Memory"] = {}  # per tokenizer, for the tasks of one Python worker
+_WORD = re.compile("[a-z]+")
+# how a tokenizer finds its words, if one of small Latin letters surely is one and goes to the model unchanged
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _word_tokenizer(tokenizer_json: str) -> str | None:
+    """The same model for blank-separated words of ``a`` to ``z``, without the work that changes nothing in them."""
+    parts = json.loads(tokenizer_json)
+    split, *after = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    usual = (parts["normalizer"] or {}).get("normalizers") == _NORMAL and split.get("pattern") == {"Regex": _SPLIT}
+    usual = usual and split["invert"] and split["behavior"] == "Removed" and [a["type"] for a in after] == ["ByteLevel"]
+    usual = usual and not after[0]["add_prefix_space"] and not after[0]["use_regex"] and parts["model"]["type"] == "BPE"
+    if not usual or any(re.search("[a-z]", a["content"]) and "|" not in a["content"] for a in parts["added_tokens"]):
+        return None
+    return json.dumps(parts | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}})
 
 
 class _Memory(dict):
@@ -32,13 +53,13 @@ class _Memory(dict):
         super().__init__()
         self.taken = 0
 
-    def settle(self, new: Iterable[str]) -> None:
+    def settle(self, new: list[str]) -> None:
         """Forget the long ones of the chunks that were added, or all of them once they take too much."""
-        for chunk in new:
+        kept = [chunk for chunk in new if len(chunk) <= LONGEST_KNOWN]
+        for chunk in new if len(kept) < len(new) else ():
             if len(chunk) > LONGEST_KNOWN:
                 del self[chunk]
-            else:
-                self.taken += ENTRY_BYTES + 2 * len(chunk) + len(self[chunk])
+        self.taken += ENTRY_BYTES * len(kept) + 2 * sum(map(len, kept)) + sum(map(len, map(self.__getitem__, kept)))
         if self.taken > KNOWN_BYTES:
             self.clear()
             self.taken = 0
@@ -55,6 +76,8 @@ class _Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        words = _word_tokenizer(tokenizer_json)
+        self.words = words and Tokenizer.from_str(words)
         self.known = _KNOWN.setdefault(str(hash(tokenizer_json)), _Memory())
 
     @staticmethod
@@ -79,32 +102,76 @@ class _Tokens:
 
     def _learn(self, chunks: list[str]) -> list[str]:
         """Add the ids of new chunks; tells what was added."""
-        parts = {c: self._parts(c) for c in chunks}
-        pieces = {p for pair in parts.values() for p in pair if p not in self.known}
-        self._encode(list(pieces))
-        self.known.update((c, self.known[word] + self.known[tail]) for c, (word, tail) in parts.items())
+        plain = [c for c in chunks if c.isascii() and c.isalnum()]
+        lower = [c.lower() for c in plain]
+        rest = [c for c in chunks if not (c.isascii() and c.isalnum())]
+        parts = [self._parts(c) for c in rest]
+        pieces = {p for p in chain(lower, chain.from_iterable(parts)) if p not in self.known}
+        words = [p for p in pieces if _WORD.fullmatch(p)] if self.words else []
+        self._encode_words(words)
+        self._encode(list(pieces.difference(words)))
+        known = self.known
+        known.update(zip(plain, map(known.__getitem__, lower), strict=True))
+        known.update((c, known[word] + known[tail]) for c, (word, tail) in zip(rest, parts, strict=True))
         return list(pieces.union(chunks))
 
+    def _encode_words(self, words: list[str]) -> None:
+        for at in range(0, len(words), 20_000):
+            block = words[at : at + 20_000]
+            found = self.words.encode(" ".join(block), add_special_tokens=False)
+            data, ends = np.array(found.ids, "<u4").tobytes(), np.cumsum(np.bincount(found.word_ids, minlength=len(block)))
+            begin = 0
+            for word, end in zip(block, (4 * ends).tolist(), strict=True):
+                self.known[word] = data[begin:end]
+                begin = end
+
     def _encode(self, chunks: list[str]) -> None:
         for at in range(0, len(chunks), 20_000):
             block = chunks[at : at + 20_000]
             found = self.tokenizer.encode(" ".join(block), add_special_tokens=False)
             ends = np.cumsum([len(c) + 1 for c in block])
-            starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
-            ids = np.array(found.ids, "<u4")
-            cuts = np.searchsorted(starts, ends).tolist()
+            ids, offsets = found.ids, found.offsets
+            starts = np.fromiter((a for a, _ in offsets), np.int64, len(ids))
+            data = np.array(ids, "<u4").tobytes()
+            cuts = (4 * np.searchsorted(starts, ends)).tolist()
             begin = 0
             for chunk, end in zip(block, cuts, strict=True):
-                self.known[chunk] = ids[begin:end].tobytes()
+                self.known[chunk] = data[begin:end]
                 begin = end
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = self._learn(list({c for found in parts for c in found if c not in self.known}))
-        rows = [b"".join(map(self.known.__getitem__, found)) for found in parts]
-        self.known.settle(new)
+    def __call__(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """The ids of each text, from some texts at a time, of which each distinct chunk is looked up once."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        texts = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        groups = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // AT_ONCE
+        cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
+        rows = []
+        for begin, end in zip(cuts, cuts[1:], strict=False):
+            if begin < end:
+                rows += self._rows(pc.split_pattern(texts.slice(begin, end - begin), " "))
         return rows
 
+    def _rows(self, texts: pa.ListArray) -> Iterator[bytes]:
+        chunks = texts.flatten().dictionary_encode()
+        which = chunks.indices.to_numpy()
+        # no chunk holds a blank; one string is read much faster than an array of them
+        whole = pa.ListArray.from_arrays(pa.array([0, len(chunks.dictionary)], pa.int32()), chunks.dictionary)
+        distinct = pc.binary_join(whole, " ")[0].as_py().split(" ")
+        new = self._learn([c for c in distinct if c not in self.known])
+        found = [*map(self.known.__getitem__, distinct)]
+        self.known.settle(new)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(found), "<u4")
+        begin = 0
+        for end in np.cumsum(pc.list_value_length(texts).to_numpy()).tolist():
+            own = which[begin:end]
+            lengths = sizes[own]
+            # the places of a chunk's ids are those before it here, moved to where it stands among all ids
+            places = np.repeat(starts[own] - np.cumsum(lengths) + lengths, lengths)
+            places += np.arange(len(places))
+            yield ids[places].tobytes()
+            begin = end
+
 
 def token_pieces(
     docs: DataFrame,
@@ -132,10 +199,10 @@ def token_pieces(
         tokens, end = _Tokens(shared.value), np.array([end_id], "<u4").tobytes()
         names = [id_column, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 rows = []
-                for i, ids in enumerate(tokens(part.column(1).to_pylist())):
+                for i, ids in enumerate(tokens(part.column(1))):
                     ids += end
                     for piece, begin in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[begin : begin + 4 * capacity]

@@ -178,3 +178,18 @@ def test_remembered_chunks_are_bounded_in_bytes(monkeypatch):
         memory.update((c, b"1234") for c in new)
         memory.settle(new)
         assert memory.taken <= 50_000 and len(memory) <= 300 and max(map(len, memory), default=0) <= packing.LONGEST_KNOWN
+
+
+def test_plain_words_go_straight_to_the_model():
+    """Words of Latin letters need no general tokenizer; their ids are those of the whole text."""
+    dice = random.Random(5)
+    texts = [" ".join("".join(dice.choices("abcdeghinorstTI", k=dice.randint(1, 9))) for _ in range(300)) for _ in range(20)]
+    texts += [None, "", "\n", "ab  cd\nab", *texts[:2]]
+    tokens = packing._Tokens(WORDS_JSON)
+    general, asked = tokens.tokenizer, []
+    packing._KNOWN.clear()
+    tokens.known, tokens.tokenizer = packing._Memory(), None
+    tokens._encode = lambda chunks: asked.extend(chunks) or tokens.known.update((c, b"") for c in chunks)
+    found = [np.frombuffer(i, "<u4").tolist() for i in tokens(texts)]
+    assert set(asked) <= {""}
+    assert found == [e.ids for e in general.encode_batch([t or "" for t in texts], add_special_tokens=False)]

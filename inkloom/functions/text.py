@@ -115,6 +115,11 @@ def encode_component(value: Column) -> Column:
     return out
 
 
+def encode_path(path: Column) -> Column:
+    """Percent-encoding of the segments of a path."""
+    return F.replace(encode_component(path), F.lit("%2F"), F.lit("/"))
+
+
 def parse_chapter_number(label: Column) -> Column:
     """Number after the word 'глава' or 'chapter', comma or point decimal."""
     found = F.regexp_extract(label, rf"(?iu)(?:глава|chapter)[{WS}]*([0-9]+(?:[.,][0-9]+)?)", 1)

@@ -11,7 +11,7 @@ from urllib.parse import urlsplit
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkloom.functions.text import decode_component, let, trim
+from inkloom.functions.text import decode_component, encode_path, let, trim
 
 # Characters escaped in each part of an address.
 PATH_ESCAPES = r"[\x00-\x20\"#<>?`{}\x7F-\x{10FFFF}]"
@@ -26,6 +26,8 @@ _PATH = r"^[a-z]+://[^/?#]*([^?#]*)"
 _NO_DOTS = r"(?![^?#]*/(?:\.|%2[eE]){1,2}(?:[/?#]|\z))"
 _PLAIN_ABSOLUTE = r"^https?://(?:[a-z0-9][a-z0-9\-]*\.)*[a-z][a-z0-9\-]*(?=/)" + _NO_DOTS + _PLAIN_TAIL
 _PLAIN_ROOTED = r"^(?![/\\]{2})" + _NO_DOTS + _PLAIN_TAIL
+# rooted paths of names with letters of the scripts below U+1680, or blanks inside: they need escaping and no more
+_NAMED_ROOTED = r"^(?!//)" + _NO_DOTS + r"(?=/)[A-Za-z0-9\-._!'()/ \u00A1-\u167F]*+(?<! )\z"
 
 
 def _escape(text: Column, escapes: str) -> Column:
@@ -143,6 +145,7 @@ def column_url(link: Column, base: str) -> Column:
     return (
         F.when(link.rlike(_PLAIN_ROOTED), F.concat(F.lit(root), link))
         .when(link.rlike(_PLAIN_ABSOLUTE), link)
+        .when(link.rlike(_NAMED_ROOTED), F.concat(F.lit(root), encode_path(link)))
         .when(link.isNotNull(), general)
     )
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkloom.functions.payload import as_text, at, is_object, with_document, within
-from inkloom.functions.text import decode_component, encode_component, let, non_blank, parse_number, trim
-from inkloom.functions.urls import absolute_url, segments
+from inkloom.functions.text import WS, decode_component, encode_component, encode_path, let, non_blank, parse_number, trim
+from inkloom.functions.urls import column_url, segments
 
 # Retry rules and freshness limits.
 RETRYABLE_STATUSES = (408, 425, 429)
@@ -200,15 +200,21 @@ def normal_path(value: Column) -> Column:
     return F.concat(F.lit("/"), F.regexp_replace(trim(value), "^/+|(?<!/)/+\\z", ""))
 
 
+# segments without an escape, none empty, no white space at the end: encoded as one text
+_PLAIN_ROUTE = rf"^(?:/[^/%]++)++(?<![{WS}])\z"
+
+
 def route_file(route: Column) -> Column:
     """Data file of a route: segments decoded, encoded again, '.json'."""
     encoded = F.transform(segments(normal_path(route)), lambda s: encode_component(decode_component(s)))
-    return let(
+    general = let(
         encoded,
         lambda parts: F.when(F.exists(parts, lambda p: p.isNull()), F.lit(None).cast("string")).otherwise(
             F.concat(F.when(F.size(parts) == 0, F.lit("index")).otherwise(F.array_join(parts, "/")), F.lit(".json"))
         ),
     )
+    plain = F.concat(F.substring(encode_path(route), 2, 2_000_000_000), F.lit(".json"))
+    return F.when(route.rlike(_PLAIN_ROUTE), plain).otherwise(general)
 
 
 def query_text(base: Column, additions: Column) -> Column:
@@ -245,6 +251,8 @@ def catalog_requests(
     Without ``build_id`` these go to the list service; with it to the data file
     of the site's own page at ``route``, with the same query.
     """
+    if pages.columns == ["page"]:  # one row a page before its request is written
+        pages = pages.distinct()
     none = F.array().cast("array<struct<name: string, values: array<string>>>")
     base = none if params is None else params
     own_expand = F.filter(base, lambda b: b["name"] == "expand")
@@ -269,9 +277,9 @@ def catalog_requests(
 
 def page_html_requests(chapters: DataFrame, base: str) -> DataFrame:
     """Request of the page of each chapter, asked for beside its data where the page itself is wanted."""
-    path = F.concat_ws("/", F.lit(""), "book_slug", "chapter_slug")
-    request = F.replace(absolute_url(path, base), F.lit(base.rstrip("/")), F.lit(""))
+    request = F.replace(column_url(F.col("_path"), base), F.lit(base.rstrip("/")), F.lit(""))
     wanted = chapters.select("book_slug", "chapter_slug").distinct()
+    wanted = wanted.withColumn("_path", F.concat_ws("/", F.lit(""), "book_slug", "chapter_slug"))
     return wanted.select(F.lit("page_html").alias("kind"), "book_slug", "chapter_slug", request.alias("request"))
 
 
@@ -288,10 +296,10 @@ def fetch_plan(books: DataFrame, chapters: DataFrame, build_id: Column) -> DataF
         .unionByName(chapters.select("book_slug", "chapter_slug"))
         .distinct()
     )
-    route = F.concat_ws("/", F.lit(""), "book_slug", "chapter_slug")
+    wanted = wanted.withColumn("_route", F.concat_ws("/", F.lit(""), "book_slug", "chapter_slug"))
     return wanted.select(
         F.when(F.col("chapter_slug").isNull(), "book").otherwise("chapter").alias("kind"),
         "book_slug",
         "chapter_slug",
-        F.concat(prefix, route_file(route)).alias("request"),
+        F.concat(prefix, route_file(F.col("_route"))).alias("request"),
     )

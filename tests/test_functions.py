@@ -178,3 +178,25 @@ def plain_text(html):
 def test_text_against_brute_force(spark):
     pages = random_pages(400, 2)
     assert run(spark, H.html_text, pages) == [plain_text(p) for p in pages]
+
+
+def test_names_in_paths_are_escaped_as_one_text(spark):
+    """Letters of other scripts and blanks take the short way, with the same result as segment by segment."""
+    from urllib.parse import quote
+
+    from inkloom.functions.text import encode_path
+    from inkloom.functions.urls import _NAMED_ROOTED, column_url
+    from inkloom.operators.fetches import _PLAIN_ROUTE, route_file
+
+    names = ["/order-1/глава 1!", "/é/a b/(x)'", "/a/b~", "/order-7"]
+    other = ["/a//b", "/a%2Fb", "/a ", "/a/", "/", "/a/../b c"]
+    rows = spark.createDataFrame([(n,) for n in names + other], "p string")
+    p = F.col("p")
+    got = {r.p: r for r in rows.select(p, encode_path(p).alias("e"), route_file(p).alias("r"), column_url(p, "https://n.example").alias("u"), p.rlike(_PLAIN_ROUTE).alias("plain"), p.rlike(_NAMED_ROOTED).alias("named")).collect()}
+    for n in names:
+        assert got[n].plain and got[n].e == quote(n, safe="/!'()~*") and got[n].r == got[n].e[1:] + ".json"
+        assert got[n].named == ("~" not in n) and got[n].u == "https://n.example" + quote(n, safe="/!'()~*")
+    assert [o for o in other if got[o].plain] == ["/a/../b c"]
+    assert not any(got[o].named for o in ("/a%2Fb", "/a ", "/a/../b c"))
+    assert [got[o].r for o in other] == ["a/b.json", "a%2Fb.json", "a.json", "a.json", "index.json", "a/../b%20c.json"]
+    assert [got[o].u for o in other] == [f"https://n.example{t}" for t in ("/a//b", "/a%2Fb", "/a", "/a/", "/", "/b%20c")]

@@ -34,6 +34,7 @@ from inkloom.llm.tables import written
 
 START, END = 0, 1  # ids of the beginning, a context only, and of the end, a token; words have their XXH64
 WINDOW = 2_000_000  # tokens that a task holds at once
+SCORE_WINDOW = 500_000  # the same for a task that scores, beside the broadcast words and states
 PIECE = 1 << 20  # bytes of a text that are split at once
 PART_TOKENS = 1_000_000  # training tokens for each part of the grams
 HOT_WORDS = 1_000_000  # words whose counts are broadcast
@@ -419,7 +420,7 @@ def _hot_states(tree: SuffixTree, bound: int) -> list[_States]:
 
 def score_texts(
     docs: DataFrame, tree: SuffixTree, hot_words: int = HOT_WORDS, hot_states: int = HOT_STATES, id_column: str = "doc_id", text_column: str = "text",
-    carry: tuple[str, ...] = (),
+    carry: tuple[str, ...] = (), window_tokens: int = SCORE_WINDOW,
 ) -> DataFrame:
     """Score each document: id, the carried columns, ``n_tokens``, ``n_known``, ``base_score`` and ``score``.
 
@@ -427,7 +428,8 @@ def score_texts(
     single words, and in the tree's states.  Tokens whose word or state is not
     broadcast are written and joined with the tree's tables; texts are read once
     and not shuffled.  A null or empty text is its end alone.  Repeated rows are
-    scored each for itself; an empty table gives no rows.
+    scored each for itself; an empty table gives no rows.  ``window_tokens`` bounds
+    what a task holds at once.
     """
     spark, depth = docs.sparkSession, tree.rules.depth if tree.contexts else 0
     words, _ = hot_counts(tree, hot_words)
@@ -452,7 +454,7 @@ def score_texts(
         empty = lambda n, names: {c: pa.nulls(n, k) for c, k in names.items()}
         kinds = {f"c{i}": fields.field(f"c{i}").type for i in range(len(plain))}
         longs = dict.fromkeys(context_names, pa.int64())
-        for window in windows(_texts(chain([first], batches), 1 + len(plain)), depth):
+        for window in windows(_texts(chain([first], batches), 1 + len(plain)), depth, window_tokens):
             place = words.place(window.known)
             count = np.where(place >= 0, words.counts[place] if len(words.counts) else 0, 0 if all_hot else -1)
             real = window.real

@@ -285,3 +285,11 @@ def test_windows_hand_texts_on(size, monkeypatch):
     for key in whole:
         assert [g[-1] for g in found[key]] == [g[-1] for g in whole[key]]
         assert [g[-3:] for g in found[key][2:]] == [g[-3:] for g in whole[key][2:]]
+
+
+def test_scores_do_not_depend_on_what_a_task_holds_at_once(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    tree = fit_suffix_tree(docs, TreeRules(min_count=3, min_gain=2.0))
+    whole, small = ({r.doc_id: tuple(r) for r in score_texts(docs, tree, **b).collect()} for b in ({}, {"window_tokens": 50}))
+    assert whole.keys() == small.keys()
+    assert all(small[k][:3] == w[:3] and small[k][3:] == pytest.approx(w[3:], rel=1e-9) for k, w in whole.items())

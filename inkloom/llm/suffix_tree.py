@@ -17,13 +17,13 @@ the tokens that need any other are joined with the written tables.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -35,7 +35,7 @@ from inkloom.llm.tables import written
 START, END = 0, 1  # ids of the beginning, a context only, and of the end, a token; words have their XXH64
 WINDOW = 2_000_000  # tokens that a task holds at once
 SCORE_WINDOW = 500_000  # the same for a task that scores, beside the broadcast words and states
-PIECE = 1 << 20  # bytes of a text that are split at once
+PIECE = 1 << 22  # bytes of text that are split at once
 PART_TOKENS = 1_000_000  # training tokens for each part of the grams
 HOT_WORDS = 1_000_000  # words whose counts are broadcast
 HOT_STATES = 2_000_000  # contexts and successors that are broadcast
@@ -60,7 +60,7 @@ class TreeRules:
 class Window:
     """Tokens of some texts, one after another; ``real`` leaves out what only stands before them."""
 
-    known: np.ndarray  # ids of the distinct words
+    known: np.ndarray  # ids of the distinct words, ascending
     local: np.ndarray  # per place, which of these stands there
     real: np.ndarray
     row: np.ndarray  # per place, the text's number in ``keys``
@@ -70,50 +70,87 @@ class Window:
         self.word = self.known[self.local]
 
 
-def _pieces(text: str | None) -> Iterator[list[bytes]]:
-    """Words of a text, a bounded piece at a time."""
+def _pieces(text: str | None, size: int) -> Iterator[bytes]:
+    """A text cut at white space into pieces of a bounded length; of an empty one, an empty piece."""
     data, at = (text or "").encode("utf-8", "surrogatepass"), 0
-    while at < len(data):
-        gap = _SPACE.search(data, at + PIECE) if len(data) - at > PIECE else None
+    while at < len(data) or at == 0:
+        gap = _SPACE.search(data, at + size) if len(data) - at > size else None
         end = gap.start() if gap else len(data)
-        yield data[at:end].lower().split()
-        at = end
+        yield data[at:end]
+        at = max(end, 1)
+
+
+def _words(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of the distinct words, per place which of these stands there, number of words of each piece)."""
+    texts = pa.array(pieces, pa.large_binary()).view(pa.large_utf8())
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    real = pc.greater(pc.binary_length(lists.values), 0)  # white space at either end leaves an empty word
+    ends = np.concatenate(([0], np.cumsum(real.to_numpy(zero_copy_only=False))))[lists.offsets.to_numpy()]
+    coded = lists.values.filter(real).dictionary_encode()
+    _, offsets, data = coded.dictionary.buffers()
+    data, offsets = data.to_pybytes() if data else b"", np.frombuffer(offsets, np.int64, len(coded.dictionary) + 1).tolist()
+    hashed = (xxhash.xxh64_intdigest(data[a:b]) for a, b in pairwise(offsets))
+    ids = np.fromiter(hashed, np.uint64, len(offsets) - 1) >> np.uint64(1)
+    return np.maximum(ids, np.uint64(2)), coded.indices.to_numpy(), np.diff(ends)
 
 
 def windows(texts: Iterator[tuple[object, str | None]], depth: int, size: int = WINDOW) -> Iterator[Window]:
     """Windows of about ``size`` tokens; a text may go on in the next, which then begins with the words before."""
-    number: defaultdict[object, int] = defaultdict()  # words, and the ids of the beginning and the end
-    number.default_factory = number.__len__
-    parts: list[tuple[np.ndarray, bool, int]] = []
+    chunk = min(PIECE, 8 * size)  # bytes that are split at once
+    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
     keys, held = [], 0
-
-    def add(tokens: list, real: bool) -> None:
-        parts.append((np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens)), real, len(keys) - 1))
+    before = np.empty(0, np.uint64)  # the last tokens of a text that goes on
+
+    def add(rows: list[tuple[object, bytes, bool, bool]]) -> None:
+        nonlocal before, held
+        goes_on = not rows[0][2]
+        if goes_on and not keys:
+            keys.append(rows[0][0])
+            parts.append((before, np.arange(len(before)), np.zeros(len(before), bool), np.zeros(len(before), np.int64)))
+        first, last = (np.array([r[i] for r in rows]) for i in (2, 3))
+        number = len(keys) - 1 + np.cumsum(first)
+        keys.extend(r[0] for r in rows if r[2])
+        ids, local, n = _words([r[1] for r in rows])
+        ends = np.cumsum(first + n + last)
+        starts = ends - (first + n + last)
+        known = np.concatenate((np.array([START, END], np.uint64), ids))
+        place, word = np.empty(ends[-1], np.int64), np.ones(ends[-1], bool)
+        for at, mark in ((starts[first], START), (ends[last] - 1, END)):
+            place[at], word[at] = mark, False
+        place[word] = local + 2
+        real = np.ones(len(place), bool)
+        real[starts[first]] = False
+        parts.append((known, place, real, np.repeat(number, first + n + last)))
+        held += len(place)
+        own = known[place[starts[np.flatnonzero(number == number[-1])[0]] :]]
+        before = np.concatenate((before if goes_on and number[0] == number[-1] else own[:0], own))
+        before = before[len(before) - min(depth, len(before)) :]
 
     def flush() -> Window:
-        hashed = (w if isinstance(w, int) else max(2, xxhash.xxh64_intdigest(w) >> 1) for w in number)
-        known = np.fromiter(hashed, np.uint64, len(number))
-        sizes = [len(p) for p, _, _ in parts]
-        local = np.concatenate([p for p, _, _ in parts])
-        marks, rows = np.repeat([r for _, r, _ in parts], sizes), np.repeat([k for _, _, k in parts], sizes)
-        done = Window(known, local, marks, rows, list(keys))
-        for part in (number, parts, keys):
-            part.clear()
+        offsets = np.cumsum([0, *[len(p[0]) for p in parts]])
+        known, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        local = number[np.concatenate([p[1] + o for p, o in zip(parts, offsets, strict=False)])]
+        done = Window(known, local, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]), list(keys))
+        parts.clear()
+        keys.clear()
         return done
 
+    rows, waiting = [], 0
     for key, text in texts:
-        before, begun = [START], False
-        for piece in chain(_pieces(text), [[END]]):
-            if held >= size:
-                yield flush()
-                held, begun = 0, False
-            if not begun:
-                keys.append(key)
-                add(before, False)
-                begun = True
-            add(piece, True)
-            held += len(piece)
-            before = (before + piece[-depth:])[-max(depth, 1) :]
+        first, piece = True, None
+        for following in chain(_pieces(text, chunk), [None]):
+            if piece is not None:
+                rows.append((key, piece, first, following is None))
+                first, waiting = False, waiting + len(piece) + 1
+                if waiting >= chunk:
+                    add(rows)
+                    rows, waiting = [], 0
+                    if held >= size:
+                        yield flush()
+                        held = 0
+            piece = following
+    if rows:
+        add(rows)
     if parts:
         yield flush()
 
@@ -382,15 +419,31 @@ class _States:
             setattr(self, name, (keys[order], table.column(value).to_numpy()[order]))
 
     def prepare(self) -> None:
-        self.maybe = [Filter(22, keys >> np.uint64(42)) for keys, _ in (self.contexts, self.successors)]
+        self.starts = []
+        for keys, _ in (self.contexts, self.successors):
+            bits = max(1, len(keys).bit_length())
+            shift = np.uint64(64 - bits)
+            counts = np.bincount((keys >> shift).astype(np.int64), minlength=1 << bits)
+            self.starts.append((shift, np.concatenate(([0], np.cumsum(counts))).astype(np.int32)))
         self.other = None if self.others is None else _unpacked(self.others)
 
     def find(self, which: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places of ``keys`` that are here, their values)."""
+        """(places of ``keys`` that are here, their values); keys are looked for among those of equal first bits."""
         ranked, values = (self.contexts, self.successors)[which]
-        at = np.flatnonzero(self.maybe[which](keys))
-        found = _find(ranked, keys[at])
-        return at[found >= 0], values[found[found >= 0]]
+        shift, starts = self.starts[which]
+        first = keys >> shift
+        low, high = starts[first], starts[first + np.uint64(1)]
+        at = np.flatnonzero(low < high)
+        found = np.full(len(keys), -1, np.int32)
+        while len(at):
+            place = low[at]
+            same = ranked[place] == keys[at]
+            found[at[same]] = place[same]
+            at = at[~same]
+            low[at] += 1
+            at = at[low[at] < high[at]]
+        at = np.flatnonzero(found >= 0)
+        return at, values[found[at]]
 
 
 def _hot_states(tree: SuffixTree, bound: int) -> list[_States]:
@@ -462,15 +515,23 @@ def score_texts(
             keys = gram_keys(window, depth)
             add, mul, other = np.zeros(len(token)), np.ones(len(token)), np.zeros(len(token), bool)
             for level, state in enumerate(states, 1):
-                context = np.concatenate(([np.uint64(START)], keys[level - 1][:-1]))[real]
-                at, rest = state.find(0, context)
+                if level == 1:  # a context is a word: each is looked up once
+                    before = np.concatenate(([0], window.local[:-1]))[real]
+                    here, values = state.find(0, window.known)
+                    found = np.full(len(window.known), -1)
+                    found[here] = np.arange(len(here))
+                    at = np.flatnonzero(found[before] >= 0)
+                    rest = values[found[before[at]]]
+                else:
+                    context = np.concatenate(([np.uint64(START)], keys[level - 1][:-1]))[real]
+                    at, rest = state.find(0, context)
                 add[at] *= rest
                 mul[at] *= rest
                 # successors are found in contexts that are here
                 inside, share = state.find(1, keys[level][real][at])
                 add[at[inside]] += share
                 if state.other is not None:
-                    strange = state.other(context)
+                    strange = state.other(window.known)[before] if level == 1 else state.other(context)
                     strange[at] = False
                     other |= strange
             n0 = count[token]

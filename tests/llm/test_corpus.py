@@ -287,6 +287,18 @@ def test_windows_hand_texts_on(size, monkeypatch):
         assert [g[-3:] for g in found[key][2:]] == [g[-3:] for g in whole[key][2:]]
 
 
+def test_a_window_has_each_word_once_in_order(monkeypatch):
+    """Split in many pieces or in one, words are told by id and looked up once."""
+    texts = [("a", "B c\x1cd  \t é"), ("b", " x B\x0b" * 30), ("c", None), ("d", "c" * 50)]
+    found = []
+    for piece in (4, 1 << 20):
+        monkeypatch.setattr("inkloom.llm.suffix_tree.PIECE", piece)
+        [window] = windows(iter(texts), 2, 10**9)
+        assert (np.diff(window.known.astype(object)) > 0).all() and len(window.known) == 7
+        found.append((window.word.tolist(), window.real.tolist(), window.row.tolist(), window.keys))
+    assert found[0] == found[1] and found[0][3] == ["a", "b", "c", "d"]
+
+
 def test_scores_do_not_depend_on_what_a_task_holds_at_once(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     tree = fit_suffix_tree(docs, TreeRules(min_count=3, min_gain=2.0))

@@ -18,7 +18,7 @@ from inkloom.operators import chapters as CH
 from inkloom.operators import fetches as FE
 from inkloom.operators import links as L
 from inkloom.operators import ordering as O
-from inkloom.operators.search_index import search_many, write_search_index
+from inkloom.operators.search_index import SLICE_CHARS, search_many, write_search_index
 from inkloom.plans.books import download_books
 from inkloom.plans.chapters import assembled_books, fetched_chapters
 from inkloom.plans.search import search_catalog
@@ -331,6 +331,19 @@ def test_search_index_equals_the_scan(spark):
     assert len(rows_) == len(set(rows_)) and set(rows_) == plain and want <= plain
 
 
+def test_search_index_of_long_texts_and_repeated_keys(spark):
+    """Books of one key count each; a text longer than a slice is found by what stands over the edges of its parts."""
+    edge = SLICE_CHARS
+    rows = [("a", "moon rise"), ("a", "full moon"), ("b", "x" * (edge - 3) + "sunmoonset" + "é" * 50), ("c", "mo on")]
+    books = spark.createDataFrame([(k, t, None, None) for k, t in rows], "key string, title string, title_en string, description_html string").coalesce(1)
+    index = write_search_index(books, scratch_path(spark, "index"))
+    got = search_many(index, spark.createDataFrame([("moon",), ("MOON",), ("nm",), ("nmo",), ("x" * 40 + "sun",)], "needle string"))
+    held = [("moon", k) for k in "aab"] + [("MOON", k) for k in "aab"] + [("nm", "b"), ("nmo", "b"), ("x" * 40 + "sun", "b")]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(held)
+    # a book lies in one slice, and the index was written without a shuffle of its grams
+    assert sorted(k for r in index.slices.select("keys").collect() for k in r["keys"]) == ["a", "a", "b", "c"]
+
+
 def test_traverse_thousands_of_catalogs(spark):
     """Catalog c has pages 1 to c % 7 + 1 without page c % 5, one of null name among them; some say how many they have."""
     rows = []

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -48,77 +50,116 @@ def stream_captures(
 # ------------------------------------------------------------------- dedupe
 
 _DEDUPE_OUT = "url string, kind string, fetched_at timestamp, capture_id string"
-
-
-def _near(times: np.ndarray, kept: np.ndarray, period: int) -> np.ndarray:
-    """Which times lie less than a period before or after a kept one."""
-    if not len(kept):
-        return np.zeros(len(times), bool)
-    place = np.searchsorted(kept, times)
-    before, after = kept[np.maximum(place - 1, 0)], kept[np.minimum(place, len(kept) - 1)]
-    return np.minimum(np.abs(times - before), np.abs(after - times)) < period
+BUCKETS = 512  # of addresses, for each kind; a checkpoint holds on to the number
+_NO_TIME = np.iinfo(np.int64).min  # stands for a null time
+_ENTRY = pa.schema([("url", pa.string()), ("at", pa.int64()), ("since", pa.int64())])
+
+
+def _near(code: np.ndarray, at: np.ndarray, kept_code: np.ndarray, kept_at: np.ndarray, period: int) -> np.ndarray:
+    """Which captures lie less than a period before or after a kept one of their address."""
+    near, n = np.zeros(len(at), bool), len(at) + len(kept_at)
+    if not len(kept_at):
+        return near
+    codes, times = np.concatenate([code, kept_code]), np.concatenate([at, kept_at])
+    order = np.lexsort((times, codes))
+    codes, times, is_kept = codes[order], times[order], order >= len(at)
+    place = np.arange(n)
+    before = np.maximum.accumulate(np.where(is_kept, place, -1))
+    after = np.minimum.accumulate(np.where(is_kept, place, n)[::-1])[::-1]
+    found = np.zeros(n, bool)
+    for other in (before, after):
+        there = np.clip(other, 0, n - 1)
+        found |= (other == there) & (codes[there] == codes) & (np.abs(times - times[there]) < period)
+    near[order[~is_kept]] = found[~is_kept]
+    return near
 
 
 class FirstPerPeriod(StatefulProcessor):
-    """Keeps of each key the first capture per period.
-
-    Kept times are a period apart at least, so a stretch of time as long as one
-    period holds one of them at most.  The state of a key is a map from stretch
-    to kept time; a capture is looked up in its own stretch and the two beside
-    it.  The map is never read or written as a whole, so it may hold any number
-    of periods, and entries expire one by one.
+    """Keeps of each address the first capture per period; a group is one kind's addresses of a bucket.
+
+    Kept times of an address are a period apart at least, so a stretch of time
+    as long as one period holds one of them at most.  The state of a group is a
+    map from stretch to the addresses and times kept there; a capture is looked
+    up in its own stretch and the two beside it.  Each stretch is read and
+    written once a batch, whatever the number of addresses; stretches that a
+    batch does not touch are not read.
     """
 
     def __init__(self, ttl_us: Mapping[str, int], state_ms: int | None):
         self.ttl_us, self.state_ms = dict(ttl_us), state_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getMapState("kept", "stretch long", "at long", self.state_ms)
+        self.kept = handle.getMapState("kept", "stretch long", "entries binary", self.state_ms)
 
-    def _known(self, stretches: np.ndarray, seen: dict[int, int | None]) -> np.ndarray:
-        """Kept times of the stretches and of those beside them, sorted."""
-        around = np.unique(np.concatenate([stretches - 1, stretches, stretches + 1]))
-        for stretch in around.tolist():
+    def _load(self, stretches: np.ndarray, seen: dict[int, pa.Table | None], now: int) -> list[pa.Table]:
+        """What was kept in the stretches and in those beside them and is not forgotten."""
+        around = np.unique(np.concatenate([stretches - 1, stretches, stretches + 1])).tolist()
+        for stretch in around:
             if stretch not in seen:
                 found = self.kept.getValue((stretch,))
-                seen[stretch] = None if found is None else found[0]
-        return np.array([at for at in map(seen.get, around.tolist()) if at is not None], np.int64)
+                table = None if found is None else pa.ipc.open_stream(found[0]).read_all()
+                if table is not None and self.state_ms is not None:
+                    table = table.filter(pc.greater(table["since"], now - self.state_ms))
+                seen[stretch] = table
+        return [seen[s] for s in around if seen.get(s) is not None]
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        url, kind = key
+        _, kind = key
         period = self.ttl_us.get(kind, 0)
-        named = lambda at, ids: pd.DataFrame({"url": url, "kind": kind, "fetched_at": pd.to_datetime(at, unit="us"), "capture_id": ids})
+        named = lambda url, at, ids: pd.DataFrame({"url": url, "kind": kind, "fetched_at": pd.to_datetime(at, unit="us"), "capture_id": ids})
+        times_of = lambda frame: frame["fetched_us"].fillna(_NO_TIME).to_numpy(np.int64)
         if period <= 0:  # every capture counts
             for frame in rows:
-                yield named(frame["fetched_us"].to_numpy(np.int64), frame["capture_id"].to_numpy(object))
+                yield named(frame["url"].to_numpy(object), times_of(frame), frame["capture_id"].to_numpy(object))
             return
-        seen: dict[int, int | None] = {} if self.kept.exists() else _Nothing()
-        times, ids = [], []
+        now = 0 if self.state_ms is None else timerValues.getCurrentProcessingTimeInMs()
+        seen: dict[int, pa.Table | None] = {} if self.kept.exists() else _Nothing()
+        urls, times, ids = [], [], []
         for frame in rows:
-            at = frame["fetched_us"].to_numpy(np.int64)
-            new = ~_near(at, self._known(np.unique(at // period), seen), period)
+            url, at = frame["url"].to_numpy(object), times_of(frame)
+            new = np.ones(len(at), bool)
+            known = self._load(np.unique(at // period), seen, now)
+            if known:
+                known = pa.concat_tables(known)
+                code, _ = pd.factorize(np.concatenate([url, known["url"].to_numpy()]))
+                new = ~_near(code[: len(at)], at, code[len(at) :], known["at"].to_numpy(), period)
+            urls.append(url[new])
             times.append(at[new])
             ids.append(frame["capture_id"].to_numpy(object)[new])
-        at, capture = np.concatenate(times), np.concatenate(ids)
-        order = np.argsort(at, kind="stable")
-        at, capture = at[order], capture[order]
-        picked, place = [], 0
-        while place < len(at):
-            same = int(np.searchsorted(at, at[place], "right"))
-            picked.append(place + int(np.argmin(capture[place:same].astype(str))))
-            # jump straight to the first capture after the period
-            place = int(np.searchsorted(at, at[place] + period))
-        for moment in at[picked].tolist():
-            self.kept.updateValue((moment // period,), (moment,))
-        if picked:
-            yield named(at[picked], capture[picked])
+        url, at, capture = np.concatenate(urls), np.concatenate(times), np.concatenate(ids)
+        if not len(at):
+            return
+        code, _ = pd.factorize(url)
+        order = np.lexsort((at, code))
+        url, at, capture, code = url[order], at[order], capture[order], code[order]
+        first, own, until = [], None, 0
+        for place, (address, moment) in enumerate(zip(code.tolist(), at.tolist(), strict=True)):
+            if address != own or moment >= until:
+                first.append(place)
+                own, until = address, moment + period
+        # of captures at one time the least id counts
+        changes = np.flatnonzero((code[1:] != code[:-1]) | (at[1:] != at[:-1])) + 1
+        ends = np.append(changes, len(at))[np.searchsorted(changes, first, "right")].tolist()
+        picked = np.array([p if end == p + 1 else p + int(np.argmin(capture[p:end].astype(str))) for p, end in zip(first, ends, strict=True)])
+        url, at, capture = url[picked], at[picked], capture[picked]
+        stretch = at // period
+        order = np.argsort(stretch, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(stretch[order])) + 1):
+            table = pa.table([pa.array(url[part], pa.string(), from_pandas=True), pa.array(at[part]), pa.array(np.full(len(part), now))], schema=_ENTRY)
+            before = seen.get(number := int(stretch[part[0]]))
+            table = table if before is None else pa.concat_tables([before, table])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, _ENTRY) as writer:
+                writer.write_table(table.combine_chunks())
+            self.kept.updateValue((number,), (sink.getvalue().to_pybytes(),))
+        yield named(url, at, capture)
 
     def close(self) -> None:
         pass
 
 
 class _Nothing(dict):
-    """What a key without state knows of its stretches."""
+    """What a group without state knows of its stretches."""
 
     def __contains__(self, stretch: object) -> bool:
         return True
@@ -131,14 +172,15 @@ def dedupe_stream(captures: DataFrame, ttl_ms: Mapping[str, int] = TTL_MS, state
     other is kept, also one that arrives late or out of order, however late.
     There is no watermark, which would discard late rows.  A kept time is
     forgotten ``state_ms`` of running time after it was kept, if given, so what
-    expires can only let a repeat through.  Only times and ids reach Python,
-    never bodies; repeats of kept times are dropped frame by frame, so a task
-    holds the times and ids of a key's new captures in one batch.
+    expires can only let a repeat through.  Only addresses, times and ids reach
+    Python, never bodies; repeats of kept times are dropped frame by frame, so a
+    task holds the new captures of one kind and bucket of addresses in a batch.
     """
-    keyed = captures.select("url", "kind", "capture_id", F.unix_micros("fetched_at").alias("fetched_us"))
+    bucket = F.pmod(F.xxhash64("url"), F.lit(BUCKETS)).alias("bucket")
+    keyed = captures.select(bucket, "url", "kind", "capture_id", F.unix_micros("fetched_at").alias("fetched_us"))
     processor = FirstPerPeriod({kind: ms * 1000 for kind, ms in ttl_ms.items()}, state_ms)
     mode = "none" if state_ms is None else "processingTime"
-    return keyed.groupBy("url", "kind").transformWithStateInPandas(processor, _DEDUPE_OUT, "append", mode)
+    return keyed.groupBy("bucket", "kind").transformWithStateInPandas(processor, _DEDUPE_OUT, "append", mode)
 
 
 def stream_dedupe(

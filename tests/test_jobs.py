@@ -585,6 +585,23 @@ def test_stream_dedupe_of_a_hot_key(spark):
     assert [r.s - 1_700_000_000 for r in kept] == list(range(0, 400_000, period))
 
 
+def test_stream_dedupe_of_many_keys(spark):
+    """Many addresses are one call and one entry of a stretch; over two batches each keeps its own first captures."""
+    root, n = scratch_path(spark, "dedupe-many"), 20_000
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("s")).alias("fetched_at")
+    url = F.when(F.col("id") % n > 0, F.concat(F.lit("/u"), F.col("id") % n)).alias("url")  # one address is null
+    began = time.time()
+    # batch one: seconds 0 and 20; batch two: seconds 10, 25, 31 and 70
+    for seconds in ([20, 0], [10, 31, 70, 25]):
+        moment = F.element_at(F.array(*map(F.lit, seconds)), (F.col("id") / n).cast("int") + 1)
+        rows = spark.range(n * len(seconds)).select(F.concat(F.lit("c"), moment).alias("capture_id"), url, F.lit("catalog").alias("kind"), moment.alias("s"))
+        rows.select("capture_id", "url", "kind", at).repartition(4).write.mode("append").parquet(f"{root}/in")
+        S.stream_dedupe(S.read_stream(spark, f"{root}/in", "capture_id string, url string, kind string, fetched_at timestamp"), f"{root}/out", f"{root}/checkpoint", {"catalog": 30_000})
+    kept = spark.read.parquet(f"{root}/out").groupBy("url").agg(F.sort_array(F.collect_list("capture_id")).alias("ids"))
+    assert [(tuple(r.ids), r["count"]) for r in kept.groupBy("ids").count().collect()] == [(("c0", "c31", "c70"), n)]
+    assert time.time() - began < 60  # a call for each key took minutes
+
+
 def test_stream_dedupe_forgets_when_told(spark):
     root, schema = scratch_path(spark, "dedupe-ttl"), "capture_id string, url string, kind string, fetched_at timestamp"
     for name in "ab":

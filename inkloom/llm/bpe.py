@@ -212,7 +212,7 @@ class _Encoder:
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str | int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``size`` bytes of text, one row at least."""
     for batch in batches:
         sizes = np.cumsum(pc.binary_length(batch.column(column).fill_null("")).to_numpy().astype(np.int64))

@@ -6,8 +6,9 @@ import json
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import chain, compress
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -16,18 +17,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
+from inkloom.llm.bpe import slices
 from inkloom.llm.tables import written
 
 CAPACITY = 4096
 END_ID = 1
 OPEN_BINS = 1024  # bins a packer keeps open
 PIECES_PER_PACKER = 250_000  # rows of one packer; more rows get more packers
-KNOWN_BYTES = 256_000_000  # about what the tokenized chunks that a worker remembers may take
+KNOWN_BYTES = 64_000_000  # about what the tokenized chunks that a worker remembers may take
 LONGEST_KNOWN = 64  # characters; longer chunks are not remembered
 AT_ONCE = 4_000_000  # bytes of texts that are tokenized together; a longer text stands for itself
-ENTRY_BYTES = 220  # of a remembered chunk besides its characters and ids
+ENCODED_AT_ONCE = 5_000  # new chunks that go to the tokenizer together
 _TAIL = ".,!?;:*%&$#"  # signs that always are tokens apart from a word before them
-_KNOWN: dict[str, "_Memory"] = {}  # per tokenizer, for the tasks of one Python worker
+_KNOWN: dict[str, tuple[Any, Any, "_Memory"]] = {}  # per tokenizer, for the tasks of one Python worker
 _WORD = re.compile("[a-z]+")
 # how a tokenizer finds its words, if one of small Latin letters surely is one and goes to the model unchanged
 _NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -47,22 +49,64 @@ def _word_tokenizer(tokenizer_json: str) -> str | None:
 
 
 class _Memory(dict):
-    """Ids of chunks.  Each call may add any; what stays is bounded in bytes."""
+    """Ids of chunks.  Each call may add any; what stays is bounded in bytes.
+
+    The dict holds the chunks of one call.  Those that stay lie in Arrow arrays,
+    some 40 bytes each, and are found by their hash; texts are compared too.
+    """
 
     def __init__(self):
         super().__init__()
-        self.taken = 0
+        self._forget()
+
+    def _forget(self) -> None:
+        self.chunks, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
+        self.hashes, self.places = np.empty(0, np.int64), np.empty(0, np.int32)  # ascending hashes
+
+    @property
+    def taken(self) -> int:
+        return self.chunks.nbytes + self.ids.nbytes + self.hashes.nbytes + self.places.nbytes
+
+    def _found(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash is or would be, and whether it is there."""
+        at = np.searchsorted(self.hashes, hashes)
+        there = at < len(self.hashes)
+        there[there] = self.hashes[at[there]] == hashes[there]
+        return at, there
+
+    def recall(self, chunks: Iterable[str]) -> list[str]:
+        """Bring back those of some distinct chunks that are remembered; tells the others."""
+        missing = [c for c in chunks if c not in self]
+        at, there = self._found(_hashes(missing))
+        asked = [*compress(missing, there.tolist())]
+        places = pa.array(self.places[at[there]])
+        same = pc.equal(self.chunks.take(places), pa.array(asked, pa.string()))
+        found = self.ids.take(places.filter(same))
+        if len(found):
+            cuts, data = np.frombuffer(found.buffers()[1], np.int32).tolist(), found.buffers()[2].to_pybytes()
+            self.update((c, data[a:b]) for c, a, b in zip(compress(asked, same.to_pylist()), cuts, cuts[1:], strict=False))
+        return [c for c in missing if c not in self]
 
     def settle(self, new: list[str]) -> None:
-        """Forget the long ones of the chunks that were added, or all of them once they take too much."""
+        """Forget all but the short ones of the chunks that were added, and all earlier ones once they take too much."""
         kept = [chunk for chunk in new if len(chunk) <= LONGEST_KNOWN]
-        for chunk in new if len(kept) < len(new) else ():
-            if len(chunk) > LONGEST_KNOWN:
-                del self[chunk]
-        self.taken += ENTRY_BYTES * len(kept) + 2 * sum(map(len, kept)) + sum(map(len, map(self.__getitem__, kept)))
-        if self.taken > KNOWN_BYTES:
-            self.clear()
-            self.taken = 0
+        hashes, first = np.unique(_hashes(kept), return_index=True)
+        at, there = self._found(hashes)  # two chunks of one hash: the first stays
+        hashes, at, kept = hashes[~there], at[~there], [kept[i] for i in first[~there].tolist()]
+        chunks, ids = pa.array(kept, pa.string()), pa.array([*map(self.__getitem__, kept)], pa.binary())
+        self.clear()
+        if self.taken + chunks.nbytes + ids.nbytes + 12 * len(kept) > KNOWN_BYTES:
+            self._forget()
+            if chunks.nbytes + ids.nbytes + 12 * len(kept) > KNOWN_BYTES:
+                return
+            at = np.zeros(len(kept), np.int64)
+        places = np.arange(len(self.chunks), len(self.chunks) + len(kept), dtype=np.int32)
+        self.hashes, self.places = np.insert(self.hashes, at, hashes), np.insert(self.places, at, places)
+        self.chunks, self.ids = pa.concat_arrays([self.chunks, chunks]), pa.concat_arrays([self.ids, ids])
+
+
+def _hashes(chunks: list[str]) -> np.ndarray:
+    return np.fromiter(map(hash, chunks), np.int64, len(chunks))
 
 
 class _Tokens:
@@ -75,10 +119,11 @@ class _Tokens:
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        words = _word_tokenizer(tokenizer_json)
-        self.words = words and Tokenizer.from_str(words)
-        self.known = _KNOWN.setdefault(str(hash(tokenizer_json)), _Memory())
+        name = str(hash(tokenizer_json))
+        if name not in _KNOWN:
+            words = _word_tokenizer(tokenizer_json)
+            _KNOWN[name] = Tokenizer.from_str(tokenizer_json), words and Tokenizer.from_str(words), _Memory()
+        self.tokenizer, self.words, self.known = _KNOWN[name]
 
     @staticmethod
     def _parts(chunk: str) -> tuple[str, str]:
@@ -106,7 +151,7 @@ class _Tokens:
         lower = [c.lower() for c in plain]
         rest = [c for c in chunks if not (c.isascii() and c.isalnum())]
         parts = [self._parts(c) for c in rest]
-        pieces = {p for p in chain(lower, chain.from_iterable(parts)) if p not in self.known}
+        pieces = set(self.known.recall({*lower, *chain.from_iterable(parts)}))
         words = [p for p in pieces if _WORD.fullmatch(p)] if self.words else []
         self._encode_words(words)
         self._encode(list(pieces.difference(words)))
@@ -116,8 +161,8 @@ class _Tokens:
         return list(pieces.union(chunks))
 
     def _encode_words(self, words: list[str]) -> None:
-        for at in range(0, len(words), 20_000):
-            block = words[at : at + 20_000]
+        for at in range(0, len(words), ENCODED_AT_ONCE):
+            block = words[at : at + ENCODED_AT_ONCE]
             found = self.words.encode(" ".join(block), add_special_tokens=False)
             data, ends = np.array(found.ids, "<u4").tobytes(), np.cumsum(np.bincount(found.word_ids, minlength=len(block)))
             begin = 0
@@ -126,8 +171,8 @@ class _Tokens:
                 begin = end
 
     def _encode(self, chunks: list[str]) -> None:
-        for at in range(0, len(chunks), 20_000):
-            block = chunks[at : at + 20_000]
+        for at in range(0, len(chunks), ENCODED_AT_ONCE):
+            block = chunks[at : at + ENCODED_AT_ONCE]
             found = self.tokenizer.encode(" ".join(block), add_special_tokens=False)
             ends = np.cumsum([len(c) + 1 for c in block])
             ids, offsets = found.ids, found.offsets
@@ -149,6 +194,7 @@ class _Tokens:
         for begin, end in zip(cuts, cuts[1:], strict=False):
             if begin < end:
                 rows += self._rows(pc.split_pattern(texts.slice(begin, end - begin), " "))
+                pa.default_memory_pool().release_unused()  # else the pool keeps more than all that is in use
         return rows
 
     def _rows(self, texts: pa.ListArray) -> Iterator[bytes]:
@@ -157,7 +203,7 @@ class _Tokens:
         # no chunk holds a blank; one string is read much faster than an array of them
         whole = pa.ListArray.from_arrays(pa.array([0, len(chunks.dictionary)], pa.int32()), chunks.dictionary)
         distinct = pc.binary_join(whole, " ")[0].as_py().split(" ")
-        new = self._learn([c for c in distinct if c not in self.known])
+        new = self._learn(self.known.recall(distinct))
         found = [*map(self.known.__getitem__, distinct)]
         self.known.settle(new)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
@@ -198,20 +244,18 @@ def token_pieces(
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, end = _Tokens(shared.value), np.array([end_id], "<u4").tobytes()
         names = [id_column, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                rows = []
-                for i, ids in enumerate(tokens(part.column(1))):
-                    ids += end
-                    for piece, begin in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[begin : begin + 4 * capacity]
-                        rows.append((i, piece, begin // 4, len(own) // 4, zlib.crc32(own), own))
-                columns = [list(c) for c in zip(*rows, strict=True)]
-                keys = part.column(0).take(pa.array(columns[0]))
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
-                values = [pa.array(c, k) for c, k in zip(columns[1:], kinds, strict=False)]
-                yield pa.RecordBatch.from_arrays([keys, *values], names)
+        for part in slices(batches, 1, AT_ONCE):
+            rows = []
+            for i, ids in enumerate(tokens(part.column(1))):
+                ids += end
+                for piece, begin in enumerate(range(0, len(ids), 4 * capacity)):
+                    own = ids[begin : begin + 4 * capacity]
+                    rows.append((i, piece, begin // 4, len(own) // 4, zlib.crc32(own), own))
+            columns = [list(c) for c in zip(*rows, strict=True)]
+            keys = part.column(0).take(pa.array(columns[0]))
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
+            values = [pa.array(c, k) for c, k in zip(columns[1:], kinds, strict=False)]
+            yield pa.RecordBatch.from_arrays([keys, *values], names)
 
     return docs.select(col(id_column), col(text_column).alias("text")).mapInArrow(tokenize, schema)
 

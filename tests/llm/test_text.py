@@ -1,11 +1,14 @@
 """Encoding, packing, fingerprints and archives against plain versions."""
 
 import random
+import tracemalloc
 import unicodedata
+import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -193,3 +196,31 @@ def test_plain_words_go_straight_to_the_model():
     found = [np.frombuffer(i, "<u4").tolist() for i in tokens(texts)]
     assert set(asked) <= {""}
     assert found == [e.ids for e in general.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_a_worker_that_tokenizes_takes_bounded_memory():
+    """Many distinct words are remembered in little memory, and what a call took is given back."""
+    packing._KNOWN.clear()
+    tokens, dice = packing._Tokens(WORDS_JSON), random.Random(6)
+    texts = [" ".join(f"{dice.getrandbits(48):x}," for _ in range(1000)) for _ in range(150)]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+        first = [zlib.crc32(ids) for at in range(0, 150, 15) for ids in tokens(texts[at : at + 15])]
+        taken = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    finally:
+        tracemalloc.stop()
+    assert taken < 32_000_000  # 300,000 words, with and without the sign behind them
+    tokens.tokenizer = tokens.words = None  # nothing is tokenized again
+    assert [zlib.crc32(ids) for at in range(0, 150, 15) for ids in tokens(texts[at : at + 15])] == first
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(packing, "_hashes", lambda chunks: np.array([len(c) for c in chunks], np.int64))
+    memory = packing._Memory()
+    for new in (["ab", "cd", "", "xyz"], ["cd", "q"]):
+        assert memory.recall(new) == new
+        memory.update((c, c.encode()) for c in new)
+        memory.settle(new)
+    assert memory.recall(["", "ab", "cd", "ef", "q", "r", "xyz", "long"]) == ["cd", "ef", "r", "long"]
+    assert dict(memory) == {c: c.encode() for c in ("", "ab", "q", "xyz")}

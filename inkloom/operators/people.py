@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from inkloom.functions.html import first_per_key
-from inkloom.functions.payload import as_list, first_id_at, first_text_at, is_object, places
+from inkloom.functions.payload import as_list, is_object, places, with_fields
 from inkloom.functions.text import let
 
 # Keys that may hold the people of a role, in order.
@@ -24,21 +24,24 @@ PERSON = "struct<role: string, id: string, id_is_num: boolean, name: string, use
 
 
 def _person(raw: Column, role: str) -> Column:
-    person = lambda id_: F.struct(
-        F.lit(role).alias("role"),
-        id_["value"].alias("id"),
-        id_["is_num"].alias("id_is_num"),
-        first_text_at(raw, "displayName name title fullName").alias("name"),
-        first_text_at(raw, "username login nickname slug").alias("username"),
-        first_text_at(raw, "url profileUrl").alias("url"),
-    )
-    return let(first_id_at(raw, "id userId teamId"), person)
+    """A person's fields, read in one pass over the object."""
+
+    def person(f: dict[str, Column]) -> Column:
+        names = [f[n].alias(n) for n in ("name", "username", "url")]
+        return let(f["id"], lambda id_: F.struct(F.lit(role).alias("role"), id_["value"].alias("id"), id_["is_num"].alias("id_is_num"), *names))
+
+    texts = {"name": "displayName name title fullName", "username": "username login nickname slug", "url": "url profileUrl"}
+    return with_fields(raw, person, ids={"id": "id userId teamId"}, texts=texts)
 
 
 def people_of(doc: Column, role: str) -> Column:
     """People of a role in key order, nameless and id-less ones left out."""
+    return people_among(places(doc, " ".join(ROLE_KEYS[role])), role)
+
 
-    values = F.filter(places(doc, " ".join(ROLE_KEYS[role])), lambda v: v.isNotNull() & ~F.is_variant_null(v))
+def people_among(values: Column, role: str) -> Column:
+    """People in an array of persons and lists of them, as :func:`people_of`."""
+    values = F.filter(values, lambda v: v.isNotNull() & ~F.is_variant_null(v))
     listed = F.flatten(F.transform(values, lambda v: F.coalesce(as_list(v), F.array(v))))
     found = F.transform(F.filter(listed, is_object), lambda p: _person(p, role))
     return F.filter(found, lambda p: p["id"].isNotNull() | p["name"].isNotNull() | p["username"].isNotNull())

@@ -200,3 +200,26 @@ def test_names_in_paths_are_escaped_as_one_text(spark):
     assert not any(got[o].named for o in ("/a%2Fb", "/a ", "/a/../b c"))
     assert [got[o].r for o in other] == ["a/b.json", "a%2Fb.json", "a.json", "a.json", "index.json", "a/../b%20c.json"]
     assert [got[o].u for o in other] == [f"https://n.example{t}" for t in ("/a//b", "/a%2Fb", "/a", "/a/", "/", "/b%20c")]
+
+
+def test_texts_are_read_without_variants(spark):
+    """Texts and numbers leave an object as such; only ids and flags, whose kind of value matters, as VARIANT."""
+    bodies = ['{"s":"x","n":"-0.5","m":12.25,"o":{"k":1},"i":"9"}', '{"s":5,"n":true,"m":"0b11","o":{},"i":[1]}', '{"s":" \\u3000","n":{"a":1},"m":null,"o":[1],"i":7.0}']
+    docs = spark.createDataFrame([(b,) for b in bodies], "body string").select(F.try_parse_json("body").alias("raw"))
+    df, f = P.read_fields(docs, F.col("raw"), "_", texts={"s": "s"}, raw_texts={"any": "s"}, numbers={"n": "n", "m": "m"}, integers={"i": "i"}, filled={"o": "o"}, ids={"id": "i"})
+    read = next(line for line in df._jdf.queryExecution().analyzed().toString().split("\n") if "try_variant_get(raw" in line)
+    assert "BinaryType" in read and read.count("VariantType") == 1
+    rows = df.select(*[f[n].alias(n) for n in ("s", "any", "n", "m", "i", "o")], f["id"]["value"].alias("id")).collect()
+    assert [tuple(r) for r in rows] == [
+        ("x", "x", -0.5, 12.25, 9, True, "9"), (None, None, None, 3.0, None, False, None), (None, " 　", None, None, 7, None, "7"),
+    ]
+
+
+def test_first_place(spark):
+    """The first place with a non-empty object, told where it lies."""
+    bodies = ['{"a":{},"b":{"x":1}}', '{"a":[1],"b":5}', '{"a":{"id":null}}', '{"b":{"id":1},"a":{"z":{}}}', "[1]", "5"]
+    docs = P.with_document(spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, body string"))
+    paths = ("a", "b")
+    out = docs.withColumn("place", P.first_place(F.col("doc"), paths)).withColumn("x", P.at_place(F.col("place"), F.col("doc"), paths)("struct<x: string>"))
+    got = [(r.place, r.x and r.x.x) for r in out.orderBy("i").collect()]
+    assert got == [(1, "1"), (None, None), (0, None), (0, None), (None, None), (None, None)]

@@ -339,8 +339,11 @@ def chapter_availability(spark, d):
     # failed captures keep their error and are not available
     talks = fetched_chapters(newest, BASE, allow_unavailable=True, clean=False)
     both = lines.unionByName(talks.select("book_slug", "chapter_slug", "error_code", "chapter", "raw_html"))
-    modes = [CH.chapter_availability(both, m).withColumn("allowed", F.lit(m)) for m in (False, True)]
-    return modes[0].unionByName(modes[1]).select(
+    # both modes are told of one row, so each body is read once, and newest captures are chosen once
+    rows = CH.chapter_availability(both.withColumn("_own", F.col("error_code")), False).withColumn("_strict", F.col("error_code"))
+    rows = CH.chapter_availability(rows.withColumn("error_code", F.col("_own")), True)
+    rows = rows.withColumn("allowed", F.explode(F.array(F.lit(False), F.lit(True))))
+    return rows.withColumn("error_code", F.when(F.col("allowed"), F.col("error_code")).otherwise(F.col("_strict"))).select(
         "allowed", "book_slug", "chapter_slug", "available", "error_code",
         *_flat(("is_donate", "is_subscription", "price")),
     )

@@ -195,6 +195,23 @@ def test_paid_chapter(spark):
     assert (meta.error_code, meta.available, meta.chapter.is_donate, meta.raw_html) == (None, False, True, None)
 
 
+def test_availability_parses_each_body_once(spark, sf_dir):
+    """Both modes are told of the same rows: bodies of lines and of talks are each parsed in one place of the plan."""
+    from inkloom.workload.registry import QUERIES
+
+    plan = QUERIES["chapter_availability"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2
+
+
+def test_people_are_read_once(spark):
+    rows = captures(spark, [{"book_slug": "b", "chapter_slug": "c", "body": '{"pageProps":{"chapter":{"translators":[{"id":1},{"id":1,"name":""},4]}}}'}])
+    out = CH.chapter_people(CH.chapter_objects(load_captures(rows)))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # the lists of both roles are made in one place each
+    assert plan.count("flatten(") == 2
+    assert [(r.role, r.id) for r in out.collect()] == [("translator", "1")]
+
+
 def test_assembly_keeps_failures_in_order(spark):
     listed = spark.createDataFrame(
         [("b", i, s, None, float(n), s) for i, (s, n) in enumerate([("c3", 3), ("c1", 1), ("", 4), ("c2", 2), ("c5", 5)])],

@@ -223,3 +223,19 @@ def test_first_place(spark):
     out = docs.withColumn("place", P.first_place(F.col("doc"), paths)).withColumn("x", P.at_place(F.col("place"), F.col("doc"), paths)("struct<x: string>"))
     got = [(r.place, r.x and r.x.x) for r in out.orderBy("i").collect()]
     assert got == [(1, "1"), (None, None), (0, None), (0, None), (None, None), (None, None)]
+
+
+def test_tails_are_found_from_the_end(spark):
+    """No text is turned round to find a last mark, and short image lists are not sorted."""
+    from inkloom.functions import html as H
+
+    rows = ["", "x", "a>b", "a>b>", ">", "é>ü<!-- c --> d --", "<!doctype x>y<!--", "<!-- a", "-->", "<img src=' ' data-src='/a.png'>é", None]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, h string")
+    h = F.col("h")
+    out = df.select("i", H._split_after_last(h, ">", lambda a, b: F.struct(a.alias("a"), b.alias("b"))).alias("s"), H.drop_unsafe_html(h).alias("d"), H.html_images(h, BASE)["url"].alias("u"))
+    assert "reverse(h" not in out._jdf.queryExecution().analyzed().toString()
+    got = [r for r in out.orderBy("i").collect()]
+    want = [(r[: r.rfind(">") + 1], r[r.rfind(">") + 1 :]) for r in rows[:-1]]
+    assert [tuple(r.s) for r in got[:-1]] == want and (got[-1].d, got[-1].u) == (None, None)
+    assert [r.d for r in got[:-1]] == ["", "x", "a>b", "a>b>", ">", "é>ü d --", "y<!--", "<!-- a", "-->", rows[9]]
+    assert [r.u for r in got[:-1]] == [[]] * 9 + [[f"{BASE}/a.png"]]

@@ -203,6 +203,17 @@ def test_availability_parses_each_body_once(spark, sf_dir):
     assert plan.count("from_json(") == 2
 
 
+def test_cleaned_content_is_not_shuffled(spark):
+    rows = spark.createDataFrame([("b", "1", "<p>x</p>"), ("b", "2", None), (None, "3", "y")], "book_slug string, chapter_slug string, raw_html string")
+    pages = spark.createDataFrame([("b", "1", 5), ("b", "1", 6), (None, "3", 7)], "book_slug string, chapter_slug string, page_html int")
+    out = CH.chapter_content(rows, BASE, page_html=pages)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "formatted_html" in plan and "formatted_html" not in plan[plan.index("Join LeftOuter") :]
+    assert out.columns == ["book_slug", "chapter_slug", "raw_html", "formatted_html", "text", "images", "page_html"]
+    got = sorted((r.chapter_slug, r.text, r.page_html) for r in out.select("chapter_slug", "text", "page_html").collect())
+    assert got == [("1", "x", 5), ("1", "x", 6), ("2", None, None), ("3", "y", None)]
+
+
 def test_people_are_read_once(spark):
     rows = captures(spark, [{"book_slug": "b", "chapter_slug": "c", "body": '{"pageProps":{"chapter":{"translators":[{"id":1},{"id":1,"name":""},4]}}}'}])
     out = CH.chapter_people(CH.chapter_objects(load_captures(rows)))

@@ -30,10 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
-from inkloom.llm.tables import written
+from inkloom.llm.tables import write_freed, written_freed
+from inkloom.session import scratch_path
 
 START, END = 0, 1  # ids of the beginning, a context only, and of the end, a token; words have their XXH64
 WINDOW = 2_000_000  # tokens that a task holds at once
+BATCH_TOKENS = 300_000_000  # training tokens for each batch of the texts to score
 SCORE_WINDOW = 500_000  # the same for a task that scores, beside the broadcast words and states
 PIECE = 1 << 22  # bytes of text that are split at once
 PART_TOKENS = 1_000_000  # training tokens for each part of the grams
@@ -365,7 +367,7 @@ def fit_suffix_tree(texts: DataFrame, rules: TreeRules = TreeRules(), hot_words:
     """
     spark, depth = texts.sparkSession, rules.depth
     texts = texts.select("text")
-    words = written(vocabulary(texts), "words")
+    words, _ = written_freed(vocabulary(texts), "words")
     tokens, distinct = words.where(col("w0") != START).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     tree = SuffixTree(rules, tokens, distinct, words, [], [])
     if not tokens:
@@ -378,21 +380,23 @@ def fit_suffix_tree(texts: DataFrame, rules: TreeRules = TreeRules(), hot_words:
     for level in range(1, depth + 1):
         names = [f"w{i}" for i in range(level, -1, -1)]
         context, shorter = names[:-1], names[1:]
-        found = written(grams(texts, level, rules, hot, least_hot, support, -(-tokens // PART_TOKENS)), "grams")
+        found, drop_found = written_freed(grams(texts, level, rules, hot, least_hot, support, -(-tokens // PART_TOKENS)), "grams")
         # a context's places are those of the gram that it is
         totals = below.select(*[col(f"w{i - 1}").alias(f"w{i}") for i in range(level, 0, -1)], col("n").alias("total"), col("key").alias("ckey"))
         start = spark.range(1).select(*[F.lit(START).cast("long").alias(c) for c in context], F.lit(begins).alias("total"), F.lit(START).cast("long").alias("ckey"))
         joined = found.join(totals.unionByName(start), context).join(below.select(*shorter, col("p").alias("below")), shorter)
-        joined = written(joined.select(*names, "n", "key", "total", "ckey", "below"), "grams-below")
+        joined, drop_joined = written_freed(joined.select(*names, "n", "key", "total", "ckey", "below"), "grams-below")
+        drop_found()
         gain, kept = F.sum(col("n") * F.log(col("n") / col("total") / col("below"))), F.sum(col("n") - rules.discount)
         judged = joined.groupBy(*context, "ckey", "total").agg(gain.alias("gain"), kept.alias("kept"))
         judged = judged.where(col("gain") >= rules.min_gain).select(*context, "ckey", "total", (1 - col("kept") / col("total")).alias("rest"))
-        contexts = written(judged, "contexts")
+        contexts, _ = written_freed(judged, "contexts")
         share = F.when(col("rest").isNotNull(), (col("n") - rules.discount) / col("total"))
         # at the last length nothing is asked of grams in contexts that are not kept
         rows = joined.join(contexts.select(*context, "rest"), context, "left" if level < depth else "inner").withColumn("share", share)
         rows = rows.withColumn("p", F.coalesce(col("share") + col("rest") * col("below"), "below"))
-        below = written(rows.select(*names, "n", "key", "total", "share", "p"), "states")
+        below, _ = written_freed(rows.select(*names, "n", "key", "total", "share", "p"), "states")
+        drop_joined()
         tree.contexts.append(contexts)
         tree.successors.append(below.where("share is not null").select(*names, "key", "total", "share"))
         if level < depth:
@@ -473,16 +477,18 @@ def _hot_states(tree: SuffixTree, bound: int) -> list[_States]:
 
 def score_texts(
     docs: DataFrame, tree: SuffixTree, hot_words: int = HOT_WORDS, hot_states: int = HOT_STATES, id_column: str = "doc_id", text_column: str = "text",
-    carry: tuple[str, ...] = (), window_tokens: int = SCORE_WINDOW,
+    carry: tuple[str, ...] = (), window_tokens: int = SCORE_WINDOW, batch_tokens: int = BATCH_TOKENS,
 ) -> DataFrame:
     """Score each document: id, the carried columns, ``n_tokens``, ``n_known``, ``base_score`` and ``score``.
 
     A token is a word or the end.  Scores are sums of log10 probabilities: of
     single words, and in the tree's states.  Tokens whose word or state is not
-    broadcast are written and joined with the tree's tables; texts are read once
-    and not shuffled.  A null or empty text is its end alone.  Repeated rows are
-    scored each for itself; an empty table gives no rows.  ``window_tokens`` bounds
-    what a task holds at once.
+    broadcast are written and joined with the tree's tables; texts are not
+    shuffled.  That takes several times the texts' disk, so texts are scored in
+    batches, by hash of the id, one for ``batch_tokens`` training tokens, and
+    what a batch wrote and shuffled is deleted before the next.  A null or empty
+    text is its end alone.  Repeated rows are scored each for itself; an empty
+    table gives no rows.  ``window_tokens`` bounds what a task holds at once.
     """
     spark, depth = docs.sparkSession, tree.rules.depth if tree.contexts else 0
     words, _ = hot_counts(tree, hot_words)
@@ -490,7 +496,9 @@ def score_texts(
     norm = tree.tokens + 0.5 * (tree.distinct + 1)
     all_hot = tree.distinct <= hot_words
     plain = [id_column, *carry]
-    head = docs.select(F.monotonically_increasing_id().alias("row"), *[col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(plain)], col(f"`{text_column}`").alias("text"))
+    batches = max(1, -(-tree.tokens // batch_tokens))
+    batch = F.pmod(F.xxhash64(col(f"`{id_column}`"), F.length(f"`{text_column}`")), F.lit(batches))
+    head = lambda texts: texts.select(F.monotonically_increasing_id().alias("row"), *[col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(plain)], col(f"`{text_column}`").alias("text"))
     context_names = [f"w{i}" for i in range(depth, -1, -1)]
     numbers = "n_tokens long, n_known long, base double, score double"
     cells = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(plain))
@@ -537,7 +545,7 @@ def score_texts(
             n0 = count[token]
             base = (np.maximum(n0, 0) + 0.5) / norm
             sure = ~other & (n0 >= 0)
-            total = lambda values: np.bincount(row[sure], values[sure], len(window.keys))
+            total = lambda values: np.bincount(row[sure], values[sure], len(window.keys)).astype(np.float64)  # noqa: E731  (whole numbers if there are none)
             result = {"row": pa.array([k[0].as_py() for k in window.keys], pa.int64())}
             result |= {f"c{i}": pa.array([k[i + 1].as_py() for k in window.keys], kinds[f"c{i}"]) for i in range(len(plain))}
             result["n_tokens"] = pa.array(np.bincount(row, minlength=len(window.keys)))
@@ -562,7 +570,18 @@ def score_texts(
                 rows |= {f"w{i}": c for i, c in enumerate(columns)}
                 yield pa.RecordBatch.from_pydict({n: rows[n] for n in result})
 
-    scored = written(head.mapInArrow(score, schema), "scored")
+    path = scratch_path(spark, "scores")
+    for number in range(batches):
+        scored, drop_scored = written_freed(head(docs.where(batch == number) if batches > 1 else docs).mapInArrow(score, schema), "scored")
+        result = _summed_scores(scored, tree, depth, plain)
+        write_freed(result, path, "append")
+        drop_scored()
+    return spark.read.schema(result.schema).parquet(path)
+
+
+def _summed_scores(scored: DataFrame, tree: SuffixTree, depth: int, plain: list[str]) -> DataFrame:
+    """The scores of each text, from the sums of its sure tokens and from its open ones, which meet the tree's tables."""
+    context_names = [f"w{i}" for i in range(depth, -1, -1)]
     sums = ["n_tokens", "n_known", "base", "score"]
     whole = scored.where("w0 is null").select("row", *[f"c{i}" for i in range(len(plain))], *sums)
     open_rows = scored.where("w0 is not null").select("row", "n0", "add", "mul", *context_names)

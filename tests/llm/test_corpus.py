@@ -13,6 +13,7 @@ from inkloom.llm.manifest import build_manifest, folded_root, leaf_digest, numbe
 from inkloom.llm.queries import ORACLES, QUERIES
 from inkloom.llm.ranked_search import ranked_search, terms_of
 from inkloom.llm.suffix_tree import TreeRules, fit_suffix_tree, score_texts, windows
+from inkloom.session import scratch_path
 from tests.compare import connect, difference
 from tests.llm.cases import documents
 
@@ -305,3 +306,23 @@ def test_scores_do_not_depend_on_what_a_task_holds_at_once(spark, sf_dir):
     whole, small = ({r.doc_id: tuple(r) for r in score_texts(docs, tree, **b).collect()} for b in ({}, {"window_tokens": 50}))
     assert whole.keys() == small.keys()
     assert all(small[k][:3] == w[:3] and small[k][3:] == pytest.approx(w[3:], rel=1e-9) for k, w in whole.items())
+
+
+def test_suffix_tree_scores_in_batches(spark, monkeypatch):
+    """Batches give the scores of one run, and what they wrote and shuffled is gone when they are done."""
+    import os
+
+    rows = [(f"d{i % 30}" if i % 7 else None, " ".join(f"w{(i * j) % 11}" for j in range(i % 20)) or None) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    tree = fit_suffix_tree(docs, TreeRules(min_count=2, min_gain=0.5))
+    folders = []
+    monkeypatch.setattr("inkloom.llm.tables.scratch_path", lambda s, name, f=scratch_path: folders.append((name, f(s, name))) or folders[-1][1])
+    bounds = {"hot_words": 2, "hot_states": 2}
+    whole = score_texts(docs, tree, **bounds)
+    assert [n for n, _ in folders] == ["scored"]
+    parts = score_texts(docs, tree, batch_tokens=-(-tree.tokens // 4), **bounds)
+    assert [n for n, _ in folders] == ["scored"] * 5 and not any(os.path.exists(p) for _, p in folders)
+    assert parts.schema == whole.schema
+    rounded = lambda df: sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()), key=str)
+    assert rounded(parts) == rounded(whole) and len(rounded(parts)) == 60
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
